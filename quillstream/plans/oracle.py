@@ -112,3 +112,94 @@ FROM v GROUP BY device_id ORDER BY device_id"""
 SQL["latest_10"] = BASE + """
 SELECT device_id, ts_ms, temperature_c, humidity_pct, firmware_version
 FROM v ORDER BY ts_ms DESC, device_id, seq LIMIT 10"""
+
+# --- ingest side ------------------------------------------------------------------
+
+_CORRUPT = """CASE WHEN seq % 73 = 0 THEN 'null' WHEN seq % 79 = 0 THEN 'header'
+                   WHEN seq % 83 = 0 THEN 'body' WHEN seq % 89 = 0 THEN 'short' END"""
+
+SQL["decode_wire"] = BASE + f""",
+w AS (SELECT *, {_CORRUPT} AS damage FROM cls)
+SELECT seq,
+       CASE WHEN damage IS NOT NULL THEN 'deserialize' WHEN reject_reason IS NOT NULL THEN 'validate'
+            ELSE 'table' END AS route,
+       CASE WHEN damage IN ('null', 'short') THEN 'null payload or too short'
+            WHEN damage = 'header' THEN 'null' WHEN damage = 'body' THEN 'corrupt'
+            ELSE reject_reason END AS reason,
+       CAST(CASE damage WHEN 'null' THEN 0 WHEN 'short' THEN 5 WHEN 'header' THEN 6 WHEN 'body' THEN 8 END
+            AS BIGINT) AS payload_len,
+       CASE WHEN damage IS NULL THEN device_id END AS device_id,
+       CASE WHEN damage IS NULL THEN ts_ms END AS ts_ms,
+       CASE WHEN damage IS NULL THEN temperature_c END AS temperature_c,
+       CASE WHEN damage IS NULL THEN humidity_pct END AS humidity_pct,
+       CASE WHEN damage IS NULL THEN pressure_hpa END AS pressure_hpa,
+       CASE WHEN damage IS NULL THEN vibration_g END AS vibration_g,
+       CASE WHEN damage IS NULL THEN firmware_version END AS firmware_version
+FROM w"""
+
+SQL["wire_counters"] = BASE + f""",
+w AS (SELECT *, {_CORRUPT} AS damage FROM cls)
+SELECT count(*) FILTER (WHERE damage IS NULL AND reject_reason IS NULL) AS records_valid,
+       count(*) FILTER (WHERE damage IS NOT NULL) AS records_parse_failed,
+       count(*) FILTER (WHERE damage IS NULL AND reject_reason IS NOT NULL) AS records_validation_failed
+FROM w"""
+
+SQL["encode_roundtrip"] = BASE + """
+SELECT seq, true AS decoded, device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vibration_g,
+       firmware_version
+FROM tv"""
+
+_BRIDGE_OK = "NOT (seq % 101 = 0 OR seq % 103 = 1)"
+
+SQL["json_normalise"] = BASE + f"""
+SELECT seq, {_BRIDGE_OK} AS parse_ok,
+       CASE WHEN {_BRIDGE_OK} THEN device_id END AS device_id,
+       CASE WHEN {_BRIDGE_OK} THEN site_id END AS site_id,
+       CASE WHEN {_BRIDGE_OK} THEN ts_ms END AS ts_ms,
+       CASE WHEN {_BRIDGE_OK} THEN temperature_c END AS temperature_c,
+       CASE WHEN {_BRIDGE_OK} THEN humidity_pct END AS humidity_pct,
+       CASE WHEN {_BRIDGE_OK} THEN pressure_hpa END AS pressure_hpa,
+       CASE WHEN {_BRIDGE_OK} THEN vibration_g END AS vibration_g,
+       CASE WHEN {_BRIDGE_OK} THEN coalesce(firmware_version, '') END AS firmware_version
+FROM tv"""
+
+SQL["bridge_counts"] = BASE + f"""
+SELECT count(*) FILTER (WHERE {_BRIDGE_OK}) AS forwarded, count(*) FILTER (WHERE NOT ({_BRIDGE_OK})) AS errors
+FROM tv"""
+
+SQL["topic_filter"] = BASE + """
+SELECT seq, site_id AS topic_site, device_id AS topic_device FROM tv
+WHERE NOT (seq % 17 = 0 OR seq % 19 = 0 OR seq % 23 = 0)"""
+
+_CORR = """corr AS (SELECT seq, "partition", "offset" + 1000000 AS "offset", device_id, site_id, ts_ms,
+                      temperature_c + 2.0 AS temperature_c, humidity_pct, pressure_hpa, vibration_g,
+                      CAST(NULL AS VARCHAR) AS firmware_version, arrival_ms
+               FROM tv WHERE seq % 10 = 0)"""
+
+SQL["corrections"] = BASE + f""",
+{_CORR}
+SELECT seq, "offset", device_id, ts_ms, temperature_c, firmware_version FROM corr"""
+
+_UPSERT = BASE + f""",
+{_CORR},
+u AS (SELECT * FROM (SELECT seq, "partition", "offset", device_id, site_id, ts_ms, temperature_c, humidity_pct,
+                            pressure_hpa, vibration_g, firmware_version, arrival_ms FROM tv
+                     UNION ALL SELECT * FROM corr)
+      WHERE device_id <> '' AND ts_ms > 0
+        AND isfinite(temperature_c) AND temperature_c BETWEEN -60.0 AND 150.0
+        AND isfinite(humidity_pct) AND humidity_pct BETWEEN 0.0 AND 100.0
+        AND isfinite(pressure_hpa) AND pressure_hpa BETWEEN 800.0 AND 1100.0
+        AND isfinite(vibration_g) AND vibration_g BETWEEN 0.0 AND 50.0),
+cur AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY device_id, ts_ms ORDER BY "offset" DESC) = 1)"""
+
+SQL["upsert_current"] = _UPSERT + """
+SELECT device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vibration_g, firmware_version, "offset"
+FROM cur"""
+
+SQL["upsert_summary"] = _UPSERT + """
+SELECT count(*) AS current_rows, count(*) FILTER (WHERE "offset" >= 1000000) AS corrected_rows,
+       count(*) FILTER (WHERE firmware_version IS NULL) AS null_firmware_rows
+FROM cur"""
+
+SQL["replay_first_10"] = BASE + """
+SELECT "partition", "offset", device_id, ts_ms FROM tv ORDER BY "partition", "offset" LIMIT 10"""

@@ -162,3 +162,7 @@ def q_latest_10(spark, sf_dir):
     v = valid(spark, sf_dir)
     return (v.orderBy(F.col("ts_ms").desc(), "device_id", "seq").limit(10)
              .select("device_id", "ts_ms", "temperature_c", "humidity_pct", "firmware_version"))
+
+
+# Further query groups register themselves on import.
+from . import ingest_queries  # noqa: E402,F401
