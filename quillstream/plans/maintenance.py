@@ -1,0 +1,158 @@
+"""Table maintenance (M1-M4) over commit-stamped tables.
+
+* ``compact``: per day, rewrite the live parts into fewer files sized by a
+  target, commit as ``replace`` (old parts removed, still readable from older
+  commits until expired).
+* ``expire_snapshots``: commits older than the cut-off (except the head) stop
+  being time-travel targets; parts referenced by no kept commit are returned
+  (and deleted unless ``dry_run``).
+* ``remove_orphan_files``: files under the data folder that no commit
+  references and that are older than the cut-off.
+
+All set logic (live sets, anti-joins, file listing) is done with DataFrames.
+"""
+
+from __future__ import annotations
+
+import math
+import time
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..operators.util import sized_broadcast
+from .tables import COMMITS_SCHEMA, REPLACE, Table, delete_path, path_exists
+
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+DAY_MS = 86_400_000
+DEFAULT_RETENTION_MS = 7 * DAY_MS  # the reference's 7-day floor
+
+
+def data_files(table: Table) -> DataFrame:
+    """Every data file under the table (path, size, mtime, day, part_key).
+
+    ``binaryFile`` lists the files in parallel; the content column is never
+    selected, so no file is read.
+    """
+    if not path_exists(table.spark, table.data_path):
+        return table.spark.createDataFrame([], "path string, length long, modified_ms long, day date, part_key string")
+    files = (table.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(table.data_path)
+             .select("path", "length", F.unix_millis("modificationTime").alias("modified_ms")))
+    day = F.regexp_extract("path", rf"/{table.day_col}=([0-9-]+)/", 1)
+    return files.select("path", "length", "modified_ms", F.to_date(day).alias("day"),
+                        F.regexp_extract("path", r"/part_key=([^/]+)/", 1).alias("part_key"))
+
+
+def file_stats(table: Table, commit_id: int | None = None) -> DataFrame:
+    """Live data files of a commit with their sizes (SRC8, M4)."""
+    live = table.live_parts(commit_id).select("day", "part_key")
+    return data_files(table).join(live, on=["day", "part_key"], how="left_semi")
+
+
+def compact(table: Table, target_file_bytes: int = TARGET_FILE_BYTES,
+            committed_at_ms: int | None = None) -> DataFrame:
+    """Bin-pack each day's live parts into ``ceil(bytes / target)`` files (M1).
+
+    One distributed rewrite for all days: rows are range-partitioned by day
+    with a per-day file count, written under a new part key, then committed as
+    one ``replace``. Returns the commit row.
+    """
+    spark = table.spark
+    files = file_stats(table)
+    per_day = files.groupBy("day").agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
+    per_day = per_day.withColumn("n_out", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_file_bytes))))
+    plan = per_day.checkpoint(eager=True)
+    if plan.limit(1).count() == 0:
+        return spark.createDataFrame([], COMMITS_SCHEMA)
+    head = table._head().select("commit_id").first()["commit_id"]
+    key = f"compact-{head + 1:012d}"
+    total_out = plan.agg(F.sum("n_out")).first()[0]
+    current = table.read().drop("part_key")
+    # salt rows of a day over its n_out files; days never share a file
+    offs = plan.withColumn("_base", F.sum("n_out").over(Window.orderBy("day").rowsBetween(
+        Window.unboundedPreceding, -1))).fillna(0, ["_base"])
+    rows = current.join(sized_broadcast(offs.select(F.col("day").alias(table.day_col), "n_out", "_base")),
+                        on=table.day_col)
+    rows = rows.withColumn("_file", F.col("_base") + F.pmod(F.xxhash64(*table.schema.fieldNames()), F.col("n_out")))
+    rows = rows.repartition(int(total_out), "_file").drop("n_out", "_base", "_file")
+    rows = rows.withColumn("part_key", F.lit(key))
+    rows = rows.persist()
+    try:
+        added = (rows.groupBy(F.col(table.day_col).alias("day"), "part_key")
+                     .agg(F.count(F.lit(1)).alias("records"))).checkpoint(eager=True)
+        table._write_parts(rows)
+    finally:
+        rows.unpersist()
+    removed = table.live_parts().filter(F.col("part_key") != key)
+    stamp = committed_at_ms if committed_at_ms is not None else int(time.time() * 1000)
+    adds = added.agg(F.array_sort(F.collect_list(F.struct("day", "part_key", "records"))).alias("adds"),
+                     F.sum("records").alias("added_records"))
+    rem = removed.agg(F.array_sort(F.collect_list(F.struct("day", "part_key", "records"))).alias("removes"),
+                      F.sum("records").alias("removed_records"))
+    new = adds.crossJoin(rem).select(F.lit(head + 1).cast("long").alias("batch_id"), "adds", "added_records",
+                                     "removes", F.col("removed_records").cast("long").alias("removed_records"),
+                                     F.lit(stamp).cast("long").alias("committed_at_ms"))
+    return table._append_commit_rows(new, "maintenance", REPLACE)
+
+
+def expire_snapshots(table: Table, older_than_ms: int | None = None,
+                     retention_ms: int = DEFAULT_RETENTION_MS, dry_run: bool = True) -> DataFrame:
+    """Parts referenced by no kept commit (M2). Kept = committed at or after the
+    cut-off, plus the head. Returns (day, part_key, records).
+
+    Kept commits are grouped into chains that share a lineage prefix; a part is
+    referenced by a chain iff it is added inside the chain's lineage and not
+    removed before the first kept commit that contains it.
+    """
+    cutoff = older_than_ms if older_than_ms is not None else int(time.time() * 1000) - retention_ms
+    c = table.commits()
+    head_id = c.agg(F.max("commit_id")).first()[0]
+    kept = c.filter((F.col("committed_at_ms") >= cutoff) | (F.col("commit_id") == head_id))
+    # chain key: lineage without the last interval's end
+    kept = kept.select("commit_id", F.slice("lineage", 1, F.size("lineage") - 1).alias("prefix"),
+                       F.element_at("lineage", -1)["lo"].alias("last_lo"))
+    chains = kept.groupBy("prefix", "last_lo").agg(F.min("commit_id").alias("k_min"),
+                                                    F.max("commit_id").alias("k_max"))
+    chains = chains.withColumn("chain", F.monotonically_increasing_id()).checkpoint(eager=True)
+    spans = chains.select("chain", "k_min", F.explode(F.concat(
+        "prefix", F.array(F.struct(F.col("last_lo").alias("lo"), F.col("k_max").alias("hi"))))).alias("s"))
+    spans = sized_broadcast(spans.select("chain", "k_min", "s.lo", "s.hi"))
+    adds = c.select(F.col("commit_id").alias("a"), F.explode("adds").alias("p")).select("a", "p.*")
+    rems = c.select(F.col("commit_id").alias("r"), F.explode("removes").alias("p")).select(
+        "r", F.col("p.day").alias("day"), F.col("p.part_key").alias("part_key"))
+    # part in chain lineage; first kept commit holding it is max(k_min, a)
+    inchain = adds.join(spans, (adds.a >= spans.lo) & (adds.a <= spans.hi))
+    inchain = inchain.select("chain", "day", "part_key", "records", F.greatest("k_min", "a").alias("k_star"))
+    rem_spans = rems.join(spans, (rems.r >= spans.lo) & (rems.r <= spans.hi)).select(
+        "chain", "day", "part_key", "r")
+    killed = inchain.join(rem_spans, on=["chain", "day", "part_key"]).filter(F.col("r") <= F.col("k_star"))
+    referenced = inchain.join(killed.select("chain", "day", "part_key"), on=["chain", "day", "part_key"],
+                              how="left_anti").select("day", "part_key").distinct()
+    all_parts = adds.select("day", "part_key", "records").distinct()
+    expired = all_parts.join(referenced, on=["day", "part_key"], how="left_anti")
+    if not dry_run:
+        expired = expired.checkpoint(eager=True)
+        for r in expired.select("day", "part_key").toLocalIterator():
+            delete_path(table.spark, table._part_path(r["day"], r["part_key"]))
+        # forget expired commits (the log keeps adds/removes of the lineage)
+    return expired
+
+
+def remove_orphan_files(table: Table, older_than_ms: int | None = None,
+                        retention_ms: int = DEFAULT_RETENTION_MS, dry_run: bool = True) -> DataFrame:
+    """Files no commit references, older than the cut-off (M3). Dry run by default."""
+    cutoff = older_than_ms if older_than_ms is not None else int(time.time() * 1000) - retention_ms
+    c = table.commits()
+    referenced = c.select(F.explode("adds").alias("p")).select("p.day", "p.part_key").distinct()
+    files = data_files(table)
+    orphans = files.join(referenced, on=["day", "part_key"], how="left_anti").filter(F.col("modified_ms") < cutoff)
+    if not dry_run:
+        orphans = orphans.checkpoint(eager=True)
+        for r in orphans.select("path").toLocalIterator():
+            delete_path(table.spark, r["path"])
+    return orphans
+
+
+def target_files(nbytes: int, target: int = TARGET_FILE_BYTES) -> int:
+    return max(1, math.ceil(nbytes / target))

@@ -203,3 +203,75 @@ FROM cur"""
 
 SQL["replay_first_10"] = BASE + """
 SELECT "partition", "offset", device_id, ts_ms FROM tv ORDER BY "partition", "offset" LIMIT 10"""
+
+# --- commit-stamped tables ------------------------------------------------------------
+
+_COMMITS = BASE + """,
+cb AS (SELECT seq // 1000 AS batch, count(*) AS added_records, max(arrival_ms) AS committed_at_ms
+       FROM v GROUP BY 1),
+h AS (SELECT CAST(dense_rank() OVER (ORDER BY batch) - 1 AS BIGINT) AS commit_id, batch, added_records,
+             committed_at_ms FROM cb),
+hist AS (SELECT commit_id, CASE WHEN commit_id = 0 THEN NULL ELSE commit_id - 1 END AS parent_id,
+                committed_at_ms, 'append' AS operation, added_records,
+                CAST(sum(added_records) OVER (ORDER BY commit_id) AS BIGINT) AS total_records, batch
+         FROM h),
+vb AS (SELECT v.*, h.commit_id, h.batch FROM v JOIN h ON v.seq // 1000 = h.batch)"""
+
+_ROWS = "device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vibration_g, firmware_version"
+
+SQL["snapshot_history"] = _COMMITS + """
+SELECT commit_id, parent_id, committed_at_ms, operation, added_records, total_records FROM hist"""
+
+SQL["latest_snapshots"] = _COMMITS + """
+SELECT commit_id, committed_at_ms, operation FROM hist ORDER BY committed_at_ms DESC, commit_id DESC LIMIT 5"""
+
+SQL["previous_snapshot"] = _COMMITS + """
+SELECT commit_id, committed_at_ms, operation FROM hist ORDER BY committed_at_ms DESC, commit_id DESC
+LIMIT 1 OFFSET 1"""
+
+SQL["table_rows"] = _COMMITS + f"\nSELECT {_ROWS} FROM vb"
+
+SQL["as_of_snapshot"] = _COMMITS + f"""
+SELECT {_ROWS} FROM vb WHERE commit_id <= (SELECT max(commit_id) // 2 FROM hist)"""
+
+SQL["snapshot_growth"] = _COMMITS + """
+SELECT min(commit_id) AS first_id, max(commit_id) AS last_id,
+       CAST(min(total_records) AS BIGINT) AS first_rows, CAST(max(total_records) AS BIGINT) AS last_rows,
+       CAST(max(total_records) - min(total_records) AS BIGINT) AS growth
+FROM hist"""
+
+_ROLLBACK = _COMMITS + """,
+hd AS (SELECT * FROM hist ORDER BY commit_id DESC LIMIT 1),
+pv AS (SELECT * FROM hist ORDER BY committed_at_ms DESC, commit_id DESC LIMIT 1 OFFSET 1),
+rb AS (SELECT hd.commit_id + 1 AS commit_id, pv.commit_id AS parent_id, hd.committed_at_ms + 1 AS committed_at_ms,
+              'rollback' AS operation, CAST(0 AS BIGINT) AS added_records, pv.total_records
+       FROM hd, pv),
+rp AS (SELECT hd.commit_id + 2 AS commit_id, hd.commit_id + 1 AS parent_id, hd.committed_at_ms + 2 AS committed_at_ms,
+              'append' AS operation, hd.added_records, pv.total_records + hd.added_records AS total_records
+       FROM hd, pv)"""
+
+SQL["rollback_state"] = _ROLLBACK + """
+SELECT commit_id, parent_id, committed_at_ms, operation, added_records, total_records FROM hist
+UNION ALL SELECT * FROM rb
+UNION ALL SELECT * FROM rp"""
+
+SQL["rollback_rows"] = _ROLLBACK + f"""
+SELECT {_ROWS} FROM vb WHERE commit_id <= (SELECT commit_id FROM pv) OR batch = (SELECT batch FROM hd)"""
+
+_DAY = "CAST(CAST(make_timestamp(ts_ms * 1000) AS DATE) AS VARCHAR)"
+
+SQL["expire_candidates"] = _COMMITS + f"""
+SELECT {_DAY} AS day, 'append-' || lpad(CAST(batch AS VARCHAR), 12, '0') AS part_key, count(*) AS records
+FROM vb GROUP BY ALL"""
+
+SQL["orphan_files"] = _COMMITS + f"""
+SELECT DISTINCT {_DAY} AS day, 'crashed-' || lpad(CAST(batch AS VARCHAR), 12, '0') AS part_key
+FROM vb WHERE batch = (SELECT max(batch) FROM hist)"""
+
+SQL["schema_evolution_read"] = _COMMITS + """
+SELECT device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vibration_g,
+       CASE WHEN batch <= (SELECT max(batch) // 2 FROM hist) THEN NULL ELSE firmware_version END AS firmware_version
+FROM vb"""
+
+SQL["time_range"] = _COMMITS + f"""
+SELECT {_ROWS} FROM vb WHERE ts_ms >= 1704074400000 AND ts_ms < 1704081600000"""
