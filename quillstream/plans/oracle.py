@@ -275,3 +275,54 @@ FROM vb"""
 
 SQL["time_range"] = _COMMITS + f"""
 SELECT {_ROWS} FROM vb WHERE ts_ms >= 1704074400000 AND ts_ms < 1704081600000"""
+
+# --- streaming jobs over the replayed log (one micro-batch per arrival hour) -----------
+
+_STREAM = BASE + f""",
+w AS (SELECT *, {_CORRUPT} AS damage,
+             (arrival_ms - 1704067200000) // 3600000 AS sbatch FROM cls),
+sw AS (SELECT *, CASE WHEN damage IS NULL THEN ts_ms ELSE arrival_ms END AS event_ms FROM w),
+sm AS (SELECT sbatch, max(event_ms) AS bmax FROM sw GROUP BY sbatch),
+swm AS (SELECT sbatch, max(bmax) OVER (ORDER BY sbatch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 5000
+               AS watermark_ms FROM sm),
+sv AS (SELECT sw.*, (sw.ts_ms // 60000 + 1) * 60000 AS window_end_ms,
+              coalesce((sw.ts_ms // 60000 + 1) * 60000 <= swm.watermark_ms, false) AS is_late
+       FROM sw LEFT JOIN swm USING (sbatch) WHERE sw.damage IS NULL AND sw.reject_reason IS NULL),
+final_wm AS (SELECT max(event_ms) - 5000 AS wm FROM sw)"""
+
+SQL["stream_append"] = _STREAM + f"\nSELECT {_ROWS} FROM sv"
+
+SQL["stream_dead_letters"] = _STREAM + """
+SELECT 'deserialize' AS stage, CAST(NULL AS VARCHAR) AS device_id,
+       CAST(CASE damage WHEN 'null' THEN 0 WHEN 'short' THEN 5 WHEN 'header' THEN 6 WHEN 'body' THEN 8 END AS BIGINT)
+         AS payload_len,
+       CASE WHEN damage = 'header' THEN NULL ELSE '' END AS reason_field
+FROM sw WHERE damage IS NOT NULL
+UNION ALL
+SELECT 'validate', device_id, NULL, reject_field FROM sw WHERE damage IS NULL AND reject_reason IS NOT NULL"""
+
+SQL["stream_window"] = _STREAM + "\n" + _win_stats(
+    "(SELECT * FROM sv WHERE NOT is_late AND window_end_ms <= (SELECT wm FROM final_wm))")
+
+SQL["stream_window_dead_letters"] = _STREAM + """
+SELECT 'deserialize' AS stage, CAST(NULL AS VARCHAR) AS device_id, CAST(NULL AS BIGINT) AS event_ts,
+       CASE WHEN damage = 'header' THEN NULL ELSE '' END AS reason_field
+FROM sw WHERE damage IS NOT NULL
+UNION ALL
+SELECT 'validate', device_id, NULL, reject_field FROM sw WHERE damage IS NULL AND reject_reason IS NOT NULL
+UNION ALL
+SELECT 'late', device_id, ts_ms, NULL FROM sv WHERE is_late"""
+
+SQL["stream_upsert"] = _STREAM + f""",
+{_CORR},
+su AS (SELECT * FROM (SELECT "offset", device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa,
+                             vibration_g, firmware_version FROM sw WHERE damage IS NULL
+                      UNION ALL SELECT "offset", device_id, site_id, ts_ms, temperature_c, humidity_pct,
+                             pressure_hpa, vibration_g, firmware_version FROM corr)
+       WHERE device_id <> '' AND ts_ms > 0
+         AND isfinite(temperature_c) AND temperature_c BETWEEN -60.0 AND 150.0
+         AND isfinite(humidity_pct) AND humidity_pct BETWEEN 0.0 AND 100.0
+         AND isfinite(pressure_hpa) AND pressure_hpa BETWEEN 800.0 AND 1100.0
+         AND isfinite(vibration_g) AND vibration_g BETWEEN 0.0 AND 50.0)
+SELECT {_ROWS} FROM su
+QUALIFY row_number() OVER (PARTITION BY device_id, ts_ms ORDER BY "offset" DESC) = 1"""

@@ -165,4 +165,4 @@ def q_latest_10(spark, sf_dir):
 
 
 # Further query groups register themselves on import.
-from . import ingest_queries, table_queries  # noqa: E402,F401
+from . import ingest_queries, stream_queries, table_queries  # noqa: E402,F401
