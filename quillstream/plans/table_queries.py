@@ -109,6 +109,8 @@ def _rollback_scenario(spark, sf_dir):
     rows = _batched_rows(spark, sf_dir)
     t = build_table(spark, sf_dir, "rollback", rows)
     prev = previous_snapshot(t.commits()).first()
+    if prev is None:  # single commit: "no earlier snapshot", nothing is rolled back
+        return t
     head = t.commits().orderBy(F.col("commit_id").desc()).first()
     t.rollback_to(prev["commit_id"], committed_at_ms=head["committed_at_ms"] + 1)
     last = rows.filter(F.col("batch") == head["batch_id"])
