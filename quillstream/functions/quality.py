@@ -81,6 +81,21 @@ def reject_field(prefix: str = "", ts_col: str = "ts") -> Column:
     return expr
 
 
+def plausible(prefix: str = "", ts_col: str = "ts") -> Column:
+    """Boolean form of the gate: true iff ``reject_reason`` would be NULL.
+
+    Cheaper than testing the reason text (no string building per row), and a
+    plain conjunction Catalyst can push into scans.
+    """
+    col = lambda n: F.col(prefix + n)
+    ts = col(ts_col)
+    ok = (F.coalesce(col("device_id"), F.lit("")) != F.lit("")) & (ts > 0) & (ts <= F.lit(9223372036854775))
+    for field, lo, hi in RANGE_RULES:
+        c = col(field)
+        ok = ok & ~not_finite(c) & (c >= F.lit(lo)) & (c <= F.lit(hi))
+    return F.coalesce(ok, F.lit(False))
+
+
 def reason_field(reason: Column) -> Column:
     """Failing field recovered from a reason text (for dead-letter triage, P8)."""
     return (F.when(reason.startswith("empty device_id"), F.lit("device_id"))

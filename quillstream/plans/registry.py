@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.quality import classify, reject_field, to_table_row
+from ..functions.quality import classify, plausible, reject_field, to_table_row
 from ..functions.timefn import ts_to_millis
 from ..operators import route
 from ..operators.windows import classify_late, windowed_stats
@@ -38,7 +38,8 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route.valid_rows(classified(spark, sf_dir))
+    """Plausible readings only (boolean gate, no reason text built)."""
+    return telemetry_view(spark, sf_dir).filter(plausible(ts_col="ts_ms"))
 
 
 def late_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,17 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefn import millis_to_ts, ts_between, ts_to_millis
-from ..operators import route
 from ..schema import TELEMETRY_TABLE
 from ..sources.events import COMMIT_ROWS
 from . import maintenance
-from .registry import classified, register
+from .registry import register, valid
 from .tables import Table, latest_snapshots, new_root, previous_snapshot
 
 
 def _batched_rows(spark, sf_dir) -> DataFrame:
     """Plausible readings as table rows (P1), with their commit batch and arrival time."""
-    v = route.valid_rows(classified(spark, sf_dir))
+    v = valid(spark, sf_dir)
     extra = [F.expr(f"seq div {COMMIT_ROWS}").alias("batch"), F.col("arrival_ms")]
     return v.select(*_table_exprs(), *extra)
 

@@ -96,6 +96,10 @@ class Table:
         self.path = f"{self.root}/{name}"
         self.data_path = f"{self.path}/data"
         self.commits_path = f"{self.path}/_commits"
+        # Single-writer cache of the head commit and of the last batch per
+        # writer; filled from the log on first use (e.g. after a restart).
+        self._head_row = None
+        self._last_batch: dict[str, int | None] = {}
 
     # SNK5: create if absent; never alters an existing table.
     def create_if_absent(self) -> Table:
@@ -166,23 +170,43 @@ class Table:
     def commit_batch(self, df: DataFrame, writer: str, batch_id: int,
                      committed_at_ms: int | None = None) -> bool:
         """Stream sink step (SNK1): write one micro-batch and commit it.
-        Returns False when ``(writer, batch_id)`` was already committed."""
+
+        Returns False when ``(writer, batch_id)`` was already committed. The
+        commit row is built on the driver from two bounded results: the
+        per-day row counts of this batch (one row per day touched) and the
+        head commit.
+        """
         self.create_if_absent()
-        if self.committed_batches(writer).filter(F.col("batch_id") == batch_id).limit(1).count():
+        if writer not in self._last_batch:
+            last = self.commits().filter(F.col("writer") == writer).agg(F.max("batch_id")).first()[0]
+            self._last_batch[writer] = last
+        last = self._last_batch[writer]
+        if last is not None and batch_id <= last and self.commits().filter(
+                (F.col("writer") == writer) & (F.col("batch_id") == batch_id)).limit(1).count():
             return False
         key = f"{writer}-{batch_id:012d}"
         rows = self._with_day(df).withColumn("part_key", F.lit(key))
-        parts = (rows.groupBy(F.col(self.day_col).alias("day"), "part_key")
-                     .agg(F.count(F.lit(1)).alias("records"))).checkpoint(eager=True)
+        per_day = rows.groupBy(self.day_col).agg(F.count(F.lit(1)).alias("n")).collect()
         self._write_parts(rows)
-        stamp = committed_at_ms if committed_at_ms is not None else int(time.time() * 1000)
-        adds = parts.agg(
-            F.coalesce(F.array_sort(F.collect_list(F.struct("day", "part_key", "records"))),
-                       F.array().cast(COMMITS_SCHEMA["adds"].dataType)).alias("adds"),
-            F.coalesce(F.sum("records"), F.lit(0)).cast("long").alias("added_records"))
-        new = adds.select(F.lit(batch_id).cast("long").alias("batch_id"), "adds", "added_records",
-                          F.lit(stamp).cast("long").alias("committed_at_ms"))
-        self._append_commit_rows(new, writer, APPEND)
+        if self._head_row is None:
+            self._head_row = self.commits().orderBy(F.col("commit_id").desc()).limit(1).collect()
+        head = self._head_row
+        adds = sorted((r[self.day_col], key, int(r["n"])) for r in per_day)
+        added = sum(a[2] for a in adds)
+        cid = head[0]["commit_id"] + 1 if head else 0
+        if head:
+            lineage = [tuple(x) for x in head[0]["lineage"]]
+            lineage[-1] = (lineage[-1][0], cid)
+        else:
+            lineage = [(cid, cid)]
+        row = (cid, head[0]["commit_id"] if head else None,
+               committed_at_ms if committed_at_ms is not None else int(time.time() * 1000),
+               APPEND, writer, int(batch_id), adds, [], added, 0,
+               (head[0]["total_records"] if head else 0) + added, lineage)
+        self.spark.createDataFrame([row], COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(
+            self.commits_path)
+        self._head_row = [dict(commit_id=cid, total_records=row[10], lineage=lineage)]
+        self._last_batch[writer] = max(batch_id, last if last is not None else batch_id)
         return True
 
     def _append_commit_rows(self, new: DataFrame, writer: str, operation: str,
@@ -223,6 +247,7 @@ class Table:
             "removed_records", "total_records", "lineage")
         out = out.checkpoint(eager=True)
         out.coalesce(1).write.mode("append").parquet(self.commits_path)
+        self._head_row, self._last_batch = None, {}
         return out
 
     # ------------------------------------------------------------------- reads
@@ -282,6 +307,7 @@ class Table:
              .alias("lineage"))
         row = row.checkpoint(eager=True)
         row.write.mode("append").parquet(self.commits_path)
+        self._head_row, self._last_batch = None, {}
         return row
 
 
