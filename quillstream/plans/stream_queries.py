@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_millis
 from ..operators import route
+from ..operators.health import counter_rate, health_summary, progress_frame
+from ..schema import LOG_ROW
 from ..sources.events import CORRECTION_OFFSET_BASE, EPOCH_2024_MS, telemetry_view
 from ..sources.log import read_log_stream, to_log_rows
 from ..streaming import jobs
@@ -53,6 +55,7 @@ def _run(query) -> None:
 
 
 _RUNS: dict = {}
+_PROGRESS: dict = {}
 
 
 def _once(kind: str):
@@ -74,8 +77,10 @@ def run_append(spark, sf_dir):
     root = new_root(spark, "stream-append")
     write_log_files(_stream_log(spark, sf_dir), "_batch", f"{root}/log")
     table = jobs.telemetry_table(spark, root)
-    _run(jobs.start_append_job(_files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/append",
-                               trigger={"availableNow": True}, name="append"))
+    q = jobs.start_append_job(_files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/append",
+                              trigger={"availableNow": True}, name="append")
+    _run(q)
+    _PROGRESS[(spark.sparkContext.applicationId, sf_dir)] = [p.json for p in q.recentProgress]
     return table, f"{root}/dlq"
 
 
@@ -147,4 +152,33 @@ def q_stream_upsert(spark, sf_dir):
     return cur.select("device_id", "site_id", ts_to_millis("ts").alias("ts_ms"), *_ROW_COLS[2:])
 
 
+@register("stream_health")
+def q_stream_health(spark, sf_dir):
+    """Stream-health panel numbers from the append job's progress (MET2-MET7); timing values vary."""
+    run_append(spark, sf_dir)
+    prog = progress_frame(spark, _PROGRESS[(spark.sparkContext.applicationId, sf_dir)])
+    return health_summary(prog)
+
+
+@register("reconcile")
+def q_reconcile(spark, sf_dir):
+    """Losslessness: log records = table rows + dead letters; snapshot total = table rows."""
+    table, dlq = run_append(spark, sf_dir)
+    log_n = spark.read.schema(LOG_ROW).parquet(f"{table.root}/log/*").count()
+    rows_n = table.read().count()
+    snap = table.commits().agg(F.max_by("total_records", "commit_id")).first()[0]
+    dlq_n = jobs.read_dead_letters(spark, dlq).count()
+    return spark.createDataFrame(
+        [(log_n, rows_n, snap, dlq_n, log_n == rows_n + dlq_n and snap == rows_n)],
+        "log_records long, table_rows long, snapshot_total long, dead_letters long, balanced boolean")
+
+
+@register("counter_rate")
+def q_counter_rate(spark, sf_dir):
+    """Per-device records/s over the last minute at each 15 s scrape (MET2, F8)."""
+    v = telemetry_view(spark, sf_dir)
+    return counter_rate(v, "device_id", "ts_ms").select(
+        F.col("series").alias("device_id"), "scrape_ms", "rate_per_sec")
+
+
 __all__ = ["CORRECTION_OFFSET_BASE", "STREAM_BATCH_MS", "write_log_files"]

@@ -51,8 +51,9 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str):
 
 def start_append_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: str,
                      trigger: dict | None = None, name: str = "telemetry_append"):
-    """Log -> decode -> gate -> append table + dead letters (3.1)."""
-    classified = decode_and_classify(log)
+    """Log -> decode -> gate -> append table + dead letters (3.1).
+    The router's quality counters are observed per batch (A6, MET7)."""
+    classified = decode_and_classify(log).observe("quality", *route.counter_exprs())
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
