@@ -1,6 +1,6 @@
 """Device JSON payloads -> canonical readings (SRC2, SRC3, J1-J3).
 
-Payloads are parsed JVM-side into a VARIANT, so each key's JSON type is known:
+Payloads are parsed JVM-side into per-key VARIANTs, so each key's JSON type is known:
 numbers and numeric strings are accepted for the measures (``float(x)``
 semantics), ``ts`` is epoch millis when it is a JSON number (truncated) and
 ISO-8601 when it is a string, ``firmware_version`` defaults to ``""``. A
@@ -43,62 +43,67 @@ def filter_topics(df: DataFrame, topic_col: str = "topic", topic_filter: str = D
                .withColumn("topic_device", F.split_part(t, F.lit("/"), F.lit(3))))
 
 
-def _kind(v: Column, path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+def _kind(v: Column) -> Column:
+    return F.schema_of_variant(v)
 
 
-def _number(v: Column, key: str) -> Column:
+_NUMBER_KINDS = ("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
+
+
+def _is_number(kind: Column) -> Column:
+    return kind.isin(*_NUMBER_KINDS) | kind.startswith("DECIMAL")
+
+
+def _number(v: Column) -> Column:
     """``float(x)``: a JSON number, or a string holding one."""
-    path = f"$.{key}"
-    kind = _kind(v, path)
-    as_str = F.try_variant_get(v, path, "string")
-    from_str = F.trim(as_str).try_cast("double")
-    from_num = F.try_variant_get(v, path, "double")
-    return F.when(kind == "STRING", from_str).when(kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"),
-                                                    from_num)
+    kind = _kind(v)
+    from_str = F.trim(F.try_variant_get(v, "$", "string")).try_cast("double")
+    return F.when(kind == "STRING", from_str).when(_is_number(kind), F.try_variant_get(v, "$", "double"))
 
 
-def _string(v: Column, key: str) -> Column:
-    path = f"$.{key}"
-    return F.when(_kind(v, path) == "STRING", F.try_variant_get(v, path, "string"))
+def _string(v: Column) -> Column:
+    return F.when(_kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
 
 
 def _ts_millis(v: Column) -> Column:
-    kind = _kind(v, "$.ts")
-    num = F.try_variant_get(v, "$.ts", "double")
-    int_ms = F.try_variant_get(v, "$.ts", "long")
+    """JSON number -> millis truncated toward zero; JSON string -> ISO-8601 (a
+    numeric string is an ISO error, as in the bridge)."""
+    kind = _kind(v)
+    text = F.try_variant_get(v, "$", "string")
+    int_ms = F.try_variant_get(v, "$", "long")
+    num = F.try_variant_get(v, "$", "double")
     number_ms = F.coalesce(int_ms, F.when(F.abs(num) < F.lit(9.2e18), num.cast("long")))
-    iso_ms = normalise_ts_millis(F.try_variant_get(v, "$.ts", "string"))
-    return (F.when(kind == "STRING", F.when(F.try_variant_get(v, "$.ts", "string").rlike(r"^\s*-?[0-9.]+\s*$"),
-                                            F.lit(None).cast("long")).otherwise(iso_ms))
-             .when(kind == "BIGINT", int_ms)
-             .when(kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), number_ms))
+    iso_ms = F.when(~text.rlike(r"^\s*-?[0-9.]+\s*$"), normalise_ts_millis(text))
+    return F.when(kind == "STRING", iso_ms).when(_is_number(kind), number_ms)
+
+
+_PAYLOAD_SCHEMA = ", ".join(f"{k} variant" for k in REQUIRED_KEYS + ["firmware_version"])
 
 
 def normalise_payload(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Parse JSON payloads into reading columns plus ``parse_ok``.
 
-    Reading columns are NULL where ``parse_ok`` is false. ``ts`` is epoch millis.
+    Each payload is parsed once into a struct of per-key VARIANT values, so the
+    JSON type of every key is known. Reading columns are NULL where
+    ``parse_ok`` is false. ``ts`` is epoch millis.
     """
-    v = F.try_parse_json(F.col(payload_col))
+    d = df.withColumn("_p", F.from_json(F.col(payload_col), _PAYLOAD_SCHEMA))
+    p = lambda k: F.col(f"_p.{k}")
     fields = {
-        "device_id": _string(v, "device_id"),
-        "site_id": _string(v, "site_id"),
-        "ts": _ts_millis(v),
-        **{k: _number(v, k) for k in NUMERIC_KEYS},
+        "device_id": _string(p("device_id")),
+        "site_id": _string(p("site_id")),
+        "ts": _ts_millis(p("ts")),
+        **{k: _number(p(k)) for k in NUMERIC_KEYS},
     }
-    firmware = F.coalesce(_string(v, "firmware_version"), F.lit(""))
-    d = df.withColumn("_v", v)
-    # evaluate each field once
-    d = d.select("*", *[F.when(F.col("_v").isNotNull(), e).alias(f"_f_{k}") for k, e in fields.items()],
-                 firmware.alias("_f_firmware_version"))
-    ok = F.col("_v").isNotNull()
+    d = d.select("*", *[e.alias(f"_f_{k}") for k, e in fields.items()],
+                 F.coalesce(_string(p("firmware_version")), F.lit("")).alias("_f_firmware_version"))
+    ok = F.lit(True)
     for k in fields:
         ok = ok & F.col(f"_f_{k}").isNotNull()
     d = d.withColumn("parse_ok", ok)
     for k in list(fields) + ["firmware_version"]:
         d = d.withColumn(k, F.when(F.col("parse_ok"), F.col(f"_f_{k}")))
-    return d.drop("_v", *[f"_f_{k}" for k in list(fields) + ["firmware_version"]])
+    return d.drop("_p", *[f"_f_{k}" for k in list(fields) + ["firmware_version"]])
 
 
 def bridge_counters(normalised: DataFrame) -> DataFrame:
