@@ -12,8 +12,8 @@ device inside ``transformWithStateInPandas``:
 * the timer fires once the watermark reaches the window end and emits the
   aggregate row; rejected readings pass through as ``reject`` rows.
 
-Each pandas chunk is grouped by window first, so state is touched once per
-window and chunk, not once per reading.
+All chunks of a device's micro-batch are grouped by window first; open windows
+are read in one state scan and each touched window is written once per batch.
 """
 
 from __future__ import annotations
@@ -96,63 +96,68 @@ class LateAwareWindows(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         device = key[0]
-        out = []
+        out, on_time = [], []
         for pdf in rows:
             rej = pdf[pdf["stage"].notna()]
             if len(rej):
-                r = pd.DataFrame({"kind": "reject", "device_id": rej["device_id"], "event_ts": rej["event_ms"],
-                                  "stage": rej["stage"], "reason": rej["reject_reason"],
-                                  "payload_len": rej["payload_len"]})
-                out.append(r)
+                out.append(pd.DataFrame({"kind": "reject", "device_id": rej["device_id"], "event_ts": rej["event_ms"],
+                                         "stage": rej["stage"], "reason": rej["reject_reason"],
+                                         "payload_len": rej["payload_len"]}))
             ok = pdf[pdf["stage"].isna()]
             if not len(ok):
                 continue
             ts = ok["event_ms"].astype("int64")
             start = ts - np.mod(ts, self.window_ms)
-            end = start + self.window_ms
-            late_mask = (end <= wm).to_numpy() if wm is not None and wm > 0 else np.zeros(len(ok), bool)
+            late_mask = ((start + self.window_ms) <= wm).to_numpy() if wm is not None and wm > 0 \
+                else np.zeros(len(ok), bool)
             if late_mask.any():
-                lt = ok[late_mask]
                 out.append(pd.DataFrame({"kind": "late", "device_id": device,
-                                         "event_ts": lt["event_ms"].astype("int64")}))
-            on = ok[~late_mask].assign(_start=start[~late_mask])
-            if not len(on):
-                continue
-            if self.scale is not None:
-                on = on.assign(_tu=np.round(on["temperature_c"] * self.scale).astype("int64"),
-                               _hu=np.round(on["humidity_pct"] * self.scale).astype("int64"),
-                               _pu=np.round(on["pressure_hpa"] * self.scale).astype("int64"))
-            else:
-                on = on.assign(_tu=0, _hu=0, _pu=0)
-            g = on.groupby("_start").agg(
-                n=("temperature_c", "size"), t_sum=("temperature_c", "sum"), t_units=("_tu", "sum"),
-                t_min=("temperature_c", "min"), t_max=("temperature_c", "max"),
-                h_sum=("humidity_pct", "sum"), h_units=("_hu", "sum"),
-                p_sum=("pressure_hpa", "sum"), p_units=("_pu", "sum"))
-            for w_start, acc in g.iterrows():
-                k = (int(w_start),)
-                if self.windows.containsKey(k):
-                    n, ts_, tu, tmin, tmax, hs, hu, ps, pu = self.windows.getValue(k)
-                    new = (n + int(acc.n), ts_ + acc.t_sum, tu + int(acc.t_units), min(tmin, acc.t_min),
-                           max(tmax, acc.t_max), hs + acc.h_sum, hu + int(acc.h_units), ps + acc.p_sum,
-                           pu + int(acc.p_units))
-                else:
-                    new = (int(acc.n), float(acc.t_sum), int(acc.t_units), float(acc.t_min), float(acc.t_max),
-                           float(acc.h_sum), int(acc.h_units), float(acc.p_sum), int(acc.p_units))
-                    self.handle.registerTimer(int(w_start) + self.window_ms)
-                self.windows.updateValue(k, new)
+                                         "event_ts": ts[late_mask]}))
+            if (~late_mask).any():
+                on_time.append(ok[~late_mask].assign(_start=start[~late_mask]))
+        if on_time:
+            self._fold(pd.concat(on_time, ignore_index=True))
         if out:
             yield _typed(pd.concat([_typed(o) for o in out], ignore_index=True))
         else:
             yield _empty()
 
+    def _fold(self, on: pd.DataFrame) -> None:
+        """Fold this batch's on-time readings of one device into its open
+        windows: one aggregation, one state read, one write per window."""
+        if self.scale is not None:
+            on = on.assign(_tu=np.round(on["temperature_c"] * self.scale).astype("int64"),
+                           _hu=np.round(on["humidity_pct"] * self.scale).astype("int64"),
+                           _pu=np.round(on["pressure_hpa"] * self.scale).astype("int64"))
+        else:
+            on = on.assign(_tu=0, _hu=0, _pu=0)
+        g = on.groupby("_start").agg(
+            n=("temperature_c", "size"), t_sum=("temperature_c", "sum"), t_units=("_tu", "sum"),
+            t_min=("temperature_c", "min"), t_max=("temperature_c", "max"),
+            h_sum=("humidity_pct", "sum"), h_units=("_hu", "sum"),
+            p_sum=("pressure_hpa", "sum"), p_units=("_pu", "sum"))
+        open_windows = {k[0]: v for k, v in self.windows.iterator()} if self.windows.exists() else {}
+        for w_start, acc in zip(g.index.tolist(), g.itertuples(index=False)):
+            cur = open_windows.get(int(w_start))
+            if cur is not None:
+                n, ts_, tu, tmin, tmax, hs, hu, ps, pu = cur
+                new = (n + int(acc.n), ts_ + float(acc.t_sum), tu + int(acc.t_units), min(tmin, float(acc.t_min)),
+                       max(tmax, float(acc.t_max)), hs + float(acc.h_sum), hu + int(acc.h_units),
+                       ps + float(acc.p_sum), pu + int(acc.p_units))
+            else:
+                new = (int(acc.n), float(acc.t_sum), int(acc.t_units), float(acc.t_min), float(acc.t_max),
+                       float(acc.h_sum), int(acc.h_units), float(acc.p_sum), int(acc.p_units))
+                self.handle.registerTimer(int(w_start) + self.window_ms)
+            self.windows.updateValue((int(w_start),), new)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         end = expiredTimerInfo.getExpiryTimeInMs()
         k = (end - self.window_ms,)
-        if not self.windows.containsKey(k):
+        acc = self.windows.getValue(k)
+        if acc is None:
             yield _empty()
             return
-        n, ts_, tu, tmin, tmax, hs, hu, ps, pu = self.windows.getValue(k)
+        n, ts_, tu, tmin, tmax, hs, hu, ps, pu = acc
         self.windows.removeKey(k)
         yield pd.DataFrame([{
             "kind": "agg", "device_id": key[0], "window_start_ms": k[0], "window_end_ms": end,
