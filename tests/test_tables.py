@@ -73,3 +73,10 @@ def test_orphans_found(spark):
     t._write_parts(t._with_day(_rows(spark, 2, 40)).withColumn("part_key", F.lit("crashed-1")))
     orphans = maintenance.remove_orphan_files(t, older_than_ms=2**62)
     assert {r.part_key for r in orphans.collect()} == {"crashed-1"}
+
+
+def test_list_tables(spark):
+    from quillstream.plans.tables import list_tables
+    t = _table(spark)
+    Table(spark, "telemetry_upsert", TELEMETRY_TABLE, "ts", root=t.root).create_if_absent()
+    assert [r.tableName for r in list_tables(spark, t.root).collect()] == ["telemetry", "telemetry_upsert"]
