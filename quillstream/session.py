@@ -56,16 +56,26 @@ def apply_conf(spark: SparkSession) -> None:
             pass
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def warehouse_root(spark: SparkSession) -> str:
     """Shared folder for tables and checkpoints, from ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Unset: local run (tests, bench). Register a private scratch folder once.
-        root = tempfile.mkdtemp(prefix="quillstream-wh-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "_rdd_checkpoints"))
+        # Unset: local run (tests, bench). Register a private scratch folder once per app.
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app)
+        if root is None:
+            root = tempfile.mkdtemp(prefix="quillstream-wh-")
+            _LOCAL_ROOTS[app] = root
+            try:
+                spark.conf.set("spark.checkpoint.dir", root)
+            except Exception:  # core conf may be read-only at runtime
+                pass
+            spark.sparkContext.setCheckpointDir(os.path.join(root, "_rdd_checkpoints"))
     return root.rstrip("/")
 
 
