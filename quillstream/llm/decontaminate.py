@@ -219,12 +219,12 @@ def report_column(benchmark: DataFrame, text: str = "text", window: int = WINDOW
         def report(a: pa.Array) -> pa.Array:
             return _report(a)
         return report(*found)
-    packed = F.array(*found)
+    packed, count = F.array(*found), len(found)
 
     @F.arrow_udf(returnType=REPORT)
     def report_blocks(a: pa.Array) -> pa.Array:
         rows = a.to_pylist()
-        return _report(*(pa.array([r[i] for r in rows]) for i in range(len(found)))) if rows else _report(pa.array([]))
+        return _report(*(pa.array([r[i] for r in rows]) for i in range(count))) if rows else _report(pa.array([]))
     return report_blocks(packed)
 
 
