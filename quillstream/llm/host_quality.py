@@ -54,18 +54,13 @@ def _repeat_words(flat: W.Flat) -> np.ndarray:
 
 def _dup_lines(flat: W.Flat) -> np.ndarray:
     """Per row, lines that hold a word and equal an earlier line of the row."""
-    rows = len(flat.offset) - 1
-    ends = np.union1d(np.flatnonzero(flat.data == 10), flat.offset[1:])  # a row's end ends its last line
-    starts = np.concatenate(([0], ends[:-1] + (flat.data[ends[:-1]] == 10 if len(flat.data) else 0)))[:len(ends)]
-    # a newline as the last byte of a row leaves an empty line there: it has no word
-    row = np.searchsorted(flat.offset, starts, "right") - 1
-    starts = np.minimum(starts, ends)
-    with_word = np.searchsorted(flat.start, ends) > np.searchsorted(flat.start, starts)
-    starts, ends, row = starts[with_word], ends[with_word], row[with_word]
-    key = W.span_hashes(W._BYTE[flat.data], starts, ends)
+    start, end, first = W.lines(flat.data, flat.offset)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    with_word = np.searchsorted(flat.start, end) > np.searchsorted(flat.start, start)
+    row, key = row[with_word], W.byte_hashes(flat.data, start[with_word], end[with_word])
     order = np.lexsort((key, row))
     same = (key[order][1:] == key[order][:-1]) & (row[order][1:] == row[order][:-1])
-    return np.bincount(row[order[1:][same]], minlength=rows).astype(np.int64)
+    return np.bincount(row[order[1:][same]], minlength=len(first) - 1).astype(np.int64)
 
 
 def _measure_column(column: pa.Array) -> pa.Array:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bpe, decontaminate, host_quality
+from quillstream.llm import bpe, decontaminate, host_quality, line_chunks, near_dup
 from quillstream.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,15 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_register
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that repeated multi-line chunks take from every document."""
+    return line_chunks.line_report(table(spark, sf_dir, "documents"))

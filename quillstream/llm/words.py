@@ -151,3 +151,18 @@ def per_row(flat: Flat, values: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=sums[1:])
     return np.diff(sums[flat.first])
+
+
+def lines(data: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first): byte bounds of the lines of each row, without their
+    newline, and the number of lines before each row; an empty row is one line."""
+    newline = np.flatnonzero(data == 10)
+    start = np.sort(np.concatenate([offset[:-1], newline + 1]))
+    end = np.sort(np.concatenate([newline, offset[1:]]))
+    first = np.searchsorted(newline, offset) + np.arange(len(offset))
+    return start, end, first
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: bool = False) -> np.ndarray:
+    """Hash of bytes of spans; ``other`` gives an independent second one."""
+    return span_hashes((mix(_BYTE) if other else _BYTE)[data], start, end)
