@@ -67,3 +67,15 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coa
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM documents d LEFT JOIN counts c ON c.id = d.doc_id LEFT JOIN hits h ON h.id = d.doc_id LEFT JOIN items t ON t.id = d.doc_id
 """
+
+SQL["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+), g AS (
+  SELECT payload, max(page_id) AS response FROM p WHERE payload_bytes >= 1000 GROUP BY payload HAVING count(*) > 1
+)
+SELECT page_id, payload_bytes, sha1(p.payload) AS payload_digest,
+       CASE WHEN response IS NULL OR response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM p LEFT JOIN g ON p.payload = g.payload
+"""

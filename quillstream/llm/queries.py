@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bpe, decontaminate, host_quality, line_chunks, near_dup
+from quillstream.llm import bpe, decontaminate, host_quality, line_chunks, near_dup, token_files, warc
 from quillstream.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,15 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that repeated multi-line chunks take from every document."""
     return line_chunks.line_report(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record kind and payload of every page, read back from normalised archives."""
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
+@_register
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, count and checksum of every document's ids, read back from seekable files."""
+    return token_files.token_files(table(spark, sf_dir, "documents"))
