@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bpe, decontaminate, host_quality, line_chunks, near_dup, token_files, warc
+from quillstream.llm import bpe, decontaminate, host_quality, line_chunks, near_dup, secrets, token_files, warc
 from quillstream.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, count and checksum of every document's ids, read back from seekable files."""
     return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base spans and those that window entropy adds."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
