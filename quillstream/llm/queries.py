@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bpe, decontaminate, host_quality, line_chunks, near_dup, secrets, token_files, warc
+from quillstream.llm import bpe, cotrain, decontaminate, host_quality, line_chunks, near_dup, secrets, token_files, warc
 from quillstream.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans and those that window entropy adds."""
     return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op10_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document from two co-trained views."""
+    return cotrain.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
