@@ -1,8 +1,10 @@
 """Operator 10: document classifier by co-training of two views.
 
-One view sees the words of the whole text (presence of hashed words), the other
-the page's metadata (language, source, size, line and character shape). Each is
-a logistic model. Both are fitted to labelled documents; in every round each
+One view sees the text (how often its words, and stems of 5 and 7 bytes, occur,
+hashed), the other the page's metadata (language, source, size, line and
+character shape). Each is a logistic model; a word's count is scaled by how much
+more frequent documents with it are on one side, so that words that tell nothing
+get no weight however many there are. Both are fitted to labelled documents; in every round each
 view labels the unlabelled pool documents it is surest of, and these go to the
 other view's training rows. Then each view is calibrated on labelled documents
 held out from training, and the calibrated log-odds are added (less the prior
@@ -40,7 +42,9 @@ ROUNDS = 2
 #: Share of the pool that a view may label in a round, and how sure it has to be.
 SHARE, SURE = 0.05, (0.005, 0.98)
 #: Words in fewer training documents than this get no weight.
-MIN_DOCS = 4
+MIN_DOCS = 3
+PENALTY = 2e-3
+STEMS = (5, 7)
 SOURCE_BUCKETS, LANG_BUCKETS = 32, 16
 _SHAPE = ("log_bytes", "lines", "symbols", "digits", "upper", "punctuation", "non_ascii", "word_bytes", "short_words")
 META = len(_SHAPE) + SOURCE_BUCKETS + LANG_BUCKETS
@@ -61,12 +65,23 @@ def _name_bucket(column: pa.Array, buckets: int, salt: int) -> np.ndarray:
     return (W.mix(W.byte_hashes(data, offset[:-1], offset[1:]) + W.U(salt)) % W.U(buckets)).astype(np.int64)
 
 
+def _stems(flat: W.Flat) -> np.ndarray:
+    """(row, bucket) keys of the words and of the stems of longer words."""
+    row = flat.row()
+    keys = [row << BUCKET_BITS | (flat.hash >> W.U(64 - BUCKET_BITS)).astype(np.int64)]
+    for size in STEMS:
+        long = flat.end - flat.start > size
+        stem = W.byte_hashes(flat.data, flat.start[long], flat.start[long] + size, other=True)
+        keys.append(row[long] << BUCKET_BITS | (stem >> W.U(64 - BUCKET_BITS)).astype(np.int64))
+    return np.concatenate(keys)
+
+
 def view_features(text: pa.Array, lang: pa.Array, source: pa.Array):
-    """(low, high, row, bucket, meta) over pieces of a batch: the distinct hashed
-    words of each row, and a dense row of metadata."""
+    """(low, high, row, bucket, times, meta) over pieces of a batch: the distinct
+    hashed words and stems of each row with their counts, and its metadata."""
     lang_at, source_at = _name_bucket(lang, LANG_BUCKETS, 1), _name_bucket(source, SOURCE_BUCKETS, 2)
     for (low, high, flat), (_, _, raw) in zip(W.texts(text, W.ALNUM, fold=True), W.texts(text)):
-        key = np.unique(flat.row() << BUCKET_BITS | (flat.hash >> W.U(64 - BUCKET_BITS)).astype(np.int64))
+        key, times = np.unique(_stems(flat), return_counts=True)
         size = np.diff(raw.offset)
 
         def share(table: np.ndarray, raw=raw, size=size) -> np.ndarray:
@@ -84,7 +99,7 @@ def view_features(text: pa.Array, lang: pa.Array, source: pa.Array):
         rows = np.arange(high - low)
         meta[rows, len(_SHAPE) + source_at[low:high]] = 1
         meta[rows, len(_SHAPE) + SOURCE_BUCKETS + lang_at[low:high]] = 1
-        yield low, high, key >> BUCKET_BITS, key & ((1 << BUCKET_BITS) - 1), meta
+        yield low, high, key >> BUCKET_BITS, key & ((1 << BUCKET_BITS) - 1), np.minimum(times, 255).astype(np.uint8), meta
 
 
 class Rows(NamedTuple):
@@ -92,6 +107,7 @@ class Rows(NamedTuple):
 
     row: np.ndarray
     bucket: np.ndarray
+    times: np.ndarray
     meta: np.ndarray
 
 
@@ -128,16 +144,20 @@ def _fit_words(rows: Rows, use: np.ndarray, y: np.ndarray, sample: np.ndarray) -
     place = np.full(len(rows.meta), -1)
     place[use] = np.arange(len(use))
     keep = place[rows.row] >= 0
-    row, bucket = place[rows.row[keep]], rows.bucket[keep]
-    docs = np.bincount(bucket, minlength=1 << BUCKET_BITS)
-    known = np.flatnonzero(docs >= MIN_DOCS)
+    row, bucket, value = place[rows.row[keep]], rows.bucket[keep], _value(rows.times[keep])
+    # documents with the word on either side, smoothed: log of the ratio of their shares
+    with_, against = (np.bincount(bucket, side[row], 1 << BUCKET_BITS) for side in (y * sample, (1 - y) * sample))
+    known = np.flatnonzero(with_ + against >= MIN_DOCS)
+    ratio = np.log((with_[known] + 1) / (sample @ y + 2)) - np.log((against[known] + 1) / (sample @ (1 - y) + 2))
     column = np.full(1 << BUCKET_BITS, -1)
     column[known] = np.arange(len(known))
     column = column[bucket]
-    row, column = row[column >= 0], column[column >= 0]
-    w, b = _fit(lambda w: np.bincount(row, w[column], len(use)), lambda e: np.bincount(column, e[row], len(known)), len(known), y, sample, 1e-4)
+    row, value, column = row[column >= 0], value[column >= 0], column[column >= 0]
+    value = value * ratio[column]
+    w, b = _fit(lambda w: np.bincount(row, w[column] * value, len(use)), lambda e: np.bincount(column, e[row] * value, len(known)),
+                len(known), y, sample, PENALTY)
     weight = np.zeros(1 << BUCKET_BITS, np.float32)
-    weight[known] = w
+    weight[known] = w * ratio
     return View(weight, b)
 
 
@@ -147,8 +167,12 @@ def _fit_meta(rows: Rows, use: np.ndarray, y: np.ndarray, sample: np.ndarray) ->
     return View(w.astype(np.float32), b)
 
 
-def _words_score(view: View, row: np.ndarray, bucket: np.ndarray, rows: int) -> np.ndarray:
-    return np.bincount(row, view.weight[bucket], rows) + view.bias
+def _value(times: np.ndarray) -> np.ndarray:
+    return np.log2(1.0 + times)
+
+
+def _words_score(view: View, row: np.ndarray, bucket: np.ndarray, times: np.ndarray, rows: int) -> np.ndarray:
+    return np.bincount(row, view.weight[bucket] * _value(times), rows) + view.bias
 
 
 def _calibrated(view: View, score: np.ndarray, y: np.ndarray) -> View:
@@ -165,11 +189,11 @@ class Model(NamedTuple):
     words: View | None = None
     meta: View | None = None
 
-    def score(self, row: np.ndarray, bucket: np.ndarray, meta: np.ndarray) -> np.ndarray:
+    def score(self, row: np.ndarray, bucket: np.ndarray, times: np.ndarray, meta: np.ndarray) -> np.ndarray:
         """Probability for each row."""
         odds = np.full(len(meta), np.log(self.prior / (1 - self.prior)))
         if self.words is not None:
-            views = ((self.words, _words_score(self.words, row, bucket, len(meta))), (self.meta, meta @ self.meta.weight + self.meta.bias))
+            views = ((self.words, _words_score(self.words, row, bucket, times, len(meta))), (self.meta, meta @ self.meta.weight + self.meta.bias))
             odds = sum(v.scale * s + v.shift for v, s in views) - odds
         return _sigmoid(odds)
 
@@ -191,7 +215,7 @@ def cotrain(rows: Rows, label: np.ndarray, fold: np.ndarray) -> Model:
             use = np.concatenate([train, np.array(sorted(own), np.int64)])
             y = np.concatenate([label[train], [own[i] for i in sorted(own)]])
             views.append(fit(rows, use, y, np.concatenate([np.ones(len(train)), np.full(len(own), 0.5)])))
-        scores = [_words_score(views[0], rows.row, rows.bucket, len(rows.meta)), rows.meta @ views[1].weight + views[1].bias]
+        scores = [_words_score(views[0], rows.row, rows.bucket, rows.times, len(rows.meta)), rows.meta @ views[1].weight + views[1].bias]
         if round_ == ROUNDS or not len(pool):
             break
         most = max(1, int(SHARE * len(pool)))
@@ -209,16 +233,17 @@ def _binary(values: np.ndarray) -> bytes:
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], max_labelled: int, max_pool: int) -> tuple[Rows, dict[str, np.ndarray], np.ndarray]:
-    feature = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("meta", T.BinaryType())])
+    feature = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("times", T.BinaryType()), T.StructField("meta", T.BinaryType())])
 
     @F.arrow_udf(returnType=feature)
     def features(text: pa.Array, lang: pa.Array, source: pa.Array) -> pa.Array:
-        words, metas = [], []
-        for low, high, row, bucket, meta in view_features(text, lang, source):
+        words, counts, metas = [], [], []
+        for low, high, row, bucket, times, meta in view_features(text, lang, source):
             cut = np.searchsorted(row, np.arange(high - low + 1))
             words += [_binary(bucket[a:b].astype(np.int32)) for a, b in zip(cut[:-1], cut[1:])]
+            counts += [_binary(times[a:b]) for a, b in zip(cut[:-1], cut[1:])]
             metas += [_binary(m) for m in meta]
-        return pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(metas, pa.binary())], names=["words", "meta"])
+        return pa.StructArray.from_arrays([pa.array(x, pa.binary()) for x in (words, counts, metas)], names=["words", "times", "meta"])
 
     order = F.xxhash64("doc_id", F.lit(20240229))
     by_id = labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.avg(F.col(t).cast("double")).alias(t) for t in targets])
@@ -233,6 +258,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...],
     got = got.sort_by("doc_id")
     words = [np.frombuffer(x, np.int32) for x in got.column("words").to_pylist()]
     rows = Rows(np.repeat(np.arange(len(words)), [len(x) for x in words]), np.concatenate([*words, np.zeros(0, np.int32)]).astype(np.int64),
+                np.frombuffer(b"".join(got.column("times").to_pylist()), np.uint8),
                 np.frombuffer(b"".join(got.column("meta").to_pylist()), np.float32).reshape(-1, META))
     label = {t: np.array([np.nan if v is None else float(v > 0.5) for v in got.column(t).to_pylist()]) for t in targets}
     fold = W.mix(np.array(got.column("doc_id").to_pylist(), np.int64).view(W.U)) % W.U(5)
@@ -254,15 +280,15 @@ def scores(docs: DataFrame, models: list[Model], targets: tuple[str, ...] = TARG
     @F.arrow_udf(returnType=T.StructType([T.StructField(t, T.DoubleType(), False) for t in targets]))
     def score(text: pa.Array, lang: pa.Array, source: pa.Array) -> pa.Array:
         out = [[] for _ in targets]
-        for _, _, row, bucket, meta in view_features(text, lang, source):
+        for _, _, row, bucket, times, meta in view_features(text, lang, source):
             for part, model in zip(out, shared.value):
-                part.append(model.score(row, bucket, meta))
+                part.append(model.score(row, bucket, times, meta))
         return pa.StructArray.from_arrays([pa.array(np.concatenate([*part, np.zeros(0)])) for part in out], names=list(targets))
 
     return score("text", "lang", "source")
 
 
-def classified(docs: DataFrame, labels: DataFrame, max_toxic: float = 0.5, min_quality: float = 0.3) -> DataFrame:
+def classified(docs: DataFrame, labels: DataFrame, max_toxic: float = 0.4, min_quality: float = 0.3) -> DataFrame:
     """doc_id, quality, toxic (probabilities) and kept of every document."""
     models = fitted(docs, labels)
     out = docs.select("doc_id", scores(docs, models).alias("p")).select("doc_id", "p.*")
