@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bpe, cotrain, decontaminate, host_quality, line_chunks, near_dup, secrets, token_files, warc
+from quillstream.llm import bpe, cotrain, decontaminate, host_quality, line_chunks, near_dup, secrets, substring_dedup, token_files, warc
 from quillstream.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality and toxicity of every document from two co-trained views."""
     return cotrain.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_register
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that windows repeated anywhere take away."""
+    return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
