@@ -132,7 +132,7 @@ def without_chunks(text: pa.Array, numbers: pa.Array) -> pa.Array:
                     else:
                         kept.append(data[start[i]:end[i]].tobytes())
                 raw = b"".join(kept)
-                if raw.endswith(b"\n") and data[bounds[row + 1] - 1] != 10:
+                if int(first[row + 1] - first[row]) - 1 in drop and raw.endswith(b"\n"):
                     raw = raw[:-1]  # of the line before a removed last chunk
             texts.append(raw.decode())
             total.append(b - a)
