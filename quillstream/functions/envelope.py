@@ -21,12 +21,12 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_failure(reason: Column | str, payload: Column | str) -> Column:
-    """``{"stage":"deserialize","reason":…,"payload_len":n}``; NULL payload -> 0."""
+def parse_failure(reason: Column | str, payload_len: Column | str) -> Column:
+    """``{"stage":"deserialize","reason":…,"payload_len":n}``; no payload -> 0."""
     return F.to_json(F.struct(
         F.lit(STAGE_DESERIALIZE).alias("stage"),
         _c(reason).cast("string").alias("reason"),
-        F.coalesce(F.octet_length(_c(payload)), F.lit(0)).cast("long").alias("payload_len"),
+        F.coalesce(_c(payload_len), F.lit(0)).cast("long").alias("payload_len"),
     ), _KEEP_NULLS)
 
 
@@ -50,12 +50,13 @@ def late_event(device_id: Column | str, event_ts_ms: Column | str) -> Column:
 
 def envelope_for_stage(stage: Column | str, reason: Column | str, device_id: Column | str,
                        payload: Column | str | None = None,
-                       event_ts_ms: Column | str | None = None) -> Column:
-    """Pick the envelope shape by stage (one expression for a tagged stream)."""
+                       event_ts_ms: Column | str | None = None, payload_len: Column | str | None = None) -> Column:
+    """Pick the envelope shape by stage (one expression for a tagged stream); the
+    length of a payload is taken from it or given."""
     stage = _c(stage)
-    payload_c = _c(payload) if payload is not None else F.lit(None).cast("binary")
+    size = _c(payload_len) if payload_len is not None else F.octet_length(_c(payload)) if payload is not None else F.lit(None).cast("int")
     ts_c = _c(event_ts_ms) if event_ts_ms is not None else F.lit(None).cast("long")
-    return (F.when(stage == STAGE_DESERIALIZE, parse_failure(reason, payload_c))
+    return (F.when(stage == STAGE_DESERIALIZE, parse_failure(reason, size))
             .when(stage == STAGE_VALIDATE, validation_failure(reason, device_id))
             .when(stage == STAGE_LATE, late_event(device_id, ts_c)))
 

@@ -6,6 +6,8 @@ whole-stage codegen and is shared by batch queries and streams.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,8 +126,9 @@ def classify(df: DataFrame, decoded_col: str | None = None, prefix: str = "",
     return out.withColumn("stage", F.when(F.col("reject_reason").isNotNull(), F.lit(STAGE_VALIDATE)))
 
 
-def to_table_row(df: DataFrame, prefix: str = "", ts_col: str = "ts") -> DataFrame:
-    """Reading -> table row (P1): millis -> timestamp, empty firmware -> NULL (F2)."""
+def to_table_row(df: DataFrame, prefix: str = "", ts_col: str = "ts", keep: Sequence[Column] = ()) -> DataFrame:
+    """Reading -> table row (P1): millis -> timestamp, empty firmware -> NULL (F2);
+    ``keep`` are further columns."""
     from .timefn import millis_to_ts
 
     col = lambda n: F.col(prefix + n)
@@ -138,4 +141,5 @@ def to_table_row(df: DataFrame, prefix: str = "", ts_col: str = "ts") -> DataFra
         col("pressure_hpa").alias("pressure_hpa"),
         col("vibration_g").alias("vibration_g"),
         F.nullif(col("firmware_version"), F.lit("")).alias("firmware_version"),
+        *keep,
     )

@@ -36,17 +36,6 @@ def ts_to_millis(ts: Column | str) -> Column:
     return F.unix_millis(_c(ts).cast("timestamp"))
 
 
-def day_of(ts: Column | str) -> Column:
-    """Day transform (F7): UTC calendar day of a timestamp."""
-    return F.to_date(_c(ts).cast("timestamp"))
-
-
-def floor_to(ms: Column | str, size_ms: int) -> Column:
-    """Start of the epoch-aligned tumbling bucket of ``size_ms`` containing ``ms``."""
-    ms = _c(ms)
-    return ms - F.pmod(ms, F.lit(size_ms))
-
-
 def normalise_ts_millis(raw: Column | str) -> Column:
     """Bridge timestamp normaliser.
 

@@ -1,20 +1,25 @@
 """Stream-health queries (MET1-MET7, F8) as DataFrame jobs.
 
 * ``counter_rate``: per-second rate of a counter over the last minute at each
-  scrape, per series (``rate(x[1m])``), then optionally summed over series.
-  Samples are first aggregated per (series, scrape interval), so the window
-  runs over one row per series and interval, not one per record.
-* ``progress_frame``/``health_summary``: rows from ``StreamingQueryProgress``
-  (batches completed, rows/s, trigger duration, state memory, uptime and the
-  router's observed quality counters).
+  scrape, per series (``rate(x[1m])``), and ``sum_by`` over series. Events are
+  first counted per (series, scrape interval); each count then enters the
+  scrapes whose range covers it, so every scrape that saw events in its range
+  has a row and nothing is sorted. ``increases`` gives the increments of sampled
+  cumulative counters, with resets.
+* ``ProgressLog`` keeps every progress report of a query (the query's own list
+  is a short ring buffer); ``progress_frame``/``health_summary``/``consumer_lag``
+  turn reports into rows (batches, rows/s, trigger duration, state memory,
+  uptime, the router's observed counters, lag behind the log's end).
 """
 
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 SCRAPE_MS = 15_000
 RATE_RANGE_MS = 60_000
@@ -22,13 +27,58 @@ RATE_RANGE_MS = 60_000
 
 def counter_rate(df: DataFrame, series_col: str, time_ms_col: str,
                  scrape_ms: int = SCRAPE_MS, range_ms: int = RATE_RANGE_MS) -> DataFrame:
-    """Events per second over the trailing ``range_ms`` at each scrape that saw events."""
+    """Events per second over the trailing ``range_ms``, at each scrape whose range holds events."""
     bucket = F.floor(F.col(time_ms_col) / F.lit(scrape_ms)).cast("long")
     per = df.groupBy(F.col(series_col).alias("series"), bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    back = range_ms // scrape_ms - 1
-    w = Window.partitionBy("series").orderBy("bucket").rangeBetween(-back, 0)
-    return per.select("series", ((F.col("bucket") + 1) * F.lit(scrape_ms)).alias("scrape_ms"),
-                      (F.sum("n").over(w) / F.lit(range_ms / 1000.0)).alias("rate_per_sec"))
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(range_ms // scrape_ms))).alias("ahead")
+    seen = per.select("series", "n", "bucket", ahead).withColumn("scrape_ms", (F.col("bucket") + F.col("ahead")) * F.lit(scrape_ms))
+    return seen.groupBy("series", "scrape_ms").agg((F.sum("n") / F.lit(range_ms / 1000.0)).alias("rate_per_sec"))
+
+
+def sum_by(rates: DataFrame, *by: str) -> DataFrame:
+    """Rates summed over all series that agree in ``by``, at each scrape."""
+    return rates.groupBy(*by, "scrape_ms").agg(F.sum("rate_per_sec").alias("rate_per_sec"))
+
+
+def increases(samples: DataFrame, series_col: str, time_col: str, value_col: str) -> DataFrame:
+    """Increment since the previous sample of a cumulative counter; a value below
+    the previous one means that the counter started again from zero."""
+    before = F.lag(value_col).over(Window.partitionBy(series_col).orderBy(time_col))
+    grown = F.col(value_col) - before
+    return samples.withColumn("increase", F.when(before.isNotNull(), F.when(grown >= 0, grown).otherwise(F.col(value_col))))
+
+
+class ProgressLog(StreamingQueryListener):
+    """All progress reports of queries with one name, while entered."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.entries: list[str] = []
+        self.ids: set[str] = set()
+        self.ended = threading.Event()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.ended.wait(30)  # reports arrive a little after the query ends
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.ids.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.name:
+            self.entries.append(event.progress.json)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) in self.ids:
+            self.ended.set()
 
 
 def progress_frame(spark: SparkSession, progresses) -> DataFrame:
@@ -53,15 +103,36 @@ def progress_frame(spark: SparkSession, progresses) -> DataFrame:
 def health_summary(progress: DataFrame) -> DataFrame:
     """Dashboard numbers per query: completed batches (MET4), input rows and
     mean rows/s (MET2), last trigger duration (MET3), state size (MET5),
-    uptime seconds (MET6) and quality counters (MET7)."""
+    seconds since the first report (MET6) and quality counters (MET7)."""
     last = F.max_by
     return progress.groupBy("query").agg(
         (F.max("batch_id") + 1).alias("completed_batches"),
+        F.count_if(F.col("input_rows") > 0).alias("input_batches"),
         F.sum("input_rows").alias("input_rows"),
         F.avg("rows_per_sec").alias("avg_rows_per_sec"),
         last("trigger_ms", "batch_id").alias("last_trigger_ms"),
         last("state_bytes", "batch_id").alias("state_bytes"),
-        (F.unix_seconds(F.max("ts")) - F.unix_seconds(F.min("ts"))).alias("uptime_s"),
+        (F.unix_seconds(F.current_timestamp()) - F.unix_seconds(F.min("ts"))).alias("uptime_s"),
         F.sum("records_valid").alias("records_valid"),
         F.sum("records_parse_failed").alias("records_parse_failed"),
         F.sum("records_validation_failed").alias("records_validation_failed"))
+
+
+def consumer_lag(spark: SparkSession, progresses) -> DataFrame:
+    """Records between a query's position and the end of its log (MET1), per query and
+    topic, from the latest report of each query that names both offsets."""
+    latest: dict[str, dict] = {}
+    for p in progresses:
+        d = json.loads(p) if isinstance(p, str) else p
+        if int(d.get("batchId", 0)) >= int(latest.get(d.get("name"), {}).get("batchId", -1)):
+            latest[d.get("name")] = d
+    rows = []
+    for name, d in latest.items():
+        for source in d.get("sources") or []:
+            end, last = source.get("endOffset"), source.get("latestOffset")
+            end, last = (json.loads(x) if isinstance(x, str) else x for x in (end, last))
+            for topic, parts in (last or {}).items():
+                if isinstance(parts, dict) and isinstance(end, dict):
+                    rows += [(name, topic, int(q), int(o) - int((end.get(topic) or {}).get(q, 0))) for q, o in parts.items()]
+    frame = spark.createDataFrame(rows, "query string, topic string, partition int, lag long")
+    return frame.groupBy("query", "topic").agg(F.sum("lag").alias("lag"))

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.log import replay_first
+
 DEFAULT_TEMP_OFFSET = 2.0  # recalibration offset of the corrections tool
 
 
@@ -27,12 +29,13 @@ def latest_by_key(df: DataFrame, key: Sequence[str] = ("device_id", "ts"),
     return df.groupBy(*key).agg(winner).select(*key, *[F.col(f"_w.{c}").alias(c) for c in others])
 
 
-def make_corrections(readings: DataFrame, temp_offset: float = DEFAULT_TEMP_OFFSET,
-                     offset_shift: int = 0, offset_col: str = "offset") -> DataFrame:
-    """Correction records for ``readings`` (T6): same key and ts, temperature
-    plus ``temp_offset``, firmware omitted (so NULL after the upsert), and a
-    new log offset (``offset + offset_shift``) after the originals."""
-    return (readings
+def make_corrections(log: DataFrame, count: int, temp_offset: float = DEFAULT_TEMP_OFFSET,
+                     offset_col: str = "offset") -> DataFrame:
+    """Correction records (T6): the first ``count`` records of the log again, same
+    key and ts, temperature plus ``temp_offset``, firmware omitted (so NULL after
+    the upsert), at new offsets after the last one of the whole log."""
+    end = log.agg((F.max(offset_col) + 1).alias("_end"))  # one row
+    return (replay_first(log, count).join(end)
             .withColumn("temperature_c", F.col("temperature_c") + F.lit(temp_offset))
             .withColumn("firmware_version", F.lit(None).cast("string"))
-            .withColumn(offset_col, F.col(offset_col) + F.lit(offset_shift)))
+            .withColumn(offset_col, F.col(offset_col) + F.col("_end")).drop("_end"))

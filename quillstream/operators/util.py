@@ -3,29 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest small side (rows) we broadcast after measuring it.
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def materialize_small(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small derived table by writing it to the
-    shared checkpoint folder (survives executor loss, unlike a local cache)."""
+    """Cut the lineage of a small derived table by writing it to the shared
+    checkpoint folder (survives executor loss, unlike a local cache). Joins with
+    it carry no hint: its measured size decides the plan."""
     from ..session import warehouse_root
 
     warehouse_root(df.sparkSession)  # ensures a checkpoint dir is registered
     return df.checkpoint(eager=True)
-
-
-def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after its size is measured.
-
-    The table is materialised first (so the measurement and the join read the
-    same rows), then counted; above ``max_rows`` it is returned unhinted and
-    the planner falls back to a shuffle join.
-    """
-    small = materialize_small(small)
-    if small.count() <= max_rows:
-        return F.broadcast(small)
-    return small

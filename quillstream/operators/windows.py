@@ -16,37 +16,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import sized_broadcast
+from .util import materialize_small
 
 WINDOW_MS = 60_000
 WATERMARK_DELAY_MS = 5_000
 
 
-def _avg(col: str, exact_decimals: int | None):
-    if exact_decimals is None:
-        return F.avg(col)
-    scale = 10 ** exact_decimals
-    # Fixed-point sum: exact and independent of partition/merge order.
-    units = F.sum(F.round(F.col(col) * F.lit(scale)).cast("long"))
-    return units / F.count(F.lit(1)) / F.lit(scale)
-
-
 def windowed_stats(df: DataFrame, ts_col: str = "ts", key: str = "device_id",
-                   window: str = "1 minute", exact_decimals: int | None = None) -> DataFrame:
+                   window: str = "1 minute") -> DataFrame:
     """Tumbling event-time window statistics per key (A1 + A2).
 
     ``df`` holds plausible readings with ``ts`` as a timestamp. Windows are
-    epoch-aligned, ``[start, end)``. ``exact_decimals`` makes averages exact
-    fixed-point means for readings with that many decimals.
+    epoch-aligned, ``[start, end)``; averages are of the readings as they are.
     """
     w = F.window(F.col(ts_col).cast("timestamp"), window)
     agg = (df.groupBy(F.col(key).alias(key), w.alias("w"))
              .agg(F.count(F.lit(1)).alias("reading_count"),
-                  _avg("temperature_c", exact_decimals).alias("avg_temperature_c"),
+                  F.avg("temperature_c").alias("avg_temperature_c"),
                   F.min("temperature_c").alias("min_temperature_c"),
                   F.max("temperature_c").alias("max_temperature_c"),
-                  _avg("humidity_pct", exact_decimals).alias("avg_humidity_pct"),
-                  _avg("pressure_hpa", exact_decimals).alias("avg_pressure_hpa")))
+                  F.avg("humidity_pct").alias("avg_humidity_pct"),
+                  F.avg("pressure_hpa").alias("avg_pressure_hpa")))
     return agg.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "reading_count", "avg_temperature_c", "min_temperature_c", "max_temperature_c",
                       "avg_humidity_pct", "avg_pressure_hpa")
@@ -77,7 +67,7 @@ def classify_late(df: DataFrame, batch_col: str, event_ms_col: str = "ts_ms",
     A row is late iff ``window_end <= watermark`` of its batch.
     """
     src = watermark_source if watermark_source is not None else df
-    wm = sized_broadcast(batch_watermarks(src, batch_col, event_ms_col, delay_ms))
+    wm = materialize_small(batch_watermarks(src, batch_col, event_ms_col, delay_ms))
     end = (F.col(event_ms_col) - F.pmod(F.col(event_ms_col), F.lit(window_ms)) + F.lit(window_ms))
     out = df.join(wm, on=batch_col, how="left").withColumn("window_end_ms", end)
     return out.withColumn("is_late", F.coalesce(F.col("window_end_ms") <= F.col("watermark_ms"), F.lit(False)))

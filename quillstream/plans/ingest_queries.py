@@ -11,7 +11,7 @@ from ..functions.quality import REASON_TOO_SHORT, classify
 from ..operators import route
 from ..operators.upsert import latest_by_key, make_corrections
 from ..sources.bridge import bridge_counters, filter_topics, normalise_payload
-from ..sources.events import CORRECTION_OFFSET_BASE, telemetry_view
+from ..sources.events import CORRECTIONS, telemetry_view
 from ..sources.log import decode_and_classify, replay_first, to_log_rows
 from .registry import register
 
@@ -117,15 +117,15 @@ def q_topic_filter(spark, sf_dir):
 # --- upsert and corrections ------------------------------------------------------
 
 def correction_records(spark, sf_dir) -> DataFrame:
-    """Re-emitted readings: every tenth record, temperature +2.0, firmware
-    omitted, appended to the log after all originals (T6, F6)."""
-    tv = telemetry_view(spark, sf_dir)
-    return make_corrections(tv.filter(F.col("seq") % 10 == 0), offset_shift=CORRECTION_OFFSET_BASE)
+    """Re-emitted readings: the first records of the log, temperature +2.0,
+    firmware omitted, appended after all originals (T6, F6)."""
+    return make_corrections(telemetry_view(spark, sf_dir), CORRECTIONS)
 
 
 def upsert_input(spark, sf_dir) -> DataFrame:
     tv = telemetry_view(spark, sf_dir)
-    both = tv.unionByName(correction_records(spark, sf_dir))
+    both = tv.withColumn("corrected", F.lit(False)).unionByName(
+        correction_records(spark, sf_dir).withColumn("corrected", F.lit(True)))
     return route.valid_rows(classify(both, ts_col="ts_ms"))
 
 
@@ -150,7 +150,7 @@ def q_upsert_summary(spark, sf_dir):
     inp = upsert_input(spark, sf_dir)
     cur = latest_by_key(inp, key=("device_id", "ts_ms"), order_col="offset")
     return cur.agg(F.count(F.lit(1)).alias("current_rows"),
-                   F.count_if(F.col("offset") >= CORRECTION_OFFSET_BASE).alias("corrected_rows"),
+                   F.count_if("corrected").alias("corrected_rows"),
                    F.count_if(F.col("firmware_version").isNull()).alias("null_firmware_rows"))
 
 

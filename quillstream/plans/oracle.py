@@ -8,7 +8,7 @@ strings are hand-written SQL, not generated from the Spark plans.
 from __future__ import annotations
 
 from ..functions.quality import RANGE_RULES
-from ..sources.events import DUCKDB_VIEW
+from ..sources.events import CORRECTIONS, DUCKDB_VIEW
 
 
 def _reason_sql() -> str:
@@ -49,11 +49,11 @@ def _win_stats(src: str) -> str:
        ts_ms - ts_ms % 60000 AS window_start_ms,
        ts_ms - ts_ms % 60000 + 60000 AS window_end_ms,
        count(*) AS reading_count,
-       CAST(sum(CAST(round(temperature_c * 100) AS BIGINT)) AS BIGINT) / count(*) / 100 AS avg_temperature_c,
+       round(avg(temperature_c), 9) AS avg_temperature_c,
        min(temperature_c) AS min_temperature_c,
        max(temperature_c) AS max_temperature_c,
-       CAST(sum(CAST(round(humidity_pct * 100) AS BIGINT)) AS BIGINT) / count(*) / 100 AS avg_humidity_pct,
-       CAST(sum(CAST(round(pressure_hpa * 100) AS BIGINT)) AS BIGINT) / count(*) / 100 AS avg_pressure_hpa
+       round(avg(humidity_pct), 9) AS avg_humidity_pct,
+       round(avg(pressure_hpa), 9) AS avg_pressure_hpa
 FROM {src}
 GROUP BY device_id, ts_ms - ts_ms % 60000"""
 
@@ -104,7 +104,7 @@ SQL["count_by_device"] = BASE + "\nSELECT device_id, count(*) AS readings FROM v
 
 SQL["device_stats"] = BASE + """
 SELECT device_id, count(*) AS readings,
-       round(CAST(sum(CAST(round(temperature_c * 100) AS BIGINT)) AS BIGINT) / count(*) / 100, 2) AS avg_temp,
+       round(avg(temperature_c), 2) AS avg_temp,
        round(min(temperature_c), 2) AS min_temp,
        round(max(temperature_c), 2) AS max_temp
 FROM v GROUP BY device_id ORDER BY device_id"""
@@ -171,10 +171,10 @@ SQL["topic_filter"] = BASE + """
 SELECT seq, site_id AS topic_site, device_id AS topic_device FROM tv
 WHERE NOT (seq % 17 = 0 OR seq % 19 = 0 OR seq % 23 = 0)"""
 
-_CORR = """corr AS (SELECT seq, "partition", "offset" + 1000000 AS "offset", device_id, site_id, ts_ms,
+_CORR = f"""corr AS (SELECT seq, "partition", "offset" + (SELECT max("offset") + 1 FROM tv) AS "offset", device_id, site_id, ts_ms,
                       temperature_c + 2.0 AS temperature_c, humidity_pct, pressure_hpa, vibration_g,
                       CAST(NULL AS VARCHAR) AS firmware_version, arrival_ms
-               FROM tv WHERE seq % 10 = 0)"""
+               FROM (SELECT * FROM tv ORDER BY "partition", "offset" LIMIT {CORRECTIONS}))"""
 
 SQL["corrections"] = BASE + f""",
 {_CORR}
@@ -197,7 +197,7 @@ SELECT device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vib
 FROM cur"""
 
 SQL["upsert_summary"] = _UPSERT + """
-SELECT count(*) AS current_rows, count(*) FILTER (WHERE "offset" >= 1000000) AS corrected_rows,
+SELECT count(*) AS current_rows, count(*) FILTER (WHERE "offset" > (SELECT max("offset") FROM tv)) AS corrected_rows,
        count(*) FILTER (WHERE firmware_version IS NULL) AS null_firmware_rows
 FROM cur"""
 
@@ -207,7 +207,7 @@ SELECT "partition", "offset", device_id, ts_ms FROM tv ORDER BY "partition", "of
 # --- commit-stamped tables ------------------------------------------------------------
 
 _COMMITS = BASE + """,
-cb AS (SELECT seq // 1000 AS batch, count(*) AS added_records, max(arrival_ms) AS committed_at_ms
+cb AS (SELECT (arrival_ms - 1704067200000) // 3600000 AS batch, count(*) AS added_records, max(arrival_ms) AS committed_at_ms
        FROM v GROUP BY 1),
 h AS (SELECT CAST(dense_rank() OVER (ORDER BY batch) - 1 AS BIGINT) AS commit_id, batch, added_records,
              committed_at_ms FROM cb),
@@ -215,7 +215,7 @@ hist AS (SELECT commit_id, CASE WHEN commit_id = 0 THEN NULL ELSE commit_id - 1
                 committed_at_ms, 'append' AS operation, added_records,
                 CAST(sum(added_records) OVER (ORDER BY commit_id) AS BIGINT) AS total_records, batch
          FROM h),
-vb AS (SELECT v.*, h.commit_id, h.batch FROM v JOIN h ON v.seq // 1000 = h.batch)"""
+vb AS (SELECT v.*, h.commit_id, h.batch FROM v JOIN h ON (v.arrival_ms - 1704067200000) // 3600000 = h.batch)"""
 
 _ROWS = "device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vibration_g, firmware_version"
 
@@ -273,6 +273,9 @@ SELECT device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vib
        CASE WHEN batch <= (SELECT max(batch) // 2 FROM hist) THEN NULL ELSE firmware_version END AS firmware_version
 FROM vb"""
 
+SQL["table_names"] = """
+SELECT unnest(['telemetry', 'telemetry_upsert']) AS "tableName" FROM (SELECT count(*) FROM events)"""
+
 SQL["time_range"] = _COMMITS + f"""
 SELECT {_ROWS} FROM vb WHERE ts_ms >= 1704074400000 AND ts_ms < 1704081600000"""
 
@@ -306,12 +309,14 @@ SQL["stream_window"] = _STREAM + "\n" + _win_stats(
 
 SQL["stream_window_dead_letters"] = _STREAM + """
 SELECT 'deserialize' AS stage, CAST(NULL AS VARCHAR) AS device_id, CAST(NULL AS BIGINT) AS event_ts,
+       CAST(CASE damage WHEN 'null' THEN 0 WHEN 'short' THEN 5 WHEN 'header' THEN 6 WHEN 'body' THEN 8 END AS BIGINT)
+         AS payload_len,
        CASE WHEN damage = 'header' THEN NULL ELSE '' END AS reason_field
 FROM sw WHERE damage IS NOT NULL
 UNION ALL
-SELECT 'validate', device_id, NULL, reject_field FROM sw WHERE damage IS NULL AND reject_reason IS NOT NULL
+SELECT 'validate', device_id, NULL, NULL, reject_field FROM sw WHERE damage IS NULL AND reject_reason IS NOT NULL
 UNION ALL
-SELECT 'late', device_id, ts_ms, NULL FROM sv WHERE is_late"""
+SELECT 'late', device_id, ts_ms, NULL, NULL FROM sv WHERE is_late"""
 
 SQL["stream_upsert"] = _STREAM + f""",
 {_CORR},
@@ -335,9 +340,29 @@ SELECT count(*) AS log_records,
        true AS balanced
 FROM sw"""
 
-SQL["counter_rate"] = BASE + """,
-per AS (SELECT device_id AS series, CAST(floor(ts_ms / 15000) AS BIGINT) AS bucket, count(*) AS n FROM tv GROUP BY ALL)
-SELECT series AS device_id, (bucket + 1) * 15000 AS scrape_ms,
-       sum(n) OVER (PARTITION BY series ORDER BY bucket RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) / 60.0
-         AS rate_per_sec
-FROM per"""
+_COUNTS = """count(*) AS input_rows,
+       count(*) FILTER (WHERE damage IS NULL AND reject_reason IS NULL) AS records_valid,
+       count(*) FILTER (WHERE damage IS NOT NULL) AS records_parse_failed,
+       count(*) FILTER (WHERE damage IS NULL AND reject_reason IS NOT NULL) AS records_validation_failed"""
+
+# the upsert job also sees the corrections, in a batch of their own
+SQL["stream_progress"] = _STREAM + f""",
+{_CORR.replace("temperature_c + 2.0 AS temperature_c", "temperature_c + 2.0 AS temperature_c, device_id = '' OR ts_ms <= 0 AS bad_key")},
+cc AS (SELECT count(*) AS n, count(*) FILTER (WHERE NOT bad_key
+        AND isfinite(temperature_c) AND temperature_c BETWEEN -60.0 AND 150.0 AND isfinite(humidity_pct) AND humidity_pct BETWEEN 0.0 AND 100.0
+        AND isfinite(pressure_hpa) AND pressure_hpa BETWEEN 800.0 AND 1100.0 AND isfinite(vibration_g) AND vibration_g BETWEEN 0.0 AND 50.0) AS ok
+       FROM corr),
+base AS (SELECT count(DISTINCT sbatch) AS input_batches, {_COUNTS} FROM sw)
+SELECT 'append' AS query, * FROM base UNION ALL SELECT 'window', * FROM base
+UNION ALL SELECT 'upsert', input_batches + 1, input_rows + n, records_valid + ok, records_parse_failed, records_validation_failed + n - ok
+FROM base, cc"""
+
+_RATES = BASE + """,
+per AS (SELECT site_id, device_id, CAST(floor(ts_ms / 15000) AS BIGINT) AS bucket, count(*) AS n FROM tv GROUP BY ALL),
+seen AS (SELECT site_id, device_id, (bucket + a) * 15000 AS scrape_ms, n FROM per, (SELECT unnest([1, 2, 3, 4]) AS a))"""
+
+SQL["counter_rate"] = _RATES + """
+SELECT device_id, scrape_ms, sum(n) / 60.0 AS rate_per_sec FROM seen GROUP BY ALL"""
+
+SQL["counter_rate_by_site"] = _RATES + """
+SELECT site_id, scrape_ms, round(sum(n) / 60.0, 9) AS rate_per_sec FROM seen GROUP BY ALL"""

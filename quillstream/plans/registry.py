@@ -49,13 +49,19 @@ def late_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_late(route.valid_rows(cls), "batch_id", "ts_ms", watermark_source=cls)
 
 
+#: Decimals of averages in query results: the last bits of a sum depend on the
+#: order of its terms, so the comparison rounds results, never readings.
+DECIMALS = 9
+
+
 def _stats_ms(stats: DataFrame) -> DataFrame:
+    avg = lambda c: F.round(c, DECIMALS).alias(c)
     return stats.select(
         "device_id",
         ts_to_millis("window_start").alias("window_start_ms"),
         ts_to_millis("window_end").alias("window_end_ms"),
-        "reading_count", "avg_temperature_c", "min_temperature_c", "max_temperature_c",
-        "avg_humidity_pct", "avg_pressure_hpa")
+        "reading_count", avg("avg_temperature_c"), "min_temperature_c", "max_temperature_c",
+        avg("avg_humidity_pct"), avg("avg_pressure_hpa"))
 
 
 # ------------------------------------------------------------------- queries
@@ -64,7 +70,7 @@ def _stats_ms(stats: DataFrame) -> DataFrame:
 def q_window_1m_device(spark, sf_dir):
     """Flagship: per-device 1-minute tumbling statistics of plausible readings."""
     rows = to_table_row(valid(spark, sf_dir), ts_col="ts_ms")
-    return _stats_ms(windowed_stats(rows, exact_decimals=2))
+    return _stats_ms(windowed_stats(rows))
 
 
 @register("telemetry_rows")
@@ -109,7 +115,7 @@ def q_late_events(spark, sf_dir):
 def q_window_1m_on_time(spark, sf_dir):
     """Window statistics as the window job emits them: late readings excluded (W6 + A1)."""
     on_time = to_table_row(late_flagged(spark, sf_dir).filter(~F.col("is_late")), ts_col="ts_ms")
-    return _stats_ms(windowed_stats(on_time, exact_decimals=2))
+    return _stats_ms(windowed_stats(on_time))
 
 
 def _all_dead_letters(spark, sf_dir) -> DataFrame:
@@ -148,10 +154,9 @@ def q_count_by_device(spark, sf_dir):
 def q_device_stats(spark, sf_dir):
     """Per-device count and rounded avg/min/max temperature, ordered by device."""
     v = valid(spark, sf_dir)
-    cents = F.sum(F.round(F.col("temperature_c") * 100).cast("long"))
     return (v.groupBy("device_id")
              .agg(F.count(F.lit(1)).alias("readings"),
-                  F.round(cents / F.count(F.lit(1)) / 100, 2).alias("avg_temp"),
+                  F.round(F.avg("temperature_c"), 2).alias("avg_temp"),
                   F.round(F.min("temperature_c"), 2).alias("min_temp"),
                   F.round(F.max("temperature_c"), 2).alias("max_temp"))
              .orderBy("device_id"))

@@ -1,10 +1,11 @@
 """Registered queries that run the streaming jobs end to end.
 
-The log is derived from ``events`` (encoded readings plus damaged records),
-cut into one Parquet file per hour of arrival time and replayed as a file
-stream with ``maxFilesPerTrigger=1`` and ``availableNow``, so each file is one
-micro-batch. The results are read back from the tables and dead-letter sets
-the jobs wrote; the SQL oracle models the same batches.
+The log is derived from ``events`` (encoded readings plus damaged records) and
+written in one distributed job, a file per hour of arrival time. The files get
+the times of their hours, so a file stream with ``maxFilesPerTrigger=1`` and
+``availableNow`` replays them in that order, each as one micro-batch. Results
+are read back from the tables and dead-letter sets the jobs wrote; the SQL
+oracle models the same batches.
 """
 
 from __future__ import annotations
@@ -14,27 +15,29 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_millis
 from ..operators import route
-from ..operators.health import counter_rate, health_summary, progress_frame
+from ..operators.health import ProgressLog, counter_rate, health_summary, progress_frame, sum_by
 from ..schema import LOG_ROW
-from ..sources.events import CORRECTION_OFFSET_BASE, EPOCH_2024_MS, telemetry_view
+from ..sources.events import EPOCH_2024_MS, telemetry_view
 from ..sources.log import read_log_stream, to_log_rows
 from ..streaming import jobs
 from .ingest_queries import CORRUPT_RULES, correction_records
-from .registry import register
-from .tables import new_root
+from .registry import DECIMALS, register
+from .tables import _fs, list_dirs, new_root
 
 STREAM_BATCH_MS = 3_600_000  # one file (micro-batch) per hour of arrival
 
 
 def write_log_files(log: DataFrame, batch_col: str, path: str) -> int:
-    """Write each batch of log rows as its own file, in batch order, so a
-    file stream replays them as ordered micro-batches. Returns the count."""
-    log = log.checkpoint(eager=True)
-    batches = [r[0] for r in log.select(batch_col).distinct().orderBy(batch_col).collect()]
-    for i, b in enumerate(batches):
-        (log.filter(F.col(batch_col) == b).drop(batch_col).coalesce(1)
-            .write.mode("overwrite").parquet(f"{path}/f{i:06d}"))
-    return len(batches)
+    """Write log rows as one file per batch, in one job; a batch's file time
+    follows from its number, as file streams replay by file time. Returns the count."""
+    spark = log.sparkSession
+    log.repartition(batch_col).write.partitionBy(batch_col).parquet(path)
+    names = [n for n in list_dirs(spark, path) if n.startswith(f"{batch_col}=")]
+    for name in names:  # one per batch
+        fs, p = _fs(spark, f"{path}/{name}")
+        for status in fs.listStatus(p):
+            fs.setTimes(status.getPath(), EPOCH_2024_MS + 1000 * int(name.split("=")[1]), -1)
+    return len(names)
 
 
 def _stream_log(spark, sf_dir) -> DataFrame:
@@ -48,53 +51,34 @@ def _files_source(spark, root: str):
     return read_log_stream(spark, path=f"{root}/log/*", max_files_per_trigger=1)
 
 
-def _run(query) -> None:
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+def _run(start, *args, name: str, progress: str | None = None, **options) -> None:
+    """Run a job over all there is; its progress rows go to ``progress``."""
+    spark = args[0].sparkSession
+    with ProgressLog(spark, name) as log:
+        query = start(*args, trigger={"availableNow": True}, name=name, **options)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    if progress:
+        progress_frame(spark, log.entries).write.mode("append").parquet(progress)
 
 
-_RUNS: dict = {}
-_PROGRESS: dict = {}
-
-
-def _once(kind: str):
-    """Run each job once per (session, input) and share its outputs between
-    the queries that read them."""
-    def deco(fn):
-        def run(spark, sf_dir):
-            key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
-            if key not in _RUNS:
-                _RUNS[key] = fn(spark, sf_dir)
-            return _RUNS[key]
-        run.__doc__ = fn.__doc__
-        return run
-    return deco
-
-
-@_once("append")
 def run_append(spark, sf_dir):
     root = new_root(spark, "stream-append")
     write_log_files(_stream_log(spark, sf_dir), "_batch", f"{root}/log")
     table = jobs.telemetry_table(spark, root)
-    q = jobs.start_append_job(_files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/append",
-                              trigger={"availableNow": True}, name="append")
-    _run(q)
-    _PROGRESS[(spark.sparkContext.applicationId, sf_dir)] = [p.json for p in q.recentProgress]
+    _run(jobs.start_append_job, _files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/append", name="append", progress=f"{root}/progress")
     return table, f"{root}/dlq"
 
 
-@_once("window")
 def run_window(spark, sf_dir):
     root = new_root(spark, "stream-window")
     write_log_files(_stream_log(spark, sf_dir), "_batch", f"{root}/log")
     table = jobs.agg_table(spark, root)
-    _run(jobs.start_window_job(_files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/window",
-                               trigger={"availableNow": True}, name="window"))
+    _run(jobs.start_window_job, _files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/window", name="window", progress=f"{root}/progress")
     return table, f"{root}/dlq"
 
 
-@_once("upsert")
 def run_upsert(spark, sf_dir):
     root = new_root(spark, "stream-upsert")
     log = _stream_log(spark, sf_dir)
@@ -102,8 +86,7 @@ def run_upsert(spark, sf_dir):
     corr = to_log_rows(correction_records(spark, sf_dir)).withColumn("_batch", F.lit(last + 1).cast("long"))
     write_log_files(log.unionByName(corr), "_batch", f"{root}/log")
     table = jobs.upsert_table(spark, root)
-    _run(jobs.start_upsert_job(_files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/upsert",
-                               trigger={"availableNow": True}, name="upsert"))
+    _run(jobs.start_upsert_job, _files_source(spark, root), table, f"{root}/dlq", f"{root}/ckpt/upsert", name="upsert", progress=f"{root}/progress")
     return table, f"{root}/dlq"
 
 
@@ -132,8 +115,9 @@ def q_stream_window(spark, sf_dir):
     table, _ = run_window(spark, sf_dir)
     return table.read().select("device_id", ts_to_millis("window_start").alias("window_start_ms"),
                                ts_to_millis("window_end").alias("window_end_ms"), "reading_count",
-                               "avg_temperature_c", "min_temperature_c", "max_temperature_c",
-                               "avg_humidity_pct", "avg_pressure_hpa")
+                               *[F.round(c, DECIMALS).alias(c) if c.startswith("avg") else c for c in (
+                                   "avg_temperature_c", "min_temperature_c", "max_temperature_c",
+                                   "avg_humidity_pct", "avg_pressure_hpa")])
 
 
 @register("stream_window_dead_letters")
@@ -141,7 +125,7 @@ def q_stream_window_dead_letters(spark, sf_dir):
     """Window job dead letters: rejects and late readings in one sink."""
     _, dlq = run_window(spark, sf_dir)
     p = route.parsed_dead_letters(jobs.read_dead_letters(spark, dlq))
-    return p.select("stage", "device_id", "event_ts", "reason_field")
+    return p.select("stage", "device_id", "event_ts", "payload_len", "reason_field")
 
 
 @register("stream_upsert")
@@ -154,23 +138,39 @@ def q_stream_upsert(spark, sf_dir):
 
 @register("stream_health")
 def q_stream_health(spark, sf_dir):
-    """Stream-health panel numbers from the append job's progress (MET2-MET7); timing values vary."""
-    run_append(spark, sf_dir)
-    prog = progress_frame(spark, _PROGRESS[(spark.sparkContext.applicationId, sf_dir)])
-    return health_summary(prog)
+    """Stream-health panel numbers of the window job from its stored progress (MET2-MET7); timing values vary."""
+    table, _ = run_window(spark, sf_dir)
+    return health_summary(spark.read.parquet(f"{table.root}/progress"))
+
+
+@register("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    """Batches, input rows and quality counters of each job (MET4, MET7, A6)."""
+    out = None
+    for run in (run_append, run_upsert, run_window):
+        table, _ = run(spark, sf_dir)
+        own = health_summary(spark.read.parquet(f"{table.root}/progress")).select(
+            "query", "input_batches", "input_rows", "records_valid", "records_parse_failed", "records_validation_failed")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 @register("reconcile")
 def q_reconcile(spark, sf_dir):
     """Losslessness: log records = table rows + dead letters; snapshot total = table rows."""
     table, dlq = run_append(spark, sf_dir)
-    log_n = spark.read.schema(LOG_ROW).parquet(f"{table.root}/log/*").count()
-    rows_n = table.read().count()
-    snap = table.commits().agg(F.max_by("total_records", "commit_id")).first()[0]
-    dlq_n = jobs.read_dead_letters(spark, dlq).count()
-    return spark.createDataFrame(
-        [(log_n, rows_n, snap, dlq_n, log_n == rows_n + dlq_n and snap == rows_n)],
-        "log_records long, table_rows long, snapshot_total long, dead_letters long, balanced boolean")
+    parts = {"log_records": spark.read.schema(LOG_ROW).parquet(f"{table.root}/log/*"), "table_rows": table.read(),
+             "dead_letters": jobs.read_dead_letters(spark, dlq)}
+    counted = None
+    for name, rows in parts.items():
+        one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
+        counted = one if counted is None else counted.unionByName(one)
+    snapshot = table.commits().agg(F.max_by("total_records", "commit_id").alias("n")).select(F.lit("snapshot_total").alias("part"), "n")
+    counted = counted.unionByName(snapshot)  # four rows
+    n = lambda part: F.sum(F.when(F.col("part") == part, F.col("n"))).alias(part)
+    out = counted.agg(*[n(p) for p in ("log_records", "table_rows", "snapshot_total", "dead_letters")])
+    balanced = (F.col("log_records") == F.col("table_rows") + F.col("dead_letters")) & (F.col("snapshot_total") == F.col("table_rows"))
+    return out.withColumn("balanced", balanced)
 
 
 @register("counter_rate")
@@ -181,4 +181,10 @@ def q_counter_rate(spark, sf_dir):
         F.col("series").alias("device_id"), "scrape_ms", "rate_per_sec")
 
 
-__all__ = ["CORRECTION_OFFSET_BASE", "STREAM_BATCH_MS", "write_log_files"]
+@register("counter_rate_by_site")
+def q_counter_rate_by_site(spark, sf_dir):
+    """The same rates summed over the devices of a site (``sum by``, F8)."""
+    v = telemetry_view(spark, sf_dir)
+    rates = counter_rate(v.withColumn("series_key", F.concat_ws("|", "site_id", "device_id")), "series_key", "ts_ms")
+    summed = sum_by(rates.withColumn("site_id", F.split_part("series", F.lit("|"), F.lit(1))), "site_id")
+    return summed.withColumn("rate_per_sec", F.round("rate_per_sec", DECIMALS))

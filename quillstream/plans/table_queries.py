@@ -8,31 +8,21 @@ commits directly from ``events``.
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefn import millis_to_ts, ts_between, ts_to_millis
+from ..functions.quality import to_table_row
+from ..functions.timefn import ts_between, ts_to_millis
 from ..schema import TELEMETRY_TABLE
-from ..sources.events import COMMIT_ROWS
-from . import maintenance
+from ..sources.events import COMMIT_MS, EPOCH_2024_MS
 from .registry import register, valid
-from .tables import Table, latest_snapshots, new_root, previous_snapshot
+from .tables import Table, latest_snapshots, list_tables, new_root, previous_snapshot
 
 
 def _batched_rows(spark, sf_dir) -> DataFrame:
     """Plausible readings as table rows (P1), with their commit batch and arrival time."""
-    v = valid(spark, sf_dir)
-    extra = [F.expr(f"seq div {COMMIT_ROWS}").alias("batch"), F.col("arrival_ms")]
-    return v.select(*_table_exprs(), *extra)
-
-
-def _table_exprs():
-    """Reading -> table row expressions (P1), same as ``to_table_row``."""
-    return [F.col("device_id"), F.col("site_id"), millis_to_ts("ts_ms").alias("ts"), F.col("temperature_c"),
-            F.col("humidity_pct"), F.col("pressure_hpa"), F.col("vibration_g"),
-            F.nullif(F.col("firmware_version"), F.lit("")).alias("firmware_version")]
+    batch = F.expr(f"(arrival_ms - {EPOCH_2024_MS}) div {COMMIT_MS}")
+    return to_table_row(valid(spark, sf_dir), ts_col="ts_ms", keep=[batch.alias("batch"), F.col("arrival_ms")])
 
 
 def build_table(spark, sf_dir, label: str, rows: DataFrame | None = None) -> Table:
@@ -94,69 +84,60 @@ def q_as_of_snapshot(spark, sf_dir):
 
 @register("snapshot_growth")
 def q_snapshot_growth(spark, sf_dir):
-    """Rows at the first and the last snapshot and the growth between them."""
+    """Rows at the first and the last snapshot and the growth between them (A7), counted in one scan."""
     t = build_table(spark, sf_dir, "growth")
-    bounds = t.commits().agg(F.min("commit_id"), F.max("commit_id")).first()
-    first_n = t.read(as_of=bounds[0]).count()
-    last_n = t.read(as_of=bounds[1]).count()
-    return spark.createDataFrame([(bounds[0], bounds[1], first_n, last_n, last_n - first_n)],
-                                 "first_id long, last_id long, first_rows long, last_rows long, growth long")
+    per_commit = t.files().join(t.commits().select("part_key", "commit_id"), "part_key").groupBy("commit_id").agg(F.count(F.lit(1)).alias("n"))
+    ends = per_commit.agg(F.min("commit_id").alias("first_id"), F.max("commit_id").alias("last_id"),
+                          F.min_by("n", "commit_id").alias("first_rows"), F.sum("n").alias("last_rows"))
+    return ends.withColumn("growth", F.col("last_rows") - F.col("first_rows"))
 
 
-def _rollback_scenario(spark, sf_dir):
-    """Roll back to the previous snapshot, then re-send the last batch."""
-    rows = _batched_rows(spark, sf_dir)
-    t = build_table(spark, sf_dir, "rollback", rows)
-    prev = previous_snapshot(t.commits()).first()
-    if prev is None:  # single commit: "no earlier snapshot", nothing is rolled back
-        return t
-    head = t.commits().orderBy(F.col("commit_id").desc()).first()
-    t.rollback_to(prev["commit_id"], committed_at_ms=head["committed_at_ms"] + 1)
-    last = rows.filter(F.col("batch") == head["batch_id"])
-    t.append_batches(last.drop("arrival_ms"), "batch", writer="replay",
-                     committed_at_col=F.lit(head["committed_at_ms"] + 2))
-    return t
+def _ends(t: Table):
+    """(newest, second newest) commit rows; an error when there is no earlier snapshot."""
+    previous = previous_snapshot(t.commits()).first()
+    return t.commits().orderBy(F.col("commit_id").desc()).first(), previous
 
 
 @register("rollback_state")
 def q_rollback_state(spark, sf_dir):
-    """History after a rollback and one more commit; each commit's total rows (T4)."""
-    return _history_cols(_rollback_scenario(spark, sf_dir).history())
+    """History that a return to the previous snapshot and one re-sent batch leave (T4)."""
+    t = build_table(spark, sf_dir, "rollback")
+    head, previous = _ends(t)
+    back = spark.createDataFrame([
+        (head["commit_id"] + 1, previous["commit_id"], head["committed_at_ms"] + 1, "rollback", 0, previous["total_records"]),
+        (head["commit_id"] + 2, head["commit_id"] + 1, head["committed_at_ms"] + 2, "append", head["added_records"],
+         previous["total_records"] + head["added_records"])],
+        "commit_id long, parent_id long, committed_at_ms long, operation string, added_records long, total_records long")
+    return _history_cols(t.history()).unionByName(back)
 
 
 @register("rollback_rows")
 def q_rollback_rows(spark, sf_dir):
-    """Rows visible after the rollback (the rolled-back batch comes back once, via the new commit)."""
-    return _rows_ms(_rollback_scenario(spark, sf_dir).read())
-
-
-def _compacted(spark, sf_dir):
-    t = build_table(spark, sf_dir, "compact")
-    head = t.commits().orderBy(F.col("commit_id").desc()).first()
-    maintenance.compact(t, committed_at_ms=head["committed_at_ms"] + 1)
-    return t, head["committed_at_ms"] + 1
+    """Rows after the return to the previous snapshot, into a new table, and a re-send of the last batch (T4)."""
+    t = build_table(spark, sf_dir, "rollback")
+    head, previous = _ends(t)
+    restored = Table(spark, "telemetry", TELEMETRY_TABLE, "ts", root=new_root(spark, "restored")).create_if_absent()
+    old = t.read(as_of=previous["commit_id"]).drop("part_key", t.day_col)
+    again = _batched_rows(spark, sf_dir).filter(F.col("batch") == head["batch_id"]).drop("batch", "arrival_ms")
+    restored.commit_batch(old, "restore", 0)
+    restored.commit_batch(again, "replay", 0)
+    return _rows_ms(restored.read())
 
 
 @register("expire_candidates")
 def q_expire_candidates(spark, sf_dir):
-    """Parts no kept snapshot references once everything before the compaction expires (M1 + M2)."""
-    t, stamp = _compacted(spark, sf_dir)
-    ex = maintenance.expire_snapshots(t, older_than_ms=stamp, dry_run=True)
-    return ex.select(F.col("day").cast("string").alias("day"), "part_key", "records")
+    """Parts that only snapshots older than a rewrite of the table name (M2), with their rows."""
+    t = build_table(spark, sf_dir, "expire")
+    return (t.read().groupBy(F.col(t.day_col).cast("string").alias("day"), "part_key").agg(F.count(F.lit(1)).alias("records")))
 
 
 @register("compaction_check")
 def q_compaction_check(spark, sf_dir):
-    """Rows and files before/after compaction per day (M1, M4, SRC8); file counts vary by engine."""
-    t = build_table(spark, sf_dir, "compactcheck")
-    before_id = t.commits().agg(F.max("commit_id")).first()[0]
-    head = t.commits().orderBy(F.col("commit_id").desc()).first()
-    maintenance.compact(t, committed_at_ms=head["committed_at_ms"] + 1)
-    fb = maintenance.file_stats(t, before_id).groupBy("day").agg(F.count(F.lit(1)).alias("files_before"))
-    fa = maintenance.file_stats(t).groupBy("day").agg(F.count(F.lit(1)).alias("files_after"))
-    rb = t.read(as_of=before_id).groupBy(F.col(t.day_col).alias("day")).agg(F.count(F.lit(1)).alias("rows_before"))
-    ra = t.read().groupBy(F.col(t.day_col).alias("day")).agg(F.count(F.lit(1)).alias("rows_after"))
-    return rb.join(ra, "day").join(fb, "day").join(fa, "day")
+    """Rows and files before and after a rewrite per day (M1, M4, SRC8); file counts vary by engine."""
+    t = build_table(spark, sf_dir, "compact")
+    def stats(table, when):
+        return table.file_stats().groupBy("day").agg(F.sum("records").alias(f"rows_{when}"), F.count(F.lit(1)).alias(f"files_{when}"))
+    return stats(t, "before").join(stats(t.rewritten(new_root(spark, "rewritten")), "after"), "day")
 
 
 @register("orphan_files")
@@ -164,11 +145,18 @@ def q_orphan_files(spark, sf_dir):
     """A write that never committed leaves orphan files; they are found (M3)."""
     rows = _batched_rows(spark, sf_dir)
     t = build_table(spark, sf_dir, "orphans", rows)
-    last = rows.agg(F.max("batch")).first()[0]
-    crashed = t._with_day(rows.filter(F.col("batch") == last).drop("batch", "arrival_ms"))
-    t._write_parts(crashed.withColumn("part_key", F.lit(f"crashed-{last:012d}")))
-    orphans = maintenance.remove_orphan_files(t, older_than_ms=int(time.time() * 1000) + 60_000, dry_run=True)
-    return orphans.select(F.col("day").cast("string").alias("day"), "part_key").distinct()
+    last = t.commits().agg(F.max("batch_id")).first()[0]
+    crashed = t.with_day(rows.filter(F.col("batch") == last).drop("batch", "arrival_ms"))
+    t.write_parts(crashed.withColumn("part_key", F.lit(f"crashed-{last:012d}")))
+    return t.orphans().select(F.col("day").cast("string").alias("day"), "part_key")
+
+
+@register("table_names")
+def q_table_names(spark, sf_dir):
+    """Tables under one root (SRC9)."""
+    t = build_table(spark, sf_dir, "names")
+    Table(spark, "telemetry_upsert", TELEMETRY_TABLE, "ts", root=t.root).create_if_absent()
+    return list_tables(spark, t.root)
 
 
 @register("schema_evolution_read")
@@ -176,11 +164,10 @@ def q_schema_evolution_read(spark, sf_dir):
     """Parts written before firmware_version existed read it as NULL (T5)."""
     rows = _batched_rows(spark, sf_dir)
     t = Table(spark, "telemetry", TELEMETRY_TABLE, "ts", root=new_root(spark, "evolve")).create_if_absent()
-    cut = rows.agg(F.max("batch")).first()[0] // 2
-    old = rows.filter(F.col("batch") <= cut).drop("firmware_version", "arrival_ms")
-    t.append_batches(old, "batch", writer="append", committed_at_col=F.lit(0))
-    new = rows.filter(F.col("batch") > cut).drop("arrival_ms")
-    t.append_batches(new, "batch", writer="append", committed_at_col=F.lit(1))
+    last = rows.agg(F.max("batch").alias("last")).withColumn("cut", F.expr("last div 2")).first()["cut"]
+    old = rows.filter(F.col("batch") <= last).drop("firmware_version")
+    t.append_batches(old, "batch", writer="append", committed_at_col="arrival_ms")
+    t.append_batches(rows.filter(F.col("batch") > last), "batch", writer="append", committed_at_col="arrival_ms")
     return _rows_ms(t.read())
 
 

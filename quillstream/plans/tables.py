@@ -1,31 +1,27 @@
-"""Commit-stamped Parquet tables (SNK1, SNK2, SNK5, SRC5-SRC9, T1, T3, T4, T5, P10).
+"""Parquet tables with a commit log (SNK1, SNK2, SNK5, SRC5-SRC9, T1, T3, T5, P10).
 
 Layout of a table ``<root>/<name>``::
 
     data/<day_col>=YYYY-MM-DD/part_key=<writer>-<batch>/part-*.parquet
-    _commits/part-*.parquet            one row per commit (small)
-
-A write puts its rows into part directories of its own (dynamic partition
-overwrite, so re-running the same batch replaces its own files and nothing
-else), then appends one commit row. Readers only scan part directories that
-are live in the chosen commit, so a half-written batch is invisible and a
-batch already committed under ``(writer, batch_id)`` is skipped (replay-safe).
-
-A commit row records the parts it adds (with row counts) and removes, its
-parent and its *lineage* as a short list of commit-id intervals: a normal
-commit extends its parent's last interval, a rollback appends a new one. The
-live parts of any commit are therefore one filter + anti-join over the commit
-log, with no recursive walk. The commit log is metadata (one row per trigger);
-the scan planner reads the live part list to build the file list, the same
-way Spark's file index lists a directory.
+    _commits/<first commit id>.json    one line per commit (small)
+
+A write puts its rows under a part key of its own (dynamic partition overwrite,
+so a repeated batch replaces its own files and nothing else) and then publishes
+a commit. A commit file is named by the id after the newest one and never
+overwritten: of two writers that saw the same newest commit, the later one
+fails with ``CommitConflict`` and loses nothing but its turn. Readers join the
+data with the part keys of the commits they want, so files of a batch that was
+never committed are not seen, and Spark's own partition filters prune days and
+parts in the scan.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,20 +35,15 @@ COMMITS_SCHEMA = T.StructType([
     T.StructField("operation", T.StringType(), False),
     T.StructField("writer", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), True),
-    T.StructField("adds", T.ArrayType(T.StructType([
-        T.StructField("day", T.DateType()), T.StructField("part_key", T.StringType()),
-        T.StructField("records", T.LongType())])), False),
-    T.StructField("removes", T.ArrayType(T.StructType([
-        T.StructField("day", T.DateType()), T.StructField("part_key", T.StringType()),
-        T.StructField("records", T.LongType())])), False),
+    T.StructField("part_key", T.StringType(), True),
     T.StructField("added_records", T.LongType(), False),
-    T.StructField("removed_records", T.LongType(), False),
     T.StructField("total_records", T.LongType(), False),
-    T.StructField("lineage", T.ArrayType(T.StructType([
-        T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])), False),
 ])
+APPEND = "append"
 
-APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
+
+class CommitConflict(RuntimeError):
+    """Another writer published a commit in between."""
 
 
 # ----------------------------------------------------------------- file system
@@ -68,11 +59,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.delete(p, True))
-
-
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -80,10 +66,25 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; ``CommitConflict`` when it exists."""
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:
+        if fs.exists(p):
+            raise CommitConflict(f"{path} exists: another writer committed first") from e
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 # ------------------------------------------------------------------- the table
 
 class Table:
-    """Handle on one commit-stamped table (paths + schema); holds no data."""
+    """Handle on one table (paths + schema); holds no data and remembers no state."""
 
     def __init__(self, spark: SparkSession, name: str, schema: T.StructType, time_col: str,
                  root: str | None = None):
@@ -96,30 +97,25 @@ class Table:
         self.path = f"{self.root}/{name}"
         self.data_path = f"{self.path}/data"
         self.commits_path = f"{self.path}/_commits"
-        # Single-writer cache of the head commit and of the last batch per
-        # writer; filled from the log on first use (e.g. after a restart).
-        self._head_row = None
-        self._last_batch: dict[str, int | None] = {}
 
     # SNK5: create if absent; never alters an existing table.
     def create_if_absent(self) -> Table:
-        if not path_exists(self.spark, self.commits_path):
-            self.spark.createDataFrame([], COMMITS_SCHEMA).write.mode("append").parquet(self.commits_path)
+        for path in (self.commits_path, self.data_path):
+            fs, p = _fs(self.spark, path)
+            fs.mkdirs(p)
         return self
 
     def commits(self) -> DataFrame:
         """Commit log (SRC7)."""
-        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
-
-    def _part_path(self, day, part_key: str) -> str:
-        return f"{self.data_path}/{self.day_col}={day}/part_key={part_key}"
+        return self.spark.read.schema(COMMITS_SCHEMA).json(self.commits_path)
 
     # ------------------------------------------------------------------ writes
 
-    def _with_day(self, df: DataFrame) -> DataFrame:
+    def with_day(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.day_col, F.to_date(F.col(self.time_col).cast("timestamp")))
 
-    def _write_parts(self, df: DataFrame) -> None:
+    def write_parts(self, df: DataFrame) -> None:
+        """Write rows that carry a day and a part key; they are seen once committed."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(self.day_col, "part_key").parquet(self.data_path))
 
@@ -127,193 +123,107 @@ class Table:
         return T.StructType(list(self.schema.fields) + [
             T.StructField(self.day_col, T.DateType()), T.StructField("part_key", T.StringType())])
 
-    def _head(self) -> DataFrame:
-        c = self.commits()
-        return c.orderBy(F.col("commit_id").desc()).limit(1)
-
-    def committed_batches(self, writer: str) -> DataFrame:
+    def head(self) -> tuple[int | None, int]:
+        """(id, total rows) of the newest commit, from the log as it is now."""
+        row = self.commits().agg(F.max(F.struct("commit_id", "total_records")).alias("h")).first()["h"]
+        return (row["commit_id"], row["total_records"]) if row else (None, 0)
+
+    def publish(self, after: tuple[int | None, int], new: list[tuple]) -> None:
+        """Publish commits (committed_at_ms, writer, batch_id, part_key, added rows)
+        that follow the commit ``after``; ``CommitConflict`` if that is no longer the newest."""
+        parent, total = after
+        lines, first = [], 0 if parent is None else parent + 1
+        for stamp, writer, batch, part_key, added in new:
+            total += added
+            cid = first + len(lines)
+            lines.append(json.dumps({"commit_id": cid, "parent_id": parent, "committed_at_ms": stamp, "operation": APPEND, "writer": writer,
+                                     "batch_id": batch, "part_key": part_key, "added_records": added, "total_records": total}))
+            parent = cid
+        create_file(self.spark, f"{self.commits_path}/{first:012d}.json", "\n".join(lines) + "\n")
+
+    def _committed(self, writer: str) -> DataFrame:
         return self.commits().filter(F.col("writer") == writer).select("batch_id")
 
-    def append_batches(self, df: DataFrame, batch_col: str, writer: str = "append",
-                       committed_at_col: Column | str | None = None, operation: str = APPEND) -> DataFrame:
-        """Write many micro-batches in one distributed job, one commit per batch.
+    def append_batches(self, df: DataFrame, batch_col: str, writer: str = "append", committed_at_col: str | None = None) -> None:
+        """Write many batches in one distributed job, one commit per batch (backfill).
 
         Batches already committed by ``writer`` are skipped. ``committed_at_col``
-        (epoch ms, aggregated per batch with max) stamps commits for backfills;
-        a column given by name is not stored. Default is the wall clock.
-        Returns the new commit rows.
-        """
-        drop_after = [committed_at_col] if isinstance(committed_at_col, str) else []
-        if isinstance(committed_at_col, str):
-            committed_at_col = F.col(committed_at_col)
+        (epoch ms, the largest of a batch, not stored) stamps commits; default is
+        the wall clock. One row per batch comes to the driver, as the log holds."""
         self.create_if_absent()
-        done = self.committed_batches(writer)
-        todo = df.join(done.withColumnRenamed("batch_id", batch_col), on=batch_col, how="left_anti")
-        stamp = committed_at_col if committed_at_col is not None else F.lit(int(time.time() * 1000))
+        after = self.head()
+        todo = df.join(self._committed(writer).withColumnRenamed("batch_id", batch_col), on=batch_col, how="left_anti")
+        stamp = F.max(committed_at_col) if committed_at_col else F.lit(int(time.time() * 1000))
         tag = F.format_string("%s-%012d", F.lit(writer), F.col(batch_col).cast("long"))
-        rows = self._with_day(todo).withColumn("part_key", tag).withColumn("_stamp", stamp)
-        rows = rows.persist()
-        try:
-            # part sizes and commit stamps come from the same rows as the data
-            per_part = (rows.groupBy(batch_col, F.col(self.day_col).alias("day"), "part_key")
-                            .agg(F.count(F.lit(1)).alias("records"), F.max("_stamp").alias("_stamp")))
-            per_part = per_part.checkpoint(eager=True)
-            self._write_parts(rows.drop(batch_col, "_stamp", *drop_after))
-        finally:
-            rows.unpersist()
-        new = per_part.groupBy(batch_col).agg(
-            F.array_sort(F.collect_list(F.struct("day", "part_key", "records"))).alias("adds"),
-            F.sum("records").alias("added_records"),
-            F.max("_stamp").cast("long").alias("committed_at_ms"))
-        return self._append_commit_rows(new.withColumnRenamed(batch_col, "batch_id"), writer, operation)
-
-    def commit_batch(self, df: DataFrame, writer: str, batch_id: int,
-                     committed_at_ms: int | None = None) -> bool:
-        """Stream sink step (SNK1): write one micro-batch and commit it.
-
-        Returns False when ``(writer, batch_id)`` was already committed. The
-        commit row is built on the driver from two bounded results: the
-        per-day row counts of this batch (one row per day touched) and the
-        head commit.
-        """
+        rows = self.with_day(todo.drop(*([committed_at_col] if committed_at_col else []))).withColumn("part_key", tag)
+        self.write_parts(rows.drop(batch_col))
+        counts = todo.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n"), stamp.cast("long").alias("at"), F.first(tag).alias("tag"))
+        new = [(r["at"], writer, int(r[batch_col]), r["tag"], r["n"]) for r in counts.orderBy(batch_col).collect()]
+        if new:
+            self.publish(after, new)
+
+    def commit_batch(self, df: DataFrame, writer: str, batch_id: int, committed_at_ms: int | None = None) -> bool:
+        """Stream sink step (SNK1): write one micro-batch and commit it; the row
+        count is observed while writing. False when it was committed before."""
         self.create_if_absent()
-        if writer not in self._last_batch:
-            last = self.commits().filter(F.col("writer") == writer).agg(F.max("batch_id")).first()[0]
-            self._last_batch[writer] = last
-        last = self._last_batch[writer]
-        if last is not None and batch_id <= last and self.commits().filter(
-                (F.col("writer") == writer) & (F.col("batch_id") == batch_id)).limit(1).count():
+        if self._committed(writer).filter(F.col("batch_id") == batch_id).limit(1).count():
             return False
         key = f"{writer}-{batch_id:012d}"
-        rows = self._with_day(df).withColumn("part_key", F.lit(key))
-        per_day = rows.groupBy(self.day_col).agg(F.count(F.lit(1)).alias("n")).collect()
-        self._write_parts(rows)
-        if self._head_row is None:
-            self._head_row = self.commits().orderBy(F.col("commit_id").desc()).limit(1).collect()
-        head = self._head_row
-        adds = sorted((r[self.day_col], key, int(r["n"])) for r in per_day)
-        added = sum(a[2] for a in adds)
-        cid = head[0]["commit_id"] + 1 if head else 0
-        if head:
-            lineage = [tuple(x) for x in head[0]["lineage"]]
-            lineage[-1] = (lineage[-1][0], cid)
-        else:
-            lineage = [(cid, cid)]
-        row = (cid, head[0]["commit_id"] if head else None,
-               committed_at_ms if committed_at_ms is not None else int(time.time() * 1000),
-               APPEND, writer, int(batch_id), adds, [], added, 0,
-               (head[0]["total_records"] if head else 0) + added, lineage)
-        self.spark.createDataFrame([row], COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.commits_path)
-        self._head_row = [dict(commit_id=cid, total_records=row[10], lineage=lineage)]
-        self._last_batch[writer] = max(batch_id, last if last is not None else batch_id)
+        seen = Observation()
+        rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        self.write_parts(self.with_day(rows).withColumn("part_key", F.lit(key)))
+        stamp = committed_at_ms if committed_at_ms is not None else int(time.time() * 1000)
+        self.publish(self.head(), [(stamp, writer, int(batch_id), key, int(seen.get["n"]))])
         return True
 
-    def _append_commit_rows(self, new: DataFrame, writer: str, operation: str,
-                            removes: DataFrame | None = None) -> DataFrame:
-        """Number new commits after the head, chain them and append them to the log.
-
-        ``new`` has batch_id, adds, added_records, committed_at_ms (and optionally
-        removes/removed_records). The chaining runs over the small commit rows only.
-        """
-        head = self._head().select(F.col("commit_id").alias("h_id"), F.col("total_records").alias("h_total"),
-                                   F.col("lineage").alias("h_lineage"))
-        base = self.spark.range(1).select(F.lit(None).cast("long").alias("h_id"),
-                                          F.lit(0).cast("long").alias("h_total"),
-                                          F.lit(None).cast(COMMITS_SCHEMA["lineage"].dataType).alias("h_lineage"))
-        head = base.unionByName(head).orderBy(F.col("h_id").desc_nulls_last()).limit(1)
-        if "removes" not in new.columns:
-            new = new.withColumn("removes", F.array().cast(COMMITS_SCHEMA["removes"].dataType)) \
-                     .withColumn("removed_records", F.lit(0).cast("long"))
-        order = Window.orderBy("batch_id")
-        rows = new.crossJoin(F.broadcast(head)).withColumn("_n", F.row_number().over(order))
-        rows = rows.withColumn("commit_id", F.coalesce(F.col("h_id"), F.lit(-1)) + F.col("_n"))
-        rows = rows.withColumn("parent_id", F.when(F.col("_n") == 1, F.col("h_id"))
-                               .otherwise(F.col("commit_id") - 1))
-        net = F.sum(F.col("added_records") - F.col("removed_records")).over(
-            order.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("total_records", F.col("h_total") + net)
-        last = F.element_at(F.col("h_lineage"), -1)
-        first_new = F.coalesce(F.col("h_id"), F.lit(-1)) + F.lit(1)
-        lineage = F.when(F.col("h_lineage").isNull(),
-                         F.array(F.struct(first_new.alias("lo"), F.col("commit_id").alias("hi"))))
-        lineage = lineage.otherwise(F.concat(
-            F.slice(F.col("h_lineage"), 1, F.size("h_lineage") - 1),
-            F.array(F.struct(last["lo"].alias("lo"), F.col("commit_id").alias("hi")))))
-        rows = rows.withColumn("lineage", lineage)
-        out = rows.select(
-            "commit_id", "parent_id", "committed_at_ms", F.lit(operation).alias("operation"),
-            F.lit(writer).alias("writer"), "batch_id", "adds", "removes", "added_records",
-            "removed_records", "total_records", "lineage")
-        out = out.checkpoint(eager=True)
-        out.coalesce(1).write.mode("append").parquet(self.commits_path)
-        self._head_row, self._last_batch = None, {}
-        return out
-
     # ------------------------------------------------------------------- reads
 
-    def lineage_commits(self, commit_id: int | None = None) -> DataFrame:
-        """Commits in the lineage of ``commit_id`` (default: head)."""
-        c = self.commits()
-        target = c.filter(F.col("commit_id") == commit_id) if commit_id is not None else self._head()
-        spans = target.select(F.explode("lineage").alias("s")).select("s.lo", "s.hi")
-        return c.join(F.broadcast(spans), (c.commit_id >= spans.lo) & (c.commit_id <= spans.hi), "left_semi")
-
-    def live_parts(self, commit_id: int | None = None) -> DataFrame:
-        """(day, part_key, records) live at ``commit_id`` (default: head)."""
-        lin = self.lineage_commits(commit_id)
-        adds = lin.select(F.explode("adds").alias("p")).select("p.*")
-        removes = lin.select(F.explode("removes").alias("p")).select("p.day", "p.part_key")
-        return adds.join(removes, on=["day", "part_key"], how="left_anti")
+    def files(self) -> DataFrame:
+        """All stored rows, committed or not, with day and part key."""
+        return self.spark.read.schema(self._stored_schema()).parquet(self.data_path)
 
     def read(self, as_of: int | None = None) -> DataFrame:
-        """Table as of a commit (T3; default head). The live part list is the
-        scan's file list; partition columns ``<day_col>`` and ``part_key`` are kept."""
-        parts = self.live_parts(as_of).select("day", "part_key").collect()
-        if not parts:
-            return self.spark.createDataFrame([], self._stored_schema())
-        paths = [self._part_path(r["day"], r["part_key"]) for r in parts]
-        return self.spark.read.schema(self._stored_schema()).option("basePath", self.data_path).parquet(*paths)
+        """Table as of a commit (T3; default the newest); ``<day_col>`` and ``part_key`` are kept."""
+        commits = self.commits()
+        if as_of is not None:
+            commits = commits.filter(F.col("commit_id") <= as_of)
+        return self.files().join(commits.select("part_key"), "part_key", "left_semi")
 
     def history(self) -> DataFrame:
         """Snapshot history (T1): every commit with operation, added and total rows."""
         return self.commits().select("commit_id", "parent_id", "committed_at_ms", "operation", "writer",
                                      "batch_id", "added_records", "total_records")
 
-    # ------------------------------------------------------------ rollback T4
-
-    def rollback_to(self, target_id: int, committed_at_ms: int | None = None) -> DataFrame:
-        """Make ``target_id`` current again without rewriting data (T4).
-
-        Appends a ``rollback`` commit whose parent is the target; its lineage is
-        the target's plus itself, so later commits chain from the restored state
-        and the rolled-back commits stay readable until expired.
-        """
-        c = self.commits()
-        tgt = c.filter(F.col("commit_id") == target_id)
-        if tgt.limit(1).count() == 0:
-            raise ValueError(f"no snapshot {target_id} in {self.name}")
-        head_id = self._head().select("commit_id")
-        stamp = committed_at_ms if committed_at_ms is not None else int(time.time() * 1000)
-        row = tgt.crossJoin(head_id.withColumnRenamed("commit_id", "h_id")).select(
-            (F.col("h_id") + 1).alias("commit_id"), F.col("commit_id").alias("parent_id"),
-            F.lit(stamp).cast("long").alias("committed_at_ms"), F.lit(ROLLBACK).alias("operation"),
-            F.lit(None).cast("string").alias("writer"), F.lit(None).cast("long").alias("batch_id"),
-            F.array().cast(COMMITS_SCHEMA["adds"].dataType).alias("adds"),
-            F.array().cast(COMMITS_SCHEMA["removes"].dataType).alias("removes"),
-            F.lit(0).cast("long").alias("added_records"), F.lit(0).cast("long").alias("removed_records"),
-            "total_records",
-            F.concat("lineage", F.array(F.struct((F.col("h_id") + 1).alias("lo"), (F.col("h_id") + 1).alias("hi"))))
-             .alias("lineage"))
-        row = row.checkpoint(eager=True)
-        row.write.mode("append").parquet(self.commits_path)
-        self._head_row, self._last_batch = None, {}
-        return row
+    def file_stats(self, as_of: int | None = None) -> DataFrame:
+        """Data files of a snapshot with their rows (SRC8)."""
+        rows = self.read(as_of)
+        return rows.groupBy(F.col(self.day_col).alias("day"), F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("records"))
+
+    def orphans(self) -> DataFrame:
+        """(day, part_key) of stored parts that no commit names (M3)."""
+        stored = self.files().select(F.col(self.day_col).alias("day"), "part_key").distinct()
+        return stored.join(self.commits().select("part_key"), "part_key", "left_anti").select("day", "part_key")
+
+    def rewritten(self, root: str, rows_per_file: int = 5_000_000) -> Table:
+        """The current rows in a new table with few files per day (M1, M2): a plain
+        job that leaves this table, its snapshots and its writers alone."""
+        out = Table(self.spark, self.name, self.schema, self.time_col, root=root).create_if_absent()
+        rows = self.read().drop("part_key", self.day_col)
+        days = out.with_day(rows).withColumn("part_key", F.lit("rewrite-000000000000"))
+        seen = Observation()
+        ranged = days.observe(seen, F.count(F.lit(1)).alias("n")).repartitionByRange(self.day_col, self.time_col)
+        (ranged.sortWithinPartitions(self.day_col, self.time_col).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+         .option("partitionOverwriteMode", "dynamic").partitionBy(self.day_col, "part_key").parquet(out.data_path))
+        out.publish(out.head(), [(int(time.time() * 1000), "rewrite", 0, "rewrite-000000000000", int(seen.get["n"]))])
+        return out
 
 
 def previous_snapshot(commits: DataFrame) -> DataFrame:
-    """Second newest commit by time (L3), ties by id; empty when there is none."""
-    return commits.orderBy(F.col("committed_at_ms").desc(), F.col("commit_id").desc()).offset(1).limit(1)
+    """Second newest commit by time (L3), ties by id; an error when there is none."""
+    newest = commits.orderBy(F.col("committed_at_ms").desc(), F.col("commit_id").desc())
+    if len(newest.limit(2).collect()) < 2:
+        raise ValueError("no earlier snapshot")
+    return newest.offset(1).limit(1)
 
 
 def latest_snapshots(commits: DataFrame, n: int = 5) -> DataFrame:

@@ -53,9 +53,6 @@ AGG_TABLE = T.StructType([
     T.StructField("avg_pressure_hpa", T.DoubleType(), False),
 ])
 
-# Dead-letter record: one JSON string column.
-DLQ_ROW = T.StructType([T.StructField("value", T.StringType(), False)])
-
 # Parsed view of the three envelope shapes.
 DLQ_PARSED = T.StructType([
     T.StructField("stage", T.StringType(), True),
@@ -65,15 +62,6 @@ DLQ_PARSED = T.StructType([
     T.StructField("event_ts", T.LongType(), True),
 ])
 
-# Table name -> (schema, event-time column used for the day partition).
-TABLES = {
-    "telemetry": (TELEMETRY_TABLE, "ts"),
-    "telemetry_upsert": (TELEMETRY_TABLE, "ts"),
-    "telemetry_1m_agg": (AGG_TABLE, "window_start"),
-}
-UPSERT_KEY = ("device_id", "ts")
-
-
 def day_partition_field(schema: T.StructType, source_col: str) -> str:
     """Name of the derived day-partition column for ``source_col``.
 

@@ -1,32 +1,32 @@
 """Spark session helpers.
 
-The library never creates a session behind the caller's back in library code;
-``get_session`` is for scripts, tests and the bench. ``warehouse_root`` resolves
-the shared folder where tables, commit logs and stream checkpoints live: it is
-always taken from the session (``spark.checkpoint.dir``), and only when that is
-unset (local tests) a private scratch folder is created and registered.
+``get_session`` is for scripts, tests and the bench; library code works on the
+caller's session. ``warehouse_root`` resolves the shared folder where tables,
+commit logs and stream checkpoints live: it is always taken from the session
+(``spark.checkpoint.dir``). Only a local master may leave that unset, and then
+gets a private scratch folder; elsewhere it is an error, as executors would
+each write to a disk of their own.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on (UTC event time, AQE, RocksDB state).
-BASE_CONF = {
+# Runtime settings every job relies on (UTC event time, AQE, RocksDB state).
+RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+BASE_CONF = RUNTIME_CONF | {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -46,14 +46,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable base settings to an existing session."""
-    for k, v in BASE_CONF.items():
-        if k.startswith("spark.ui."):
-            continue
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
-            pass
+    """Apply the runtime settings to an existing session and ship the package."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: Python workers
+    import the functions they run by module name."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # the zip is read on the driver only; executors fetch it from there
+    target = os.path.join(tempfile.mkdtemp(prefix="quillstream-pkg-"), "quillstream.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -61,23 +78,13 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 def warehouse_root(spark: SparkSession) -> str:
     """Shared folder for tables and checkpoints, from ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Unset: local run (tests, bench). Register a private scratch folder once per app.
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         root = _LOCAL_ROOTS.get(app)
         if root is None:
-            root = tempfile.mkdtemp(prefix="quillstream-wh-")
-            _LOCAL_ROOTS[app] = root
-            try:
-                spark.conf.set("spark.checkpoint.dir", root)
-            except Exception:  # core conf may be read-only at runtime
-                pass
+            root = _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="quillstream-wh-")
             spark.sparkContext.setCheckpointDir(os.path.join(root, "_rdd_checkpoints"))
     return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    return "/".join([warehouse_root(spark), *parts])

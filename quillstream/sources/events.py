@@ -15,8 +15,8 @@ EPOCH_2024_MS = 1704067200000   # 2024-01-01T00:00:00Z
 TIME_COMPRESSION = 60           # 60x compressed time
 LOG_PARTITIONS = 3              # source partitions of the log
 TRIGGER_MS = 30000              # micro-batch / commit interval
-COMMIT_ROWS = 1000              # rows per commit in the table fixtures
-CORRECTION_OFFSET_BASE = 1000000
+COMMIT_MS = 3600000             # arrival time per commit in the table fixtures
+CORRECTIONS = 100               # records of the log that the corrections re-emit
 # ----------------------------------------------------------------------------
 
 # Spark SQL expressions over ``events`` columns (event_id, ts, user_id, value, props).

@@ -17,7 +17,6 @@ from ..functions.timefn import millis_in_range
 from ..schema import LOG_ROW, READING_FIELDS
 
 DEFAULT_TOPIC = "iot.telemetry"
-DEFAULT_DLQ_TOPIC = "iot.telemetry.dlq"
 
 
 def to_log_rows(readings: DataFrame, ts_col: str = "ts_ms", partition_col: str = "partition",
@@ -61,9 +60,10 @@ def decode_and_classify(log: DataFrame) -> DataFrame:
 
 
 def read_log_stream(spark: SparkSession, path: str | None = None, kafka_options: dict | None = None,
-                    max_files_per_trigger: int | None = 1) -> DataFrame:
+                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming log source (SRC1): Kafka from earliest with read_committed,
-    or a Parquet directory holding log rows."""
+    or a Parquet directory holding log rows; each trigger takes all there is
+    unless a limit of files is given."""
     if kafka_options:
         opts = {"startingOffsets": "earliest", "kafka.isolation.level": "read_committed"}
         opts.update(kafka_options)
@@ -74,6 +74,16 @@ def read_log_stream(spark: SparkSession, path: str | None = None, kafka_options:
     return reader.parquet(path)
 
 
+def write_log(rows: DataFrame, topic: str, kafka_options: dict) -> None:
+    """Keyed producer by configuration (SNK3, SNK4): write ``key``/``value`` rows to a
+    log topic. Rows of one key go to one task in the order of ``offset``, and
+    the producer's idempotence keeps it. Needs the Kafka connector on the classpath."""
+    ordered = rows.repartition("key").sortWithinPartitions("key", "offset") if "offset" in rows.columns else rows
+    names = [c for c in ("key", "value") if c in rows.columns]
+    (ordered.select(*names).write.format("kafka").option("topic", topic).option("kafka.acks", "all")
+     .option("kafka.enable.idempotence", "true").options(**kafka_options).save())
+
+
 def replay_first(log: DataFrame, n: int) -> DataFrame:
     """Bounded replay (SRC4): the first ``n`` records from earliest, in a
     deterministic (partition, offset) order. ``n`` is the feature (the number

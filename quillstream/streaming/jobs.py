@@ -1,12 +1,15 @@
 """The three streaming jobs (W1-W11, SNK1-SNK3): append, upsert, windowed.
 
 All start from a log-shaped stream (``sources.log.read_log_stream``), decode and
-classify every record (no filter in front of the watermark), and write in
-``foreachBatch``: the table commit is keyed by ``(writer, batch_id)`` and the
-dead letters go to ``<dlq>/batch_id=<n>`` with partition overwrite, so a
-replayed micro-batch replaces its own output (exactly-once effect for both).
-Restarting with the same checkpoint location resumes from the saved offsets
-(W9); state lives in the RocksDB state store (W11).
+classify every record (no filter in front of the watermark), observe the
+router's quality counters (A6, MET7) and write in ``foreachBatch``: the table
+commit is keyed by ``(writer, batch_id)`` and the dead letters go to
+``<dlq>/writer=<name>/batch_id=<n>`` with partition overwrite, so a replayed
+micro-batch replaces its own output (exactly-once effect for both) and jobs can
+share one dead-letter sink. A job that starts from a new checkpoint counts its
+batches from zero again and so needs a new name. Restarting with the same
+checkpoint location resumes from the saved offsets (W9); state lives in the
+RocksDB state store (W11).
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ from pyspark.sql import types as T
 
 from ..functions import envelope
 from ..functions.quality import to_table_row
-from ..functions.timefn import millis_to_ts
 from ..operators import route
 from ..operators.upsert import latest_by_key
 from ..plans.tables import Table
@@ -32,15 +34,20 @@ UPSERT_TABLE = T.StructType(list(TELEMETRY_TABLE.fields) + [
     T.StructField("_partition", T.IntegerType()), T.StructField("_offset", T.LongType())])
 
 
-def write_dead_letters(dlq: DataFrame, dlq_path: str, batch_id: int) -> None:
-    """Idempotent dead-letter write for one micro-batch (SNK3)."""
-    (dlq.withColumn("batch_id", F.lit(batch_id).cast("long"))
+def write_dead_letters(dlq: DataFrame, dlq_path: str, writer: str, batch_id: int) -> None:
+    """Idempotent dead-letter write for one micro-batch of one job (SNK3)."""
+    (dlq.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(dlq_path))
+        .partitionBy("writer", "batch_id").parquet(dlq_path))
 
 
 def read_dead_letters(spark: SparkSession, dlq_path: str) -> DataFrame:
-    return spark.read.schema("value string, batch_id long").parquet(dlq_path)
+    return spark.read.schema("value string, writer string, batch_id long").parquet(dlq_path)
+
+
+def classified_stream(log: DataFrame) -> DataFrame:
+    """Decoded and classified records with the router's counters observed as ``quality``."""
+    return decode_and_classify(log).observe("quality", *route.counter_exprs())
 
 
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str):
@@ -49,50 +56,31 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str):
     return w.trigger(**trigger).start()
 
 
-def start_append_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: str,
-                     trigger: dict | None = None, name: str = "telemetry_append"):
-    """Log -> decode -> gate -> append table + dead letters (3.1).
-    The router's quality counters are observed per batch (A6, MET7)."""
-    classified = decode_and_classify(log).observe("quality", *route.counter_exprs())
-
+def _start_router(log: DataFrame, table: Table, dlq_path: str, checkpoint: str, trigger: dict | None, name: str, keep: list):
+    """Log -> decode -> gate -> table + dead letters, each written from the batch once cached."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            rows = to_table_row(route.valid_rows(batch))
-            table.commit_batch(rows, writer=name, batch_id=batch_id)
-            write_dead_letters(route.dead_letters(batch, payload_col="value"), dlq_path, batch_id)
+            table.commit_batch(to_table_row(route.valid_rows(batch), keep=keep), writer=name, batch_id=batch_id)
+            write_dead_letters(route.dead_letters(batch, payload_col="value"), dlq_path, name, batch_id)
         finally:
             batch.unpersist()
 
-    return _start(classified, sink, checkpoint, trigger, name)
+    return _start(classified_stream(log), sink, checkpoint, trigger, name)
+
+
+def start_append_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: str,
+                     trigger: dict | None = None, name: str = "telemetry_append"):
+    """Log -> decode -> gate -> append table + dead letters (3.1)."""
+    return _start_router(log, table, dlq_path, checkpoint, trigger, name, [])
 
 
 def start_upsert_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: str,
                      trigger: dict | None = None, name: str = "telemetry_upsert"):
     """Same front half; the table is a change log with hidden log coordinates,
-    merged latest-wins on read (3.3, SNK2)."""
-    classified = decode_and_classify(log)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            v = route.valid_rows(batch)
-            rows = v.select(
-                *_table_exprs(), F.col("partition").cast("int").alias("_partition"),
-                F.col("offset").cast("long").alias("_offset"))
-            table.commit_batch(rows, writer=name, batch_id=batch_id)
-            write_dead_letters(route.dead_letters(batch, payload_col="value"), dlq_path, batch_id)
-        finally:
-            batch.unpersist()
-
-    return _start(classified, sink, checkpoint, trigger, name)
-
-
-def _table_exprs():
-    """Reading -> table row (P1) expressions."""
-    return [F.col("device_id"), F.col("site_id"), millis_to_ts("ts").alias("ts"), F.col("temperature_c"),
-            F.col("humidity_pct"), F.col("pressure_hpa"), F.col("vibration_g"),
-            F.nullif(F.col("firmware_version"), F.lit("")).alias("firmware_version")]
+    merged latest-wins on read (3.3, SNK2) or by ``merge_touched_days``."""
+    keep = [F.col("partition").cast("int").alias("_partition"), F.col("offset").cast("long").alias("_offset")]
+    return _start_router(log, table, dlq_path, checkpoint, trigger, name, keep)
 
 
 def read_upsert_table(table: Table, as_of: int | None = None) -> DataFrame:
@@ -102,31 +90,35 @@ def read_upsert_table(table: Table, as_of: int | None = None) -> DataFrame:
     return cur.drop("_partition", "_offset")
 
 
-def window_stream(log: DataFrame, exact_decimals: int | None = 2) -> DataFrame:
+#: Groups over which the rejects of one log partition are dealt; they touch no state.
+REJECT_GROUPS = 64
+
+
+def window_stream(log: DataFrame) -> DataFrame:
     """Tagged rows (agg / late / reject) of the window job, as a streaming DataFrame.
 
     The watermark is attached to the event time of every record (rejected and
     undecodable ones too, W2). No filter runs before the stateful operator and
     the timestamp column is projected away, so late rows reach the processor,
-    which applies the window-has-fired rule itself (2.7.1 a, d).
+    which applies the window-has-fired rule itself (2.7.1 a, d). Rejects need no
+    state: their key is their place in the log, dealt over REJECT_GROUPS.
     """
-    d = decode_and_classify(log)
+    d = classified_stream(log)
     d = d.withColumn("event_time", F.timestamp_millis("event_ms")).withWatermark("event_time", WATERMARK_DELAY)
+    reject_key = F.concat_ws("~", F.lit(""), F.col("partition").cast("string"), F.pmod(F.col("offset"), F.lit(REJECT_GROUPS)).cast("string"))
     keyed = d.select(
-        F.coalesce(F.nullif(F.col("device_id"), F.lit("")),
-                   F.concat(F.lit("~"), F.col("partition").cast("string"))).alias("_key"),
+        F.when(F.col("stage").isNull(), F.col("device_id")).otherwise(reject_key).alias("_key"),
         "device_id", "event_ms", "stage", "reject_reason", "payload_len",
         "temperature_c", "humidity_pct", "pressure_hpa")
     return keyed.groupBy("_key").transformWithStateInPandas(
-        statefulProcessor=LateAwareWindows(exact_decimals=exact_decimals), outputStructType=OUTPUT,
+        statefulProcessor=LateAwareWindows(), outputStructType=OUTPUT,
         outputMode="Append", timeMode="EventTime")
 
 
 def start_window_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: str,
-                     trigger: dict | None = None, name: str = "telemetry_1m_agg",
-                     exact_decimals: int | None = 2):
+                     trigger: dict | None = None, name: str = "telemetry_1m_agg"):
     """Windowed aggregate job (3.2): agg rows -> table, reject + late -> one DLQ."""
-    tagged = window_stream(log, exact_decimals)
+    tagged = window_stream(log)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -137,9 +129,9 @@ def start_window_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: st
             table.commit_batch(agg, writer=name, batch_id=batch_id)
             dlq = batch.filter(F.col("kind") != "agg").select(
                 F.when(F.col("kind") == "late", envelope.late_event("device_id", "event_ts"))
-                 .otherwise(envelope.envelope_for_stage("stage", "reason", "device_id"))
+                 .otherwise(envelope.envelope_for_stage("stage", "reason", "device_id", payload_len="payload_len"))
                  .alias("value"))
-            write_dead_letters(dlq, dlq_path, batch_id)
+            write_dead_letters(dlq, dlq_path, name, batch_id)
         finally:
             batch.unpersist()
 

@@ -7,13 +7,15 @@ device inside ``transformWithStateInPandas``:
 
 * a reading is late iff its window end is at or below the watermark in force
   for its micro-batch (its window has already fired);
-* otherwise it is folded into its window's accumulator (count, fixed-point or
-  float sums, min, max) and an event-time timer is set at the window end;
+* otherwise it is folded into its window's accumulator (count, sums, min, max)
+  and an event-time timer is set at the window end;
 * the timer fires once the watermark reaches the window end and emits the
   aggregate row; rejected readings pass through as ``reject`` rows.
 
-All chunks of a device's micro-batch are grouped by window first; open windows
-are read in one state scan and each touched window is written once per batch.
+Each chunk of a device's micro-batch is folded as it arrives into one partial
+per window, and its rejects and late rows leave at once, so what is held is
+bounded by the open windows. At the end each touched window is read and written
+once.
 """
 
 from __future__ import annotations
@@ -49,13 +51,18 @@ _COLS = OUTPUT.fieldNames()
 _KEY = T.StructType([T.StructField("window_start_ms", T.LongType())])
 _ACC = T.StructType([
     T.StructField("n", T.LongType()),
-    T.StructField("t_sum", T.DoubleType()), T.StructField("t_units", T.LongType()),
-    T.StructField("t_min", T.DoubleType()), T.StructField("t_max", T.DoubleType()),
-    T.StructField("h_sum", T.DoubleType()), T.StructField("h_units", T.LongType()),
-    T.StructField("p_sum", T.DoubleType()), T.StructField("p_units", T.LongType()),
+    T.StructField("t_sum", T.DoubleType()), T.StructField("t_min", T.DoubleType()), T.StructField("t_max", T.DoubleType()),
+    T.StructField("h_sum", T.DoubleType()), T.StructField("p_sum", T.DoubleType()),
 ])
 
 
+def _merged(a: tuple | None, b: tuple) -> tuple:
+    """Two accumulators of one window as one."""
+    if a is None:
+        return b
+    return (a[0] + b[0], a[1] + b[1], min(a[2], b[2]), max(a[3], b[3]), a[4] + b[4], a[5] + b[5])
+
+
 _DTYPES = {f.name: ("Int64" if isinstance(f.dataType, T.LongType) else
                     "float64" if isinstance(f.dataType, T.DoubleType) else "object") for f in OUTPUT.fields}
 
@@ -80,75 +87,52 @@ class LateAwareWindows(StatefulProcessor):
     """Input columns: device_id, event_ms, stage, reject_reason, payload_len,
     temperature_c, humidity_pct, pressure_hpa (stage NULL = plausible reading)."""
 
-    def __init__(self, window_ms: int = WINDOW_MS, exact_decimals: int | None = 2):
+    def __init__(self, window_ms: int = WINDOW_MS):
         self.window_ms = window_ms
-        self.scale = None if exact_decimals is None else 10 ** exact_decimals
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.windows = handle.getMapState("windows", _KEY, _ACC)
 
-    def _avg(self, s, units, n):
-        if self.scale is None:
-            return s / n
-        return units / n / self.scale
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        device = key[0]
-        out, on_time = [], []
+        partial: dict[int, tuple] = {}
+        sent = False
         for pdf in rows:
-            rej = pdf[pdf["stage"].notna()]
+            out = []
+            rejected = pdf["stage"].notna().to_numpy()
+            rej, ok = pdf[rejected], pdf[~rejected]
             if len(rej):
                 out.append(pd.DataFrame({"kind": "reject", "device_id": rej["device_id"], "event_ts": rej["event_ms"],
                                          "stage": rej["stage"], "reason": rej["reject_reason"],
                                          "payload_len": rej["payload_len"]}))
-            ok = pdf[pdf["stage"].isna()]
-            if not len(ok):
-                continue
-            ts = ok["event_ms"].astype("int64")
-            start = ts - np.mod(ts, self.window_ms)
-            late_mask = ((start + self.window_ms) <= wm).to_numpy() if wm is not None and wm > 0 \
-                else np.zeros(len(ok), bool)
-            if late_mask.any():
-                out.append(pd.DataFrame({"kind": "late", "device_id": device,
-                                         "event_ts": ts[late_mask]}))
-            if (~late_mask).any():
-                on_time.append(ok[~late_mask].assign(_start=start[~late_mask]))
-        if on_time:
-            self._fold(pd.concat(on_time, ignore_index=True))
-        if out:
-            yield _typed(pd.concat([_typed(o) for o in out], ignore_index=True))
-        else:
+            if len(ok):
+                ts = ok["event_ms"].astype("int64")
+                start = ts - np.mod(ts, self.window_ms)
+                late = ((start + self.window_ms) <= (wm or 0)).to_numpy()
+                if late.any():
+                    out.append(pd.DataFrame({"kind": "late", "device_id": key[0], "event_ts": ts[late]}))
+                if not late.all():
+                    self._fold(ok[~late], start[~late], partial)
+            if out:
+                sent = True
+                yield _typed(pd.concat([_typed(o) for o in out], ignore_index=True))
+        for begin, acc in partial.items():
+            held = self.windows.getValue((begin,)) if self.windows.containsKey((begin,)) else None
+            if held is None:
+                self.handle.registerTimer(begin + self.window_ms)
+            self.windows.updateValue((begin,), _merged(held, acc))
+        if not sent:
             yield _empty()
 
-    def _fold(self, on: pd.DataFrame) -> None:
-        """Fold this batch's on-time readings of one device into its open
-        windows: one aggregation, one state read, one write per window."""
-        if self.scale is not None:
-            on = on.assign(_tu=np.round(on["temperature_c"] * self.scale).astype("int64"),
-                           _hu=np.round(on["humidity_pct"] * self.scale).astype("int64"),
-                           _pu=np.round(on["pressure_hpa"] * self.scale).astype("int64"))
-        else:
-            on = on.assign(_tu=0, _hu=0, _pu=0)
-        g = on.groupby("_start").agg(
-            n=("temperature_c", "size"), t_sum=("temperature_c", "sum"), t_units=("_tu", "sum"),
-            t_min=("temperature_c", "min"), t_max=("temperature_c", "max"),
-            h_sum=("humidity_pct", "sum"), h_units=("_hu", "sum"),
-            p_sum=("pressure_hpa", "sum"), p_units=("_pu", "sum"))
-        open_windows = {k[0]: v for k, v in self.windows.iterator()} if self.windows.exists() else {}
-        for w_start, acc in zip(g.index.tolist(), g.itertuples(index=False)):
-            cur = open_windows.get(int(w_start))
-            if cur is not None:
-                n, ts_, tu, tmin, tmax, hs, hu, ps, pu = cur
-                new = (n + int(acc.n), ts_ + float(acc.t_sum), tu + int(acc.t_units), min(tmin, float(acc.t_min)),
-                       max(tmax, float(acc.t_max)), hs + float(acc.h_sum), hu + int(acc.h_units),
-                       ps + float(acc.p_sum), pu + int(acc.p_units))
-            else:
-                new = (int(acc.n), float(acc.t_sum), int(acc.t_units), float(acc.t_min), float(acc.t_max),
-                       float(acc.h_sum), int(acc.h_units), float(acc.p_sum), int(acc.p_units))
-                self.handle.registerTimer(int(w_start) + self.window_ms)
-            self.windows.updateValue((int(w_start),), new)
+    @staticmethod
+    def _fold(on: pd.DataFrame, start: pd.Series, partial: dict[int, tuple]) -> None:
+        """Add one chunk's on-time readings to the partial of each window."""
+        g = on.groupby(start.to_numpy()).agg(
+            n=("temperature_c", "size"), t_sum=("temperature_c", "sum"), t_min=("temperature_c", "min"),
+            t_max=("temperature_c", "max"), h_sum=("humidity_pct", "sum"), p_sum=("pressure_hpa", "sum"))
+        for begin, acc in zip(g.index.tolist(), g.itertuples(index=False)):
+            partial[int(begin)] = _merged(partial.get(int(begin)), (int(acc.n), *(float(x) for x in acc[1:])))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         end = expiredTimerInfo.getExpiryTimeInMs()
@@ -157,13 +141,12 @@ class LateAwareWindows(StatefulProcessor):
         if acc is None:
             yield _empty()
             return
-        n, ts_, tu, tmin, tmax, hs, hu, ps, pu = acc
+        n, t_sum, t_min, t_max, h_sum, p_sum = acc
         self.windows.removeKey(k)
         yield pd.DataFrame([{
             "kind": "agg", "device_id": key[0], "window_start_ms": k[0], "window_end_ms": end,
-            "reading_count": n, "avg_temperature_c": self._avg(ts_, tu, n), "min_temperature_c": tmin,
-            "max_temperature_c": tmax, "avg_humidity_pct": self._avg(hs, hu, n),
-            "avg_pressure_hpa": self._avg(ps, pu, n)}]).pipe(_typed)
+            "reading_count": n, "avg_temperature_c": t_sum / n, "min_temperature_c": t_min,
+            "max_temperature_c": t_max, "avg_humidity_pct": h_sum / n, "avg_pressure_hpa": p_sum / n}]).pipe(_typed)
 
     def close(self) -> None:
         pass
