@@ -47,6 +47,7 @@ def normalise_ts_millis(raw: Column | str) -> Column:
     as_number = raw.try_cast("double")
     number_ms = F.when(F.abs(as_number) < F.lit(9.2e18), as_number.cast("long"))
     iso = F.regexp_replace(F.trim(raw), r"(\d)T(\d)", "$1 $2")
+    iso = F.regexp_replace(iso, r"( \d{2}:\d{2})(Z|[+-].*)?$", "$1:00$2")  # seconds may be left out
     iso_ms = F.unix_millis(F.try_to_timestamp(iso))
     # A numeric string is millis, otherwise the ISO form.
     return F.coalesce(number_ms, iso_ms)

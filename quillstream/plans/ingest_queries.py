@@ -68,22 +68,27 @@ def q_encode_roundtrip(spark, sf_dir):
 
 def bridge_payloads(spark, sf_dir) -> DataFrame:
     """Device JSON messages derived from the readings: ts as a number or an
-    ISO string (UTC or +02:00), some numeric strings, optional firmware, some
-    broken or incomplete payloads; topic per device with some foreign topics."""
+    ISO string (UTC or +02:00), some numeric strings and booleans, optional
+    firmware, some broken or incomplete payloads, times and months for dates,
+    numbers for firmware; topic per device with some foreign topics."""
     tv = telemetry_view(spark, sf_dir)
     iso_utc = F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
     iso_plus2 = F.concat(F.date_format(F.timestamp_millis(F.col("ts_ms") + 7200000), "yyyy-MM-dd'T'HH:mm:ss.SSS"),
                          F.lit("+02:00"))
     # JSON types per key are chosen through VARIANT values.
-    ts_v = (F.when(F.col("seq") % 3 == 0, F.col("ts_ms").cast("variant"))
+    ts_v = (F.when(F.col("seq") % 107 == 2, F.lit("12:30").cast("variant"))
+             .when(F.col("seq") % 109 == 2, F.lit("2024-01").cast("variant"))
+             .when(F.col("seq") % 3 == 0, F.col("ts_ms").cast("variant"))
              .when(F.col("seq") % 3 == 1, iso_utc.cast("variant"))
              .otherwise(iso_plus2.cast("variant")))
-    temp_v = F.when(F.col("seq") % 7 == 0, F.col("temperature_c").cast("string").cast("variant")).otherwise(
+    temp_v = F.when(F.col("seq") % 113 == 2, F.lit("1d").cast("variant")).when(F.col("seq") % 127 == 2, F.lit(True).cast("variant")).when(
+        F.col("seq") % 7 == 0, F.col("temperature_c").cast("string").cast("variant")).otherwise(
         F.col("temperature_c").cast("variant"))
+    firmware_v = F.when(F.col("seq") % 131 == 2, F.lit(2).cast("variant")).otherwise(F.col("firmware_version").cast("variant"))
     hum = F.when(F.col("seq") % 103 != 1, F.col("humidity_pct"))
     js = F.to_json(F.struct(
         F.col("device_id"), F.col("site_id"), ts_v.alias("ts"), temp_v.alias("temperature_c"),
-        hum.alias("humidity_pct"), F.col("pressure_hpa"), F.col("vibration_g"), F.col("firmware_version")))
+        hum.alias("humidity_pct"), F.col("pressure_hpa"), F.col("vibration_g"), firmware_v.alias("firmware_version")))
     js = F.when(F.col("seq") % 101 == 0, F.substring(js, 1, 40)).otherwise(js)
     topic = (F.when(F.col("seq") % 17 == 0, F.concat_ws("/", F.lit("sensors"), "site_id", "device_id", F.lit("status")))
               .when(F.col("seq") % 19 == 0, F.concat_ws("/", F.lit("sensors"), "site_id", F.lit("telemetry")))

@@ -1,11 +1,13 @@
 """Device JSON payloads -> canonical readings (SRC2, SRC3, J1-J3).
 
 Payloads are parsed JVM-side into per-key VARIANTs, so each key's JSON type is known:
-numbers and numeric strings are accepted for the measures (``float(x)``
-semantics), ``ts`` is epoch millis when it is a JSON number (truncated) and
-ISO-8601 when it is a string, ``firmware_version`` defaults to ``""``. A
-payload that is not JSON, lacks a required key or has a bad value is counted
-as an error and dropped (not dead-lettered), like the bridge.
+numbers, booleans and numeric strings are accepted for the measures
+(``float(x)`` semantics), ``ts`` is epoch millis when it is a JSON number or
+boolean (truncated) and a full ISO-8601 date with an optional time when it is a
+string. ``firmware_version`` defaults to ``""``; it and the two ids have to be
+strings or JSON null, which leaves the field at ``""``. A payload that is not
+JSON, lacks a required key or has a bad value is counted as an error and dropped
+(not dead-lettered), like the bridge.
 """
 
 from __future__ import annotations
@@ -54,27 +56,43 @@ def _is_number(kind: Column) -> Column:
     return kind.isin(*_NUMBER_KINDS) | kind.startswith("DECIMAL")
 
 
+# --- Fixed values: texts that ``float()`` and ISO parsing accept ---------------
+NUMBER_TEXT = (r"^\s*[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?|(?i:inf|infinity|nan))\s*$")
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+# ------------------------------------------------------------------------------
+
+
+def _flag(v: Column) -> Column:
+    """1 or 0 of a JSON boolean."""
+    return F.try_variant_get(v, "$", "boolean").cast("int")
+
+
 def _number(v: Column) -> Column:
-    """``float(x)``: a JSON number, or a string holding one."""
+    """``float(x)``: a JSON number or boolean, or a string holding a number."""
     kind = _kind(v)
-    from_str = F.trim(F.try_variant_get(v, "$", "string")).try_cast("double")
-    return F.when(kind == "STRING", from_str).when(_is_number(kind), F.try_variant_get(v, "$", "double"))
+    text = F.try_variant_get(v, "$", "string")
+    from_str = F.when(text.rlike(NUMBER_TEXT), F.regexp_replace(F.trim(text), "_", "").try_cast("double"))
+    return (F.when(kind == "STRING", from_str).when(kind == "BOOLEAN", _flag(v).cast("double"))
+            .when(_is_number(kind), F.try_variant_get(v, "$", "double")))
 
 
 def _string(v: Column) -> Column:
-    return F.when(_kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    """A JSON string; JSON null leaves the field at its default."""
+    kind = _kind(v)
+    return F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind == "VOID", F.lit(""))
 
 
 def _ts_millis(v: Column) -> Column:
     """JSON number -> millis truncated toward zero; JSON string -> ISO-8601 (a
-    numeric string is an ISO error, as in the bridge)."""
+    numeric string, a time or a month alone is an error)."""
     kind = _kind(v)
     text = F.try_variant_get(v, "$", "string")
     int_ms = F.try_variant_get(v, "$", "long")
     num = F.try_variant_get(v, "$", "double")
     number_ms = F.coalesce(int_ms, F.when(F.abs(num) < F.lit(9.2e18), num.cast("long")))
-    iso_ms = F.when(~text.rlike(r"^\s*-?[0-9.]+\s*$"), normalise_ts_millis(text))
-    return F.when(kind == "STRING", iso_ms).when(_is_number(kind), number_ms)
+    iso_ms = F.when(text.rlike(ISO_TEXT), normalise_ts_millis(F.replace(text, F.lit(","), F.lit("."))))
+    return (F.when(kind == "STRING", iso_ms).when(kind == "BOOLEAN", _flag(v).cast("long"))
+            .when(_is_number(kind), number_ms))
 
 
 _PAYLOAD_SCHEMA = ", ".join(f"{k} variant" for k in REQUIRED_KEYS + ["firmware_version"])
@@ -95,15 +113,15 @@ def normalise_payload(df: DataFrame, payload_col: str = "payload") -> DataFrame:
         "ts": _ts_millis(p("ts")),
         **{k: _number(p(k)) for k in NUMERIC_KEYS},
     }
-    d = d.select("*", *[e.alias(f"_f_{k}") for k, e in fields.items()],
-                 F.coalesce(_string(p("firmware_version")), F.lit("")).alias("_f_firmware_version"))
+    fields["firmware_version"] = F.when(p("firmware_version").isNull(), F.lit("")).otherwise(_string(p("firmware_version")))
+    d = d.select("*", *[e.alias(f"_f_{k}") for k, e in fields.items()])
     ok = F.lit(True)
     for k in fields:
         ok = ok & F.col(f"_f_{k}").isNotNull()
     d = d.withColumn("parse_ok", ok)
-    for k in list(fields) + ["firmware_version"]:
+    for k in fields:
         d = d.withColumn(k, F.when(F.col("parse_ok"), F.col(f"_f_{k}")))
-    return d.drop("_p", *[f"_f_{k}" for k in list(fields) + ["firmware_version"]])
+    return d.drop("_p", *[f"_f_{k}" for k in fields])
 
 
 def bridge_counters(normalised: DataFrame) -> DataFrame:

@@ -32,3 +32,16 @@ def test_topic_filter(spark):
                                 ("sensors/a/b/status",)], "topic string")
     got = [(r.topic_site, r.topic_device) for r in filter_topics(df).collect()]
     assert got == [("a", "b")]
+
+
+def test_as_strict_as_the_bridge(spark):
+    bad = ['{%s,"ts":"12:30","temperature_c":1}' % OK, '{%s,"ts":"2024-01","temperature_c":1}' % OK,
+           '{%s,"ts":1,"temperature_c":"1d"}' % OK, '{%s,"ts":1,"temperature_c":1,"firmware_version":2}' % OK,
+           '{%s,"ts":1,"temperature_c":1,"firmware_version":true}' % OK, '{%s,"ts":null,"temperature_c":1}' % OK,
+           '{%s,"ts":1,"temperature_c":null}' % OK, '{%s,"ts":"2024-01-01T10","temperature_c":""}' % OK]
+    assert not any(r.parse_ok for r in _norm(spark, bad))
+    good = _norm(spark, ['{%s,"ts":"2024-01-01","temperature_c":true}' % OK, '{%s,"ts":true,"temperature_c":" 1_0.5e1 "}' % OK,
+                         '{%s,"ts":1,"temperature_c":1,"firmware_version":null}' % OK, '{%s,"ts":"2024-01-01 00:00Z","temperature_c":"-.5"}' % OK])
+    assert [r.parse_ok for r in good] == [True] * 4
+    assert [r.temperature_c for r in good] == [1.0, 105.0, 1.0, -0.5]
+    assert [r.ts for r in good] == [1704067200000, 1, 1, 1704067200000] and good[2].firmware_version == ""
