@@ -184,10 +184,13 @@ class Table:
 
     def read(self, as_of: int | None = None) -> DataFrame:
         """Table as of a commit (T3; default the newest); ``<day_col>`` and ``part_key`` are kept."""
+        return self._live(self.files(), as_of)
+
+    def _live(self, stored: DataFrame, as_of: int | None) -> DataFrame:
         commits = self.commits()
         if as_of is not None:
             commits = commits.filter(F.col("commit_id") <= as_of)
-        return self.files().join(commits.select("part_key"), "part_key", "left_semi")
+        return stored.join(commits.select("part_key"), "part_key", "left_semi")
 
     def history(self) -> DataFrame:
         """Snapshot history (T1): every commit with operation, added and total rows."""
@@ -196,8 +199,8 @@ class Table:
 
     def file_stats(self, as_of: int | None = None) -> DataFrame:
         """Data files of a snapshot with their rows (SRC8)."""
-        rows = self.read(as_of)
-        return rows.groupBy(F.col(self.day_col).alias("day"), F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("records"))
+        stored = self.files().select("part_key", F.col(self.day_col).alias("day"), F.col("_metadata.file_path").alias("file"))
+        return self._live(stored, as_of).groupBy("day", "file").agg(F.count(F.lit(1)).alias("records"))
 
     def orphans(self) -> DataFrame:
         """(day, part_key) of stored parts that no commit names (M3)."""

@@ -1,15 +1,14 @@
-"""Registered queries vs the DuckDB oracle on sf0.001 (fast subset)."""
+"""All registered queries with an oracle vs DuckDB on sf0.001."""
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quillstream.plans import registry
+from quillstream.plans.oracle import SQL
 from tools.oracle_check import rows_of
 
 SF = "/root/testdata/sf0.001"
-FAST = ["window_1m_device", "telemetry_rows", "quality_route", "quality_counters", "late_events",
-        "window_1m_on_time", "dead_letters", "dlq_triage", "device_stats", "latest_10", "decode_wire",
-        "encode_roundtrip", "json_normalise", "topic_filter", "upsert_current", "upsert_summary",
-        "snapshot_history", "rollback_state", "expire_candidates", "time_range"]
+ALL = sorted(name for name in SQL if name in registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +18,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", ALL)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])

@@ -67,7 +67,7 @@ def test_router_stages(spark):
 @pytest.mark.parametrize("payload,expected", [(bytes([1, 2, 3]), 3), (None, 0)])
 def test_parse_failure_envelope(spark, payload, expected):
     df = spark.createDataFrame([(payload,)], "p binary")
-    v = json.loads(df.select(envelope.parse_failure(F.lit("boom"), "p")).first()[0])
+    v = json.loads(df.select(envelope.parse_failure(F.lit("boom"), F.octet_length("p"))).first()[0])
     assert v == {"stage": "deserialize", "reason": "boom", "payload_len": expected}
 
 
@@ -81,5 +81,5 @@ def test_validation_and_late_envelopes(spark):
 
 def test_null_reason_kept(spark):
     df = spark.createDataFrame([(None,)], "p binary")
-    v = json.loads(df.select(envelope.parse_failure(F.lit(None).cast("string"), "p")).first()[0])
+    v = json.loads(df.select(envelope.parse_failure(F.lit(None).cast("string"), F.octet_length("p"))).first()[0])
     assert v["reason"] is None and "reason" in v

@@ -1,11 +1,12 @@
-"""Commit-stamped tables: replay-safe commits, time travel, rollback, maintenance."""
+"""Tables with a commit log: replay-safe commits, conflicts, time travel, rewrites."""
 import datetime as dt
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from quillstream.plans import maintenance
-from quillstream.plans.tables import Table, previous_snapshot
+from quillstream.functions.timefn import ts_between
+from quillstream.plans.tables import CommitConflict, Table, list_tables, previous_snapshot
 from quillstream.schema import TELEMETRY_TABLE
 from quillstream.session import warehouse_root
 
@@ -17,66 +18,104 @@ def _rows(spark, n, start_s=0):
     return spark.createDataFrame(data, TELEMETRY_TABLE)
 
 
+def _root(spark):
+    return f"{warehouse_root(spark)}/test-tables-{uuid.uuid4().hex[:8]}"
+
+
 def _table(spark):
-    root = f"{warehouse_root(spark)}/test-tables-{uuid.uuid4().hex[:8]}"
-    return Table(spark, "telemetry", TELEMETRY_TABLE, "ts", root=root).create_if_absent()
+    return Table(spark, "telemetry", TELEMETRY_TABLE, "ts", root=_root(spark)).create_if_absent()
 
 
 def test_replayed_batch_is_not_duplicated(spark):
     t = _table(spark)
+    assert t.read().count() == 0
     assert t.commit_batch(_rows(spark, 10), "w", 1)
     assert not t.commit_batch(_rows(spark, 10), "w", 1)     # same batch again
     assert t.commit_batch(_rows(spark, 5, 100), "w", 2)
+    assert t.commit_batch(_rows(spark, 0), "w", 3)          # an empty batch is a commit too
     assert t.read().count() == 15
     h = t.history().orderBy("commit_id").collect()
-    assert [r.total_records for r in h] == [10, 15]
+    assert [r.total_records for r in h] == [10, 15, 15]
 
 
-def test_time_travel_and_rollback(spark):
+def test_time_travel(spark):
     t = _table(spark)
     t.commit_batch(_rows(spark, 4), "w", 0)
     t.commit_batch(_rows(spark, 6, 10), "w", 1)
     t.commit_batch(_rows(spark, 3, 30), "w", 2)
-    assert t.read(as_of=0).count() == 4
-    assert t.read(as_of=1).count() == 10
-    t.rollback_to(0)
-    assert t.read().count() == 4
-    t.commit_batch(_rows(spark, 2, 50), "w", 3)               # chains from the restored state
-    assert t.read().count() == 6
-    assert t.read(as_of=2).count() == 13                      # rolled-back snapshot still readable
-    ops = [r.operation for r in t.history().orderBy("commit_id").collect()]
-    assert ops == ["append", "append", "append", "rollback", "append"]
-
-
-def test_previous_snapshot_empty_for_single_commit(spark):
+    assert [t.read(as_of=i).count() for i in range(3)] == [4, 10, 13]
+    assert {r.commit_id for r in t.history().collect()} == {0, 1, 2}
+
+
+def test_two_handles_see_each_others_commits(spark):
+    a = _table(spark)
+    b = Table(spark, "telemetry", TELEMETRY_TABLE, "ts", root=a.root)
+    a.commit_batch(_rows(spark, 3), "a", 0)
+    b.commit_batch(_rows(spark, 4, 10), "b", 0)
+    a.commit_batch(_rows(spark, 5, 20), "a", 1)
+    assert a.read().count() == b.read().count() == 12
+    assert [r.total_records for r in a.history().orderBy("commit_id").collect()] == [3, 7, 12]
+
+
+def test_stale_writer_raises(spark):
+    a = _table(spark)
+    b = Table(spark, "telemetry", TELEMETRY_TABLE, "ts", root=a.root)
+    stale = a.head()
+    b.commit_batch(_rows(spark, 4), "b", 0)
+    with pytest.raises(CommitConflict):
+        a.publish(stale, [(0, "a", 0, "a-000000000000", 1)])
+    assert a.read().count() == 4 and a.commits().count() == 1
+
+
+def test_uncommitted_files_are_not_read(spark):
     t = _table(spark)
     t.commit_batch(_rows(spark, 3), "w", 0)
-    assert previous_snapshot(t.commits()).count() == 0
+    t.write_parts(t.with_day(_rows(spark, 2, 40)).withColumn("part_key", F.lit("crashed-1")))
+    assert t.read().count() == 3
+    assert {r.part_key for r in t.orphans().collect()} == {"crashed-1"}
 
 
-def test_compaction_keeps_rows_and_reduces_files(spark):
+def test_previous_snapshot_needs_two(spark):
+    t = _table(spark)
+    t.commit_batch(_rows(spark, 3), "w", 0)
+    with pytest.raises(ValueError, match="no earlier snapshot"):
+        previous_snapshot(t.commits())
+    t.commit_batch(_rows(spark, 3, 9), "w", 1)
+    assert previous_snapshot(t.commits()).count() == 1
+
+
+def test_backfill_skips_committed_batches(spark):
+    t = _table(spark)
+    rows = _rows(spark, 12).withColumn("b", F.floor(F.hour("ts") / 12).cast("long"))
+    t.append_batches(rows.filter("b = 0"), "b", writer="fill")
+    t.append_batches(rows, "b", writer="fill")
+    t.append_batches(rows, "b", writer="fill")
+    assert t.read().count() == 12 and t.commits().count() == 2
+
+
+def test_rewrite_keeps_rows_with_fewer_files(spark):
     t = _table(spark)
     for b in range(4):
         t.commit_batch(_rows(spark, 6, b * 6).repartition(3), "w", b)
-    before = maintenance.file_stats(t).count()
-    n = t.read().count()
-    maintenance.compact(t)
-    assert t.read().count() == n
-    assert maintenance.file_stats(t).count() < before
-    expired = maintenance.expire_snapshots(t, older_than_ms=2**62, dry_run=True)
-    assert expired.filter(F.col("part_key").startswith("w-")).count() > 0
+    new = t.rewritten(_root(spark))
+    drop = ("part_key",)
+    assert sorted(map(tuple, new.read().drop(*drop).collect())) == sorted(map(tuple, t.read().drop(*drop).collect()))
+    assert new.file_stats().count() < t.file_stats().count()
+    t.commit_batch(_rows(spark, 2, 50), "w", 9)              # the source goes on as before
+    assert t.read().count() == 26 and new.read().count() == 24
 
 
-def test_orphans_found(spark):
+def test_time_range_prunes_in_the_scan(spark):
     t = _table(spark)
-    t.commit_batch(_rows(spark, 3), "w", 0)
-    t._write_parts(t._with_day(_rows(spark, 2, 40)).withColumn("part_key", F.lit("crashed-1")))
-    orphans = maintenance.remove_orphan_files(t, older_than_ms=2**62)
-    assert {r.part_key for r in orphans.collect()} == {"crashed-1"}
+    t.commit_batch(_rows(spark, 20), "w", 0)
+    df = ts_between(t.read(), "2024-01-02 00:00:00", "2024-01-03 00:00:00", "ts", t.day_col)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert any("ts_day" in line for line in filters)
+    assert df.count() == 5
 
 
 def test_list_tables(spark):
-    from quillstream.plans.tables import list_tables
     t = _table(spark)
     Table(spark, "telemetry_upsert", TELEMETRY_TABLE, "ts", root=t.root).create_if_absent()
     assert [r.tableName for r in list_tables(spark, t.root).collect()] == ["telemetry", "telemetry_upsert"]
