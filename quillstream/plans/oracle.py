@@ -197,6 +197,8 @@ SQL["upsert_current"] = _UPSERT + """
 SELECT device_id, site_id, ts_ms, temperature_c, humidity_pct, pressure_hpa, vibration_g, firmware_version, "offset"
 FROM cur"""
 
+SQL["upsert_materialised"] = SQL["upsert_current"]
+
 SQL["upsert_summary"] = _UPSERT + """
 SELECT count(*) AS current_rows, count(*) FILTER (WHERE "offset" > (SELECT max("offset") FROM tv)) AS corrected_rows,
        count(*) FILTER (WHERE firmware_version IS NULL) AS null_firmware_rows

@@ -40,6 +40,9 @@ TELEMETRY_TABLE = T.StructType([
     T.StructField("firmware_version", T.StringType(), True),
 ])
 
+# Change log of the upsert job: table rows with their place in the log.
+UPSERT_TABLE = T.StructType([*TELEMETRY_TABLE.fields, T.StructField("_partition", T.IntegerType()), T.StructField("_offset", T.LongType())])
+
 # telemetry_1m_agg table row.
 AGG_TABLE = T.StructType([
     T.StructField("device_id", T.StringType(), False),

@@ -16,23 +16,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import envelope
 from ..functions.quality import to_table_row
 from ..operators import route
 from ..operators.upsert import latest_by_key
+from ..plans.merged import merge_batch
 from ..plans.tables import Table
-from ..schema import AGG_TABLE, TELEMETRY_TABLE
+from ..schema import AGG_TABLE, TELEMETRY_TABLE, UPSERT_TABLE
 from ..sources.log import decode_and_classify
 from .late_windows import OUTPUT, LateAwareWindows
 
 WATERMARK_DELAY = "5 seconds"
 TRIGGER = "30 seconds"
 
-UPSERT_TABLE = T.StructType(list(TELEMETRY_TABLE.fields) + [
-    T.StructField("_partition", T.IntegerType()), T.StructField("_offset", T.LongType())])
-
 
 def write_dead_letters(dlq: DataFrame, dlq_path: str, writer: str, batch_id: int) -> None:
     """Idempotent dead-letter write for one micro-batch of one job (SNK3)."""
@@ -56,12 +53,16 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str):
     return w.trigger(**trigger).start()
 
 
-def _start_router(log: DataFrame, table: Table, dlq_path: str, checkpoint: str, trigger: dict | None, name: str, keep: list):
+def _start_router(log: DataFrame, table: Table, dlq_path: str, checkpoint: str, trigger: dict | None, name: str, keep: list,
+                  merged: Table | None = None):
     """Log -> decode -> gate -> table + dead letters, each written from the batch once cached."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            table.commit_batch(to_table_row(route.valid_rows(batch), keep=keep), writer=name, batch_id=batch_id)
+            rows = to_table_row(route.valid_rows(batch), keep=keep)
+            table.commit_batch(rows, writer=name, batch_id=batch_id)
+            if merged is not None:
+                merge_batch(merged, rows, batch_id)
             write_dead_letters(route.dead_letters(batch, payload_col="value"), dlq_path, name, batch_id)
         finally:
             batch.unpersist()
@@ -76,11 +77,12 @@ def start_append_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: st
 
 
 def start_upsert_job(log: DataFrame, table: Table, dlq_path: str, checkpoint: str,
-                     trigger: dict | None = None, name: str = "telemetry_upsert"):
+                     trigger: dict | None = None, name: str = "telemetry_upsert", merged: Table | None = None):
     """Same front half; the table is a change log with hidden log coordinates,
-    merged latest-wins on read (3.3, SNK2) or by ``merge_touched_days``."""
+    merged latest-wins on read (3.3, SNK2); ``merged`` also keeps the current
+    state, renewed in the days that each batch touches."""
     keep = [F.col("partition").cast("int").alias("_partition"), F.col("offset").cast("long").alias("_offset")]
-    return _start_router(log, table, dlq_path, checkpoint, trigger, name, keep)
+    return _start_router(log, table, dlq_path, checkpoint, trigger, name, keep, merged)
 
 
 def read_upsert_table(table: Table, as_of: int | None = None) -> DataFrame:

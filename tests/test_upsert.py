@@ -21,3 +21,25 @@ def test_corrections_follow_the_whole_log(spark):
 
 def test_more_corrections_than_records(spark):
     assert make_corrections(_log(spark), 100).agg(F.count("*")).first()[0] == 8
+
+
+def test_merge_reads_and_writes_touched_days_only(spark):
+    import datetime as dt
+    import uuid
+
+    from quillstream.plans.merged import current, merge_batch
+    from quillstream.plans.tables import Table
+    from quillstream.schema import UPSERT_TABLE
+    from quillstream.session import warehouse_root
+
+    t = Table(spark, "u", UPSERT_TABLE, "ts", root=f"{warehouse_root(spark)}/test-merge-{uuid.uuid4().hex[:8]}")
+    day = lambda d, off, temp: ("d", "s", dt.datetime(2024, 1, d), temp, 50.0, 1000.0, 0.1, None, 0, off)
+    batches = [[day(1, 0, 1.0), day(2, 1, 2.0)], [day(2, 2, 20.0), day(3, 3, 3.0)], [day(2, 1, 99.0)]]
+    for n, rows in enumerate(batches):
+        assert merge_batch(t, spark.createDataFrame(rows, UPSERT_TABLE), n)
+    assert not merge_batch(t, spark.createDataFrame(batches[0], UPSERT_TABLE), 0)  # again: nothing changes
+    assert {r.ts.day: r.temperature_c for r in current(t).collect()} == {1: 1.0, 2: 20.0, 3: 3.0}
+    parts = {(r.day.day, r.part_key[-1]) for r in t.files().selectExpr("ts_day AS day", "part_key").distinct().collect()}
+    assert parts == {(1, "0"), (2, "0"), (2, "1"), (3, "1"), (2, "2")}
+    only = current(t).filter(F.col("ts_day").isin([dt.date(2024, 1, 3)]))
+    assert "ts_day" in [x for x in only._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x][0]
