@@ -7,14 +7,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstream.session import ship_package, warehouse_root
+
 #: Rows and bytes per Arrow batch at most, so that batches of whole texts stay small.
 BATCH_ROWS = 256
 BATCH_BYTES = 16 << 20
 
 
 def session(df: DataFrame) -> SparkSession:
-    """The session of a DataFrame, with Arrow batches bounded for whole texts."""
+    """The session of a DataFrame, with Arrow batches bounded for whole texts and
+    the package on its executors."""
     spark = df.sparkSession
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
@@ -22,8 +26,6 @@ def session(df: DataFrame) -> SparkSession:
 
 def shared(spark: SparkSession, name: str) -> str:
     """A new path for a table in the folder that all executors share."""
-    from quillstream.session import warehouse_root
-
     return f"{warehouse_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
