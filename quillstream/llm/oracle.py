@@ -79,3 +79,96 @@ SELECT page_id, payload_bytes, sha1(p.payload) AS payload_digest,
        CASE WHEN response <> page_id THEN response END AS refers_to
 FROM p LEFT JOIN g ON p.payload = g.payload
 """
+
+SQL["op9_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT rid, i, array_to_string(w[i:i + 34], ' ') AS k FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), twice AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY k) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT rid, i + o AS i FROM twice, (SELECT unnest(range(35)) AS o)
+), words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (
+  SELECT w.rid, string_agg(word, ' ' ORDER BY w.i) AS text, count(*) AS n FROM words w ANTI JOIN gone g ON w.rid = g.rid AND w.i = g.i GROUP BY w.rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (rid)
+"""
+
+SQL["op7_near_dup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT p.a, p.b FROM pairs p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.id, e.b FROM reach r JOIN edges e ON r.other = e.a
+), component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN component ON id = d.doc_id
+"""
+
+
+def _secrets_sql() -> str:
+    """Matches of each pattern with their places, base spans, and windows of candidates."""
+    from quillstream.llm import secrets as S
+
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    # RE2 has no look-around or back references: whole alphanumeric runs, and each character eight times
+    eight = "|".join(f"[{c}]{{8}}" if c != "-" else "-{8}" for c in S.CLASSES[0].alphabet)
+    allow = [quote(eight if a == r"(.)\1{7}" else a) for a in S.ALLOW]
+    patterns = {"assign": S.ASSIGN, "access": S.ACCESS, "hex": S.HEX, S.CLASSES[0].name: S.CLASSES[0].candidate, S.CLASSES[1].name: r"[0-9A-Za-z]{20,}"}
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {quote(kind)} AS kind, unnest(m) AS match, unnest(g[1:len(m)]) AS gap, generate_subscripts(m, 1) AS i "
+        f"FROM (SELECT doc_id, regexp_extract_all(t, {quote(p)}) AS m, string_split_regex(t, {quote(p)}) AS g FROM d) WHERE len(m) > 0"
+        for kind, p in patterns.items())
+    classes = ", ".join(f"({quote(c.name)}, {n + 3}, {c.window}, {c.bits})" for n, c in enumerate(S.CLASSES))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+placed AS (
+  SELECT doc_id, kind, match, sum(length(gap) + length(match)) OVER (PARTITION BY doc_id, kind ORDER BY i)::BIGINT AS stop FROM found
+), base AS (
+  SELECT doc_id, kind, list_position(['assign', 'access', 'hex'], kind) - 1 AS o, stop - length(match) AS start, stop FROM placed
+  WHERE kind IN ('access', 'hex') OR kind = 'assign' AND length(regexp_extract(match, {quote(S.ASSIGN)}, 2)) >= {S.ASSIGN_MIN}
+), candidates AS (
+  SELECT doc_id, kind, o, size, bits, match, stop - length(match) AS start
+  FROM placed JOIN (VALUES {classes}) AS c(name, o, size, bits) ON kind = name
+  WHERE NOT ({" OR ".join(f"regexp_matches(match, {a})" for a in allow)}) AND (kind <> 'upper_hex' OR regexp_full_match(match, '[0-9A-F]+'))
+), windows AS (
+  SELECT *, unnest(range(1, length(match) - size + 2)) AS i FROM candidates
+), counts AS (
+  SELECT doc_id, kind, o, start, i, size, bits, ch, count(*) AS n
+  FROM (SELECT doc_id, kind, o, start, i, size, bits, unnest(string_split(substr(match, i, size), '')) AS ch FROM windows) GROUP BY ALL
+), hits AS (
+  SELECT doc_id, kind, o, start, start + i - 1 AS low, start + i - 1 + size AS high FROM counts
+  GROUP BY doc_id, kind, o, start, i, size, bits HAVING -sum(n / size * log2(n / size)) >= bits - 1e-9
+), runs AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, kind, start ORDER BY low) AS run FROM (
+    SELECT *, CASE WHEN low <= lag(high) OVER (PARTITION BY doc_id, kind, start ORDER BY low) THEN 0 ELSE 1 END AS new FROM hits)
+), added AS (
+  SELECT doc_id, 'entropy_' || kind AS kind, o, min(low) AS start, max(high) AS stop FROM runs GROUP BY doc_id, kind, o, start, run
+), spans AS (
+  SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o, stop) AS spans
+  FROM (SELECT doc_id, kind, o, start, stop FROM base UNION ALL SELECT doc_id, kind, o, start, stop FROM added) GROUP BY doc_id
+), base_spans AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o, stop) AS b
+  FROM base GROUP BY doc_id
+), n_added AS (SELECT doc_id, count(*) AS n_entropy FROM added GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_entropy, 0) AS n_entropy
+FROM d LEFT JOIN base_spans USING (doc_id) LEFT JOIN spans USING (doc_id) LEFT JOIN n_added USING (doc_id)
+"""
+
+
+SQL["op1_secrets"] = _secrets_sql()

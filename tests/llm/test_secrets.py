@@ -61,3 +61,21 @@ def test_allow_list_leaves_base(spark):
 
 def test_empty(no_docs):
     assert S.secret_report(no_docs).count() == 0
+
+
+def test_sql_finds_the_same_spans(spark):
+    """The DuckDB form of the scan on texts dense with candidates."""
+    import duckdb
+    import pandas as pd
+
+    from quillstream.llm.oracle import SQL
+
+    rng = random.Random(6)
+    pieces = [lambda: rng.choice(["token=", " ", "é", "😀\n", "example", "aaaaaaaaa"]), lambda: "".join(rng.choices("ABCDEFGHabcdefgh0123456789+/", k=rng.randint(18, 60))),
+              lambda: "".join(rng.choices("0123456789ABCDEF", k=rng.randint(18, 40)))]
+    rows = [(i, "".join(rng.choice(pieces)() for _ in range(rng.randint(0, 12)))) for i in range(200)]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy"]
+    got = sorted(con.execute(f"SELECT {', '.join(names)} FROM ({SQL['op1_secrets']})").fetchall())
+    assert got == sorted((i, *brute(t)) for i, t in rows) and sum(r[-1] for r in got) > 50
