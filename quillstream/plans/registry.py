@@ -45,8 +45,8 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid readings with the W6 late flag; the watermark is computed from
     every decoded reading (it is attached before the gate)."""
-    cls = classified(spark, sf_dir).withColumn("batch_id", F.expr(batch_of()))
-    return classify_late(route.valid_rows(cls), "batch_id", "ts_ms", watermark_source=cls)
+    every = telemetry_view(spark, sf_dir).withColumn("batch_id", F.expr(batch_of()))
+    return classify_late(every.filter(plausible(ts_col="ts_ms")), "batch_id", "ts_ms", watermark_source=every)
 
 
 #: Decimals of averages in query results: the last bits of a sum depend on the
@@ -119,11 +119,8 @@ def q_window_1m_on_time(spark, sf_dir):
 
 
 def _all_dead_letters(spark, sf_dir) -> DataFrame:
-    cls = classified(spark, sf_dir)
-    rejects = route.dead_letters(cls)
-    cls_b = cls.withColumn("batch_id", F.expr(batch_of()))
-    late = classify_late(route.valid_rows(cls_b), "batch_id", "ts_ms", watermark_source=cls_b).filter("is_late")
-    return route.merge_dead_letters(rejects, route.late_dead_letters(late))
+    rejects = route.dead_letters(classified(spark, sf_dir))
+    return route.merge_dead_letters(rejects, route.late_dead_letters(late_flagged(spark, sf_dir).filter("is_late")))
 
 
 @register("dead_letters")
