@@ -1,9 +1,9 @@
 """Operator 4: BPE encoding and decoding by batched numpy merge rounds.
 
 White space always ends a symbol run of the tokenizer, so a text is the
-concatenation of its white-space-free chunks, and each distinct chunk is
-encoded once per worker. The words of all new chunks of a batch lie in one flat
-symbol array. A round finds, by binary search over the sorted pair keys, the
+concatenation of its white-space-free chunks, and each distinct chunk, and each
+distinct word in chunks, is encoded once per worker. All new words of a batch
+lie in one flat symbol array. A round finds, by binary search over the sorted pair keys, the
 rank of every adjacent pair, merges the lowest-ranked pair of each word at all
 its places at once, and drops words that have no pair left.
 
@@ -34,7 +34,10 @@ CACHE_CHUNKS = 1_000_000
 #: Control characters that Python calls white space and the tokenizer does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WHITE = regex.compile(r"[^\t-\r \x85\xa0  -     　]+")
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+#: Texts of these characters need no library call: they are in normal form, and
+#: their letters are ASCII and the accented Latin-1 ones.
+_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+_LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
 
 
 def _byte_symbols() -> list[str]:
@@ -56,6 +59,7 @@ class Encoder:
         self.normalizer, self.pre = library.normalizer, library.pre_tokenizer
         model = spec["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
+        self.suffix = suffix
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_re = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         symbols = _byte_symbols()
@@ -76,6 +80,7 @@ class Encoder:
         for text, i in [*vocab.items(), *self.special.items()]:
             self.token[i] = text.encode()
         self.cache: dict[str, bytes] = {}
+        self.word_ids: dict[str, bytes] = {}
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each word, given as its UTF-8 bytes."""
@@ -121,29 +126,36 @@ class Encoder:
         bound = 4 * np.searchsorted(word[order], np.arange(len(words) + 1))
         return [ids[a:b] for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
 
-    def _words(self, piece: str) -> list[bytes]:
-        if piece.isascii():
-            return [w.encode() for w in _ASCII_WORDS.findall(piece.lower())]
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words as the pre-tokenizer cuts them."""
+        return self.merge([w.encode() for w in words])
+
+    def _words(self, piece: str) -> list[str]:
+        if _LATIN.fullmatch(piece):
+            return _LATIN_WORDS.findall(piece.lower())
         found = self.pre.pre_tokenize_str(self.normalizer.normalize_str(piece))
-        return [bytes(map(self.char_byte.__getitem__, w)) for w, _ in found]
+        return [bytes(map(self.char_byte.__getitem__, w)).decode() for w, _ in found]
+
+    def _steps(self, chunk: str) -> list[str]:
+        """Words and special tokens of a chunk, in order."""
+        if not self.special_re or "<|" not in chunk:
+            return self._words(chunk)
+        steps: list[str] = []
+        for piece in self.special_re.split(chunk):
+            steps.extend([piece] if piece in self.special else self._words(piece))
+        return steps
 
     def learn(self, chunks: Iterable[str]) -> None:
-        """Encode the chunks that the cache does not hold."""
+        """Encode the chunks that the cache does not hold, each new word once."""
         new = [c for c in chunks if c not in self.cache]
-        words: dict[bytes, int] = {}
-        plan: list[list[int | bytes]] = []
-        for chunk in new:
-            pieces = self.special_re.split(chunk) if self.special_re and "<|" in chunk else (chunk,)
-            steps: list[int | bytes] = []
-            for piece in pieces:
-                if piece in self.special:
-                    steps.append(self.special[piece].to_bytes(4, "little"))
-                elif piece:
-                    steps.extend(words.setdefault(w, len(words)) for w in self._words(piece))
-            plan.append(steps)
-        ids = self.merge(list(words))
+        plan = [self._steps(c) for c in new]
+        words = [w for w in set().union(*plan) if w not in self.word_ids]
+        self.word_ids.update(zip(words, self.encode_words(words)))
+        # a special token can only be a step of its own: words hold no letters next to symbols
+        self.word_ids.update((t, i.to_bytes(4, "little")) for t, i in self.special.items())
+        get = self.word_ids.__getitem__
         for chunk, steps in zip(new, plan):
-            self.cache[chunk] = b"".join(s if isinstance(s, bytes) else ids[s] for s in steps)
+            self.cache[chunk] = get(steps[0]) if len(steps) == 1 else b"".join(map(get, steps))
 
     def chunks(self, text: str) -> list[str]:
         return _WHITE.findall(text) if _SEPARATORS.search(text) else text.split()
@@ -152,6 +164,7 @@ class Encoder:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.cache) > CACHE_CHUNKS:
             self.cache.clear()
+            self.word_ids.clear()
         split = [self.chunks(t) if t else [] for t in texts]
         self.learn(set().union(*split))
         get = self.cache.__getitem__

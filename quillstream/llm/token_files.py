@@ -35,13 +35,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstream.llm.bpe import pieces, tokenizer_file
+from quillstream.llm.bpe import Encoder, pieces, tokenizer_file
 from quillstream.llm.byte_files import read_files, write_pieces
 from quillstream.llm.common import session, shared, written
 
 END_ID = 1
 FRAME_IDS = 1 << 17
-CACHE_CHUNKS = 600_000
+WORDS_A_CALL = 256
 SKIP, INDEX, TABLE = 0x184D2A50, 0x184D2A51, 0x184D2A5E
 TABLE_MAGIC = 0x8F92EAB1
 #: Every piece of a file ends in the last byte of the seek table's magic number.
@@ -50,31 +50,31 @@ PAD = struct.pack("<II", SKIP, 1) + LAST
 NO_ID = -(1 << 63)
 
 
-class LibraryEncoder:
-    """The tokenizers library over the distinct white-space-free chunks of texts:
-    this tokenizer drops white space, so a text's ids are those of its chunks."""
+class LibraryEncoder(Encoder):
+    """The tokenizers library over the distinct words of texts, each encoded once."""
 
     def __init__(self, file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
 
-        from quillstream.llm.bpe import Encoder
-
+        super().__init__(file)
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunks = Encoder.chunks
-        self.cache: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        split = [self.chunks(self, t) if t else [] for t in texts]
-        new = [c for c in set().union(*split) if c not in self.cache]
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cache[chunk] = np.array(found.ids, "<u4").tobytes()
-        get = self.cache.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        self.ends_word = np.array([t.endswith(self.suffix.encode()) for t in self.token])
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        # many words a call, as the library cuts them at the spaces again
+        lines = [words[i:i + WORDS_A_CALL] for i in range(0, len(words), WORDS_A_CALL)]
+        out: list[bytes] = []
+        for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            bound = [0, *(4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()]
+            if len(bound) != len(line) + 1:
+                raise ValueError("the tokenizer did not end each word with a word-end token")
+            raw = ids.tobytes()
+            out += [raw[i:j] for i, j in zip(bound, bound[1:])]
+        return out
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
