@@ -41,8 +41,9 @@ BUCKET_BITS = 18
 ROUNDS = 2
 #: Share of the pool that a view may label in a round, and how sure it has to be.
 SHARE, SURE = 0.05, (0.005, 0.98)
-#: Words in fewer training documents than this get no weight.
-MIN_DOCS = 3
+#: Words in fewer training documents, or whose shares on the two sides differ by
+#: fewer standard errors, get no weight.
+MIN_DOCS, MIN_SURPRISE = 3, 2.0
 PENALTY = 2e-3
 STEMS = (5, 7)
 SOURCE_BUCKETS, LANG_BUCKETS = 32, 16
@@ -147,8 +148,12 @@ def _fit_words(rows: Rows, use: np.ndarray, y: np.ndarray, sample: np.ndarray) -
     row, bucket, value = place[rows.row[keep]], rows.bucket[keep], _value(rows.times[keep])
     # documents with the word on either side, smoothed: log of the ratio of their shares
     with_, against = (np.bincount(bucket, side[row], 1 << BUCKET_BITS) for side in (y * sample, (1 - y) * sample))
-    known = np.flatnonzero(with_ + against >= MIN_DOCS)
-    ratio = np.log((with_[known] + 1) / (sample @ y + 2)) - np.log((against[known] + 1) / (sample @ (1 - y) + 2))
+    positive, negative = sample @ y, sample @ (1 - y)
+    share = (with_ + against) / (positive + negative)
+    spread = np.sqrt(share * (1 - share) * (1 / max(positive, 1) + 1 / max(negative, 1))) + 1e-12
+    surprise = np.abs(with_ / max(positive, 1) - against / max(negative, 1)) / spread
+    known = np.flatnonzero((with_ + against >= MIN_DOCS) & (surprise >= MIN_SURPRISE))
+    ratio = np.log((with_[known] + 1) / (positive + 2)) - np.log((against[known] + 1) / (negative + 2))
     column = np.full(1 << BUCKET_BITS, -1)
     column[known] = np.arange(len(known))
     column = column[bucket]
