@@ -6,12 +6,13 @@ leading one and ten mantissa bits are kept (two bytes). Bands of three
 registers propose pairs, the collision-corrected Jaccard estimate from the
 registers drops hopeless ones, and full sets of whole texts confirm the rest.
 
-Work per group stays linear. Equal sets are one node. In a band's bucket every
+Rows per group stay linear. Equal sets are one node. In a band's bucket every
 member is compared with the smallest one only; where that leaves several
 components in a bucket, the members outside its largest component are compared
-with the others in blocks of registers, and only promising pairs leave a task.
-Large buckets of unlinked documents (a shared passage) are first split by a
-second band: pairs at the threshold agree in many bands. A pair of similarity
+with the others inside tasks, in blocks of bounded size: by registers first,
+then on full sets. Only links that join components leave a task. Large buckets
+of unlinked documents (a shared passage) are first split by a second band: pairs
+at the threshold agree in many bands. A pair of similarity
 0.75 shares no band with probability below 1e-7.
 
 Defined cases: null or empty texts have an empty set, no links and stay; rows
@@ -41,8 +42,12 @@ MANTISSA = 10
 EMPTY = 0xFFFF
 #: Link where PERCENT_OF * intersection >= PERCENT * union.
 PERCENT, PERCENT_OF = 75, 100
-#: Members of a bucket above which a second band splits it, and block sides of comparisons.
-LARGE_BUCKET, BLOCK_A, BLOCK_B = 256, 256, 1024
+#: Unlinked members of a bucket above which a second band splits it; members and
+#: shingles on a side of a block, which one task holds.
+LARGE_BUCKET, BLOCK_SHINGLES = 4096, 4 << 20
+#: Following bands (round about) that split a large bucket: two nodes whose matching
+#: bands are never so near each other are missed there only, below 1e-5 at the threshold.
+SECOND_BANDS = 8
 #: Standard errors below the threshold at which an estimate rules a pair out.
 SLACK = 5.5
 
@@ -179,79 +184,128 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
 
 
-def _blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Promising pairs of different components, from rows ordered by block."""
-    def pairs(parts: list[pa.Table]) -> pa.RecordBatch | None:
-        block = pa.concat_tables(parts).combine_chunks()
-        outside = block.column("outside").to_numpy()
-        node, comp, size = (block.column(c).to_numpy() for c in ("node", "comp", "n_shingles"))
-        regs = _matrix(block.column("regs"))
-        a, b = np.flatnonzero(outside), np.flatnonzero(~outside)
-        x, y = regs[a], regs[b]
-        equal = np.zeros((len(a), len(b)), np.uint8)
-        used = np.zeros((len(a), len(b)), np.uint8)
+def _promising_pairs(x: np.ndarray, y: np.ndarray, na: np.ndarray, nb: np.ndarray, ca: np.ndarray, cb: np.ndarray):
+    """(row of x, row of y, estimate) of the promising pairs of different components."""
+    equal, used = np.zeros((len(x), len(y)), np.uint8), np.zeros((len(x), len(y)), np.uint8)
+    if x.shape[0] * y.shape[0] <= 1 << 14:
+        full = (x != EMPTY)[:, None, :] | (y != EMPTY)[None, :, :]
+        used[:] = full.sum(2)
+        equal[:] = ((x[:, None, :] == y[None, :, :]) & full).sum(2)
+    else:
         for r in range(REGISTERS):
             p, q = x[:, r, None], y[None, :, r]
             equal += (p == q) & (p != EMPTY)
             used += (p != EMPTY) | (q != EMPTY)
-        ok = promising(equal.astype(np.int64), used.astype(np.int64), size[a][:, None], size[b][None, :]) & (comp[a][:, None] != comp[b][None, :])
-        i, j = np.nonzero(ok)
-        if not len(i):
-            return None
-        left, right = node[a[i]], node[b[j]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right)),
-                                           pa.array(equal[i, j] / np.maximum(used[i, j], 1))], ["a", "b", "estimate"])
-
-    held: list[pa.Table] = []
+    ok = promising(equal.astype(np.int64), used.astype(np.int64), na[:, None], nb[None, :]) & (ca[:, None] != cb[None, :])
+    i, j = np.nonzero(ok)
+    return i, j, equal[i, j] / np.maximum(used[i, j], 1)
+
+
+#: Roles of a row in a block: compared with all (A), met by those of role A (B), or both.
+ROLE_A, ROLE_B, ROLE_BOTH = 1, 2, 3
+
+
+def _links_of_block(block: pa.Table) -> Iterator[tuple[int, int]]:
+    """Links that join components of one block: pairs of different components
+    that the registers allow, tested on their full sets, one per component pair."""
+    role, node, comp, size = (block.column(c).to_numpy() for c in ("role", "node", "comp", "n_shingles"))
+    regs = _matrix(block.column("regs").combine_chunks())
+    a, b = np.flatnonzero(role & ROLE_A), np.flatnonzero(role & ROLE_B)
+    sets, first = [], [np.zeros(1, np.int64)]
+    for low, high, flat in W.texts(block.column("text"), fold=True):
+        row, key = shingles(flat)
+        sets.append(key)
+        first.append(np.searchsorted(row, np.arange(1, high - low + 1)) + first[-1][-1])
+    first = np.concatenate(first)
+    distinct, number = np.unique(np.concatenate(sets), return_inverse=True)
+    here = np.zeros(len(distinct), bool)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for low in range(0, len(a), 256):
+        own = a[low:low + 256]
+        i, j, _ = _promising_pairs(regs[own], regs[b], size[own], size[b], comp[own], comp[b])
+        for at in np.unique(i):
+            x, others = own[at], b[j[i == at]]
+            here[number[first[x]:first[x + 1]]] = True
+            length = first[others + 1] - first[others]
+            places = np.repeat(first[others] - np.cumsum(length) + length, length) + np.arange(length.sum())
+            shared = np.add.reduceat(here[number[places]].astype(np.int64), np.cumsum(length) - length)
+            here[number[first[x]:first[x + 1]]] = False
+            for y in others[PERCENT_OF * shared >= PERCENT * (first[x + 1] - first[x] + length - shared)].tolist():
+                p, q = find(int(comp[x])), find(int(comp[y]))
+                if p != q:
+                    root[p] = q
+                    yield int(node[x]), int(node[y])
+
+
+def _blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of each block, from rows ordered by block."""
+    def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        found = list(_links_of_block(pa.Table.from_batches(parts).combine_chunks()))
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    held: list[pa.RecordBatch] = []
     now = None
     for batch in rows:
-        key = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j")], 1)
+        key = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("top", "i", "j")], 1)
         cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)] if len(key) else [0]
         for low, high in zip(cuts[:-1], cuts[1:]):
-            if now != (this := tuple(key[low])) and held:
-                if out := pairs(held):
-                    yield out
+            this = tuple(key[low])
+            if this != now and held:
+                yield links(held)
                 held = []
             now = this
-            held.append(pa.Table.from_batches([batch.slice(low, high - low)]))
-    if held and (out := pairs(held)):
-        yield out
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield links(held)
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Members (key, node, comp) of keys with three or more members of several components,
-    with ``n``, ``outside`` (not in the key's largest component) and ``n_outside``."""
+    """Members (key, node, comp, ...) of keys with three or more members of several
+    components, with the key's largest component ``top`` and ``n_outside`` it."""
     sizes = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     keys = (sizes.groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("top"))
-            .filter("comps > 1 and n > 2")
-            .select("key", "n", F.col("top.comp").alias("top"), (F.col("n") - F.col("top.n")).alias("n_outside")))
-    return members.join(keys, "key").withColumn("outside", F.col("comp") != F.col("top")).drop("top")
+            .filter("comps > 1 and n > 2").select("key", F.col("top.comp").alias("top"), (F.col("n") - F.col("top.n")).alias("n_outside")))
+    return members.join(keys, "key")
+
 
+def _remaining(bands: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Links (a, b) between components that share a bucket, beyond those of first members.
 
-def _remaining(bands: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Promising pairs between components that share a bucket and were not compared yet."""
+    Buckets with one largest component are taken together, as near copies of a
+    text share many: its members there are met by all nodes outside it."""
     comp = found.select("node", F.col("component").alias("comp"))
     members = bands.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = written(_mixed(members.select("key", "node", "comp")), "mixed")
-    small = mixed.filter(F.col("n") <= LARGE_BUCKET)
-    large = mixed.filter(F.col("n") > LARGE_BUCKET).select(F.col("key").alias("first"), "node", "comp")
-    other = bands.select("node", F.col("key").alias("second"))
-    split = (large.join(other, "node").filter("first != second")
-             .select(F.xxhash64("first", "second").alias("key"), "node", "comp"))
-    both = small.unionByName(_mixed(split)).distinct()
-    # every member outside the largest component meets all members of the bucket
-    a_blocks = F.ceil(F.col("n_outside") / BLOCK_A).cast("int")
-    b_blocks = F.ceil(F.col("n") / BLOCK_B).cast("int")
-    order = F.xxhash64("node")
-    upto = lambda n: F.sequence(F.lit(0), n - 1)
-    a_side = (both.filter("outside").withColumn("i", F.pmod(order, a_blocks).cast("int"))
-              .withColumn("j", F.explode(upto(b_blocks))).withColumn("outside", F.lit(True)))
-    b_side = (both.withColumn("j", F.pmod(order, b_blocks).cast("int"))
-              .withColumn("i", F.explode(upto(a_blocks))).withColumn("outside", F.lit(False)))
-    names = ["key", "i", "j", "outside", "comp", "node"]
-    rows = a_side.select(*names).unionByName(b_side.select(*names)).join(nodes.select("node", "regs", "n_shingles"), "node")
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_blocks, "a bigint, b bigint, estimate double").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    mixed = written(_mixed(members.select("key", "band", "node", "comp")), "mixed")
+    large = mixed.filter(F.col("n_outside") > LARGE_BUCKET).select(F.col("key").alias("first"), "band", "node", "comp")
+    other = bands.select(F.col("node").alias("other"), F.col("key").alias("second"), F.col("band").alias("other_band"))
+    near = F.pmod(F.col("other_band") - F.col("band") - 1, F.lit(BANDS)) < SECOND_BANDS
+    split = large.join(other, (F.col("node") == F.col("other")) & near).select(F.xxhash64("first", "second").alias("key"), "node", "comp")
+    whole = mixed.filter(F.col("n_outside") <= LARGE_BUCKET).select("top", "node", "comp")
+    groups = (whole.union(_mixed(split).select("top", "node", "comp")).distinct()
+              .join(nodes.select("node", "n_shingles", "regs"), "node").withColumn("outside", F.col("comp") != F.col("top")))
+    groups = written(groups, "groups")
+    # sides of blocks are bounded in members and in shingles
+    out = F.col("outside")
+    parts = lambda which: F.ceil(F.greatest(F.sum(which.cast("long")) / LARGE_BUCKET, F.sum(F.when(which, F.col("n_shingles")).otherwise(0)) / BLOCK_SHINGLES,
+                                            F.lit(1.0))).cast("int")
+    counts = groups.groupBy("top").agg(parts(out).alias("a_parts"), parts(F.lit(True)).alias("b_parts"))
+    sized = groups.join(counts, "top")
+    order, upto = F.xxhash64("node"), lambda n: F.sequence(F.lit(0), n - 1)
+    names = ["top", "i", "j", "role", "comp", "node", "n_shingles", "regs"]
+    zero = F.lit(0)
+    one = sized.filter("a_parts = 1 and b_parts = 1").withColumns({"i": zero, "j": zero, "role": F.when(out, ROLE_BOTH).otherwise(ROLE_B)})
+    many = sized.filter("a_parts > 1 or b_parts > 1")
+    a_side = many.filter(out).withColumns({"i": F.pmod(order, "a_parts").cast("int"), "j": F.explode(upto(F.col("b_parts"))), "role": F.lit(ROLE_A)})
+    b_side = many.withColumns({"j": F.pmod(order, "b_parts").cast("int"), "i": F.explode(upto(F.col("a_parts"))), "role": F.lit(ROLE_B)})
+    rows = one.select(*names).union(a_side.select(*names)).union(b_side.select(*names))
+    dealt = rows.join(texts, "node").repartition("top", "i", "j").sortWithinPartitions("top", "i", "j")
+    return dealt.mapInArrow(_blocks, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -265,9 +319,9 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     nodes = (known.join(sets.withColumnRenamed("node", "doc_id"), ["k1", "k2", "doc_id"])
              .select(F.col("doc_id").alias("node"), "n_shingles", "regs").dropDuplicates())
     nodes = written(nodes, "nodes")
-    bands = band_keys(nodes).select("node", "key")
+    bands = band_keys(nodes)
     leaders = bands.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    pairs = written(bands.withColumnRenamed("node", "b").join(leaders, "key").filter("a != b").select("a", "b").distinct(), "pairs")
+    pairs = written(bands.select("key", F.col("node").alias("b")).join(leaders, "key").filter("a != b").select("a", "b").distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     texts = written(source.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts")
     promising_pairs = written(_with_signatures(pairs, nodes), "promising")
@@ -281,13 +335,7 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     rest = _apart(promising_pairs, found).join(best, ["a", "b"], "left_anti")
     links = written(links.union(_confirmed(rest, texts)), "links")
     found = components(links, "a", "b")
-    more = written(_remaining(bands, nodes, found).join(promising_pairs.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    # the best pair of each node first, as it mostly joins the components
-    best = more.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b")
-    links = written(links.union(_confirmed(best, texts)), "links")
-    found = components(links, "a", "b")
-    rest = _apart(more, found).join(best, ["a", "b"], "left_anti")
-    links = written(links.union(_confirmed(rest, texts)), "links")
+    links = written(links.union(_remaining(bands, nodes, texts, found)), "links")
     found = components(links, "a", "b")
 
     of_set = sets.join(found, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
