@@ -47,17 +47,19 @@ class WaveletMatrix:
             one = (now >> level & 1).astype(bool)
             self.bits.append(BitVector(one))
             now = np.concatenate([now[~one], now[one]])
-        # first place of each symbol in the bottom order
-        self.first = np.zeros(symbols, np.int64)
-        start = np.flatnonzero(np.append(True, now[1:] != now[:-1])) if len(now) else np.zeros(0, np.int64)
-        self.first[now[start]] = start
+        # where each symbol's run begins in the bottom order, also of symbols that do not occur
+        self.first = self._descend(np.arange(symbols), np.zeros(symbols, np.int64))
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol occurs before its place."""
+        return self._descend(symbol, at) - self.first[symbol]
+
+    def _descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Place in the bottom order of a place in the sequence, following a symbol's bits."""
         for level, bits in zip(range(self.levels - 1, -1, -1), self.bits):
             ones = bits.ones(at)
             at = np.where(symbol >> level & 1, bits.zeros + ones, at - ones)
-        return at - self.first[symbol]
+        return at
 
 
 def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
