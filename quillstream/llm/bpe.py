@@ -80,7 +80,9 @@ class Encoder:
         for text, i in [*vocab.items(), *self.special.items()]:
             self.token[i] = text.encode()
         self.cache: dict[str, bytes] = {}
-        self.word_ids: dict[str, bytes] = {}
+        # a special token can only be a step of its own: words hold no letters next to symbols
+        self.special_ids = {t: i.to_bytes(4, "little") for t, i in self.special.items()}
+        self.word_ids = dict(self.special_ids)
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each word, given as its UTF-8 bytes."""
@@ -151,8 +153,6 @@ class Encoder:
         plan = [self._steps(c) for c in new]
         words = [w for w in set().union(*plan) if w not in self.word_ids]
         self.word_ids.update(zip(words, self.encode_words(words)))
-        # a special token can only be a step of its own: words hold no letters next to symbols
-        self.word_ids.update((t, i.to_bytes(4, "little")) for t, i in self.special.items())
         get = self.word_ids.__getitem__
         for chunk, steps in zip(new, plan):
             self.cache[chunk] = get(steps[0]) if len(steps) == 1 else b"".join(map(get, steps))
@@ -164,7 +164,7 @@ class Encoder:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.cache) > CACHE_CHUNKS:
             self.cache.clear()
-            self.word_ids.clear()
+            self.word_ids = dict(self.special_ids)
         split = [self.chunks(t) if t else [] for t in texts]
         self.learn(set().union(*split))
         get = self.cache.__getitem__

@@ -8,6 +8,7 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
+from quillstream.llm import bpe
 from quillstream.llm import token_files as K
 from quillstream.llm.common import shared
 from tests.llm.conftest import rows_of
@@ -68,3 +69,15 @@ def test_read_some(spark, table_docs):
     got = {r.doc_id: np.frombuffer(r.ids, "<u4") for r in K.read_token_files(spark, path, {3, 50}).collect()}
     assert set(got) == {3, 50} and all(x[-1] == K.END_ID for x in got.values())
     assert glob.glob(path.removeprefix("file://") + "/part-*")
+
+
+def test_special_tokens_on_a_fresh_worker(monkeypatch):
+    """The first texts that a worker encodes, and those after its memory was emptied, hold special tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    fresh = K.LibraryEncoder(open(path, "rb").read())
+    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 0)
+    for text in ("a word<|endoftext|>x <|startoftext|> it's", "<|startoftext|>", "<|endoftext|><|endoftext|> a word"):
+        assert fresh.encode([text]) == [np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()], text
