@@ -6,7 +6,8 @@ on four lines only: lines put in or taken out elsewhere shift no chunk, chunks
 inside a document have at least two lines and three on average. Chunks with two
 or more non-blank lines that occur again anywhere are removed after their bytes
 are compared with those of the first occurrence (smallest id, then place), which
-stays.
+stays. With ``copies`` a whole text of two or more non-blank lines counts as a
+chunk too (number WHOLE), so a copy loses the lines that lie in smaller chunks.
 
 Shuffled are, first, chunk hashes only; then the texts of documents that hold a
 repeated chunk; then texts to their verdicts. A chunk that a third of all
@@ -31,6 +32,8 @@ from quillstream.llm.common import digest, session, written
 
 #: Non-blank lines that a chunk needs to be removed.
 MIN_LINES = 2
+#: Number of the chunk that is a whole text; a text of one chunk has no other.
+WHOLE = -1
 
 
 def cut_chunks(data: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,18 +74,22 @@ def _bare_end(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return end - ((end > start) & (data[np.maximum(end, 1) - 1] == 10) if len(data) else 0)
 
 
-@F.arrow_udf(returnType=T.ArrayType(CHUNK, False))
-def chunk_keys(text: pa.Array) -> pa.Array:
-    """Number and 128-bit hash of the removable chunks of each whole text."""
+def _keys(text: pa.Array, copies: bool) -> pa.Array:
     no, k1, k2, count = [], [], [], []
-    for _, _, data, _, (start, end, first, filled) in _pieces(text):
+    for _, _, data, bounds, (start, end, first, filled) in _pieces(text):
         bare = _bare_end(data, start, end)
-        ok = filled >= MIN_LINES
+        ok = np.flatnonzero(filled >= MIN_LINES)
         row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        no.append((np.arange(len(start)) - first[row])[ok])
-        k1.append(W.byte_hashes(data, start[ok], bare[ok]).view(np.int64))
-        k2.append(W.byte_hashes(data, start[ok], bare[ok], other=True).view(np.int64))
-        count.append(np.bincount(row[ok], minlength=len(first) - 1))
+        number, low, high, of = (np.arange(len(start)) - first[row])[ok], start[ok], bare[ok], row[ok]
+        if copies:
+            whole = np.flatnonzero((np.diff(first) > 1) & (np.add.reduceat(filled, first[:-1]) >= MIN_LINES))
+            order = np.argsort(np.concatenate([of, whole]), kind="stable")
+            number, low, high, of = (np.concatenate(x)[order] for x in (
+                (number, np.full(len(whole), WHOLE)), (low, bounds[whole]), (high, _bare_end(data, bounds[whole], bounds[whole + 1])), (of, whole)))
+        no.append(number)
+        k1.append(W.byte_hashes(data, low, high).view(np.int64))
+        k2.append(W.byte_hashes(data, low, high, other=True).view(np.int64))
+        count.append(np.bincount(of, minlength=len(first) - 1))
     join = lambda parts, kind: np.concatenate([*parts, np.zeros(0, kind)]).astype(kind)
     offsets = np.zeros(len(text) + 1, np.int32)
     np.cumsum(join(count, np.int64), out=offsets[1:])
@@ -90,15 +97,27 @@ def chunk_keys(text: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
+@F.arrow_udf(returnType=T.ArrayType(CHUNK, False))
+def chunk_keys(text: pa.Array) -> pa.Array:
+    """Number and 128-bit hash of the removable chunks of each whole text."""
+    return _keys(text, False)
+
+
+@F.arrow_udf(returnType=T.ArrayType(CHUNK, False))
+def chunk_and_text_keys(text: pa.Array) -> pa.Array:
+    """The same, and those of each whole text that has several chunks."""
+    return _keys(text, True)
+
+
 @F.arrow_udf(returnType=T.ArrayType(T.BinaryType(), False))
 def chunk_bytes(text: pa.Array, numbers: pa.Array) -> pa.Array:
     """Bytes of the chunks with the given numbers."""
     wanted, out = numbers.to_pylist(), []
-    for low, high, data, _, (start, end, first, _) in _pieces(text):
-        bare = _bare_end(data, start, end)
+    for low, high, data, bounds, (start, end, first, _) in _pieces(text):
+        bare, whole = _bare_end(data, start, end), _bare_end(data, bounds[:-1], bounds[1:])
         for row in range(high - low):
-            at = [int(first[row]) + n for n in wanted[low + row]]
-            out.append([data[start[i]:bare[i]].tobytes() for i in at])
+            at = int(first[row])
+            out.append([data[bounds[row]:whole[row]].tobytes() if n == WHOLE else data[start[at + n]:bare[at + n]].tobytes() for n in wanted[low + row]])
     return pa.array(out, pa.list_(pa.binary()))
 
 
@@ -122,7 +141,9 @@ def without_chunks(text: pa.Array, numbers: pa.Array) -> pa.Array:
                 gone.append(0)
                 continue
             lost = 0
-            if drop:
+            if WHOLE in drop:
+                raw, lost = b"", b - a
+            elif drop:
                 kept = []
                 for no, i in enumerate(range(int(first[row]), int(first[row + 1]))):
                     if no in drop:
@@ -140,12 +161,12 @@ def without_chunks(text: pa.Array, numbers: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], names=CLEANED.fieldNames())
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def removals(docs: DataFrame, copies: bool = False) -> DataFrame:
     """(uid, numbers): chunks to remove from each document that has some; a uid is
     a document's id and a hash of its text."""
     uid = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text"))
     source = docs.select(uid.alias("uid"), "text").filter("text is not null")
-    found = written(source.select("uid", F.explode(chunk_keys("text")).alias("c")).select("uid", "c.*"), "chunks")
+    found = written(source.select("uid", F.explode((chunk_and_text_keys if copies else chunk_keys)("text")).alias("c")).select("uid", "c.*"), "chunks")
     again = (found.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "no")).alias("first"))
              .filter("n > 1").drop("n"))
     hits = written(found.join(again, ["k1", "k2"]), "repeated")
@@ -161,11 +182,12 @@ def removals(docs: DataFrame) -> DataFrame:
     return same.groupBy("uid").agg(F.collect_set("no").alias("numbers"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, copies: bool = False) -> DataFrame:
     """``docs`` with text replaced and n_chars (where there is one) set to its new
-    length; column ``__lines`` holds the numbers of lines and of removed lines."""
+    length; column ``__lines`` holds the numbers of lines and of removed lines.
+    With ``copies`` a copy of a whole text loses all its lines."""
     session(docs)
-    gone = written(removals(docs), "removals")
+    gone = written(removals(docs, copies), "removals")
     uid = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text"))
     keyed = docs.withColumn("__uid", uid).join(gone.select(F.col("uid").alias("__uid"), F.col("numbers").alias("__numbers")), "__uid", "left")
     cleaned = keyed.withColumn("__lines", without_chunks("text", "__numbers")).drop("__uid", "__numbers")
@@ -174,17 +196,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return cleaned.select(*names, "__lines")
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, copies: bool = False) -> DataFrame:
     """doc_id, n_lines, n_removed_lines, kept_chars and kept_sha256 of every document."""
-    out = dedup_lines(docs.select("doc_id", "text"))
+    out = dedup_lines(docs.select("doc_id", "text"), copies)
     text = F.coalesce("text", F.lit(""))
     return out.select("doc_id", F.col("__lines.n_lines").alias("n_lines"), F.col("__lines.n_removed").alias("n_removed_lines"),
                       F.length(text).cast("long").alias("kept_chars"), digest(text).alias("kept_sha256"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents without repeated chunks; one that loses all its words goes,
+    """The documents without repeated chunks and texts; one that loses all its words goes,
     one that had none before stays."""
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, copies=True)
     had = F.col("__lines.n_removed") > 0
     return out.filter(~had | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -45,7 +45,7 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that repeated multi-line chunks take from every document."""
-    return line_chunks.line_report(table(spark, sf_dir, "documents"))
+    return line_chunks.line_report(table(spark, sf_dir, "documents"), copies=True)
 
 
 @_register

@@ -85,3 +85,16 @@ def test_deduplicated(spark, docs, no_docs):
     assert 2 not in out or out[2].text != SECRET_LINES or len(chunks(SECRET_LINES + "own text")) == 1
     assert L.deduplicated(docs).columns == docs.columns
     assert L.deduplicated(no_docs).count() == 0 and L.line_report(no_docs).count() == 0
+
+
+def test_copies_lose_every_line(spark):
+    """A copy of any text of two or more non-blank lines, also in paragraphs, goes whole."""
+    rng = random.Random(3)
+    own = [[f"t{i} l{n} {rng.randrange(10**6)}" for n in range(2 + i % 9)] for i in range(60)]
+    first = [(i, ("\n\n" if i % 2 else "\n").join(x)) for i, x in enumerate(own)]
+    rows = first + [(1000 + i, text) for i, text in first] + [(2000 + i, text + "\n") for i, text in first]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in L.line_report(docs, copies=True).collect():
+        assert r.n_removed_lines == (0 if r.doc_id < 1000 else r.n_lines) and (r.doc_id < 1000 or r.kept_chars == 0), r
+    assert rows_of(L.deduplicated(docs)) == sorted(first, key=repr)
+    assert rows_of(L.line_report(docs)) == brute(rows)
