@@ -265,12 +265,13 @@ def _blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(held)
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members (key, node, comp, ...) of keys with three or more members of several
-    components, with the key's largest component ``top`` and ``n_outside`` it."""
+def _mixed(members: DataFrame, compared: bool) -> DataFrame:
+    """Members (key, node, comp, ...) of keys with members of several components,
+    with the key's largest component ``top`` and ``n_outside`` it; if the first
+    member was ``compared`` with the others, of keys with three or more."""
     sizes = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     keys = (sizes.groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("top"))
-            .filter("comps > 1 and n > 2").select("key", F.col("top.comp").alias("top"), (F.col("n") - F.col("top.n")).alias("n_outside")))
+            .filter("comps > 1 and n > 2" if compared else "comps > 1").select("key", F.col("top.comp").alias("top"), (F.col("n") - F.col("top.n")).alias("n_outside")))
     return members.join(keys, "key")
 
 
@@ -281,13 +282,13 @@ def _remaining(bands: DataFrame, nodes: DataFrame, texts: DataFrame, found: Data
     text share many: its members there are met by all nodes outside it."""
     comp = found.select("node", F.col("component").alias("comp"))
     members = bands.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = written(_mixed(members.select("key", "band", "node", "comp")), "mixed")
+    mixed = written(_mixed(members.select("key", "band", "node", "comp"), True), "mixed")
     large = mixed.filter(F.col("n_outside") > LARGE_BUCKET).select(F.col("key").alias("first"), "band", "node", "comp")
     other = bands.select(F.col("node").alias("other"), F.col("key").alias("second"), F.col("band").alias("other_band"))
     near = F.pmod(F.col("other_band") - F.col("band") - 1, F.lit(BANDS)) < SECOND_BANDS
     split = large.join(other, (F.col("node") == F.col("other")) & near).select(F.xxhash64("first", "second").alias("key"), "node", "comp")
     whole = mixed.filter(F.col("n_outside") <= LARGE_BUCKET).select("top", "node", "comp")
-    groups = (whole.union(_mixed(split).select("top", "node", "comp")).distinct()
+    groups = (whole.union(_mixed(split, False).select("top", "node", "comp")).distinct()
               .join(nodes.select("node", "n_shingles", "regs"), "node").withColumn("outside", F.col("comp") != F.col("top")))
     groups = written(groups, "groups")
     # sides of blocks are bounded in members and in shingles

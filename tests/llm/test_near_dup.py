@@ -115,3 +115,9 @@ def test_first_of_each_group(docs, texts, no_docs):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((r[0] for r in brute(texts) if r[3]), key=repr)
     assert N.near_duplicates(no_docs).count() == 0
+
+
+def test_two_members_that_were_never_compared(spark):
+    members = spark.createDataFrame([(1, 10, 10), (1, 11, 11), (2, 12, 12), (2, 13, 12)], "key long, node long, comp long")
+    assert {r.node for r in N._mixed(members, False).collect()} == {10, 11}
+    assert N._mixed(members, True).count() == 0
