@@ -11,8 +11,9 @@ member is compared with the smallest one only; where that leaves several
 components in a bucket, the members outside its largest component are compared
 with the others inside tasks, in blocks of bounded size: by registers first,
 then on full sets. Only links that join components leave a task. Large buckets
-of unlinked documents (a shared passage) are first split by a second band: pairs
-at the threshold agree in many bands. A pair of similarity
+of unlinked documents (a shared passage) are first split by rare shingles: with
+shingles in one order, the rarest first, two linked sets share one of those that
+a set can miss and one more, whatever their length. A pair of similarity
 0.75 shares no band with probability below 1e-7.
 
 Defined cases: null or empty texts have an empty set, no links and stay; rows
@@ -42,12 +43,9 @@ MANTISSA = 10
 EMPTY = 0xFFFF
 #: Link where PERCENT_OF * intersection >= PERCENT * union.
 PERCENT, PERCENT_OF = 75, 100
-#: Unlinked members of a bucket above which a second band splits it; members and
+#: Unlinked members of a bucket above which rare shingles split it; members and
 #: shingles on a side of a block, which one task holds.
 LARGE_BUCKET, BLOCK_SHINGLES = 4096, 4 << 20
-#: Following bands (round about) that split a large bucket: two nodes whose matching
-#: bands are never so near each other are missed there only, below 1e-5 at the threshold.
-SECOND_BANDS = 8
 #: Standard errors below the threshold at which an estimate rules a pair out.
 SLACK = 5.5
 
@@ -151,6 +149,17 @@ def linked(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+@F.arrow_udf(returnType=T.ArrayType(T.LongType(), False))
+def shingle_keys(text: pa.Array) -> pa.Array:
+    """The distinct shingles of each whole text."""
+    keys, size = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+    for low, high, flat in W.texts(text, fold=True):
+        row, key = shingles(flat)
+        keys.append(key.view(np.int64))
+        size.append(np.bincount(row, minlength=high - low))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(size)).astype(np.int32)), pa.array(np.concatenate(keys)))
+
+
 def _each(column: pa.Array) -> list[pa.Array]:
     return [column.slice(i, 1) for i in range(len(column))]
 
@@ -275,6 +284,17 @@ def _mixed(members: DataFrame, compared: bool) -> DataFrame:
     return members.join(keys, "key")
 
 
+def _rare_shingles(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, node, comp): of each member's n shingles, the rarest among members first,
+    those up to the first that any link must share: n - ceil(n * PERCENT / PERCENT_OF) + 1."""
+    own = texts.join(members, "node").select("node", "comp", F.xxhash64("text").alias("set"), F.explode(shingle_keys("text")).alias("key"))
+    own = written(own, "shingles")
+    often = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    ordered = own.join(often, "key").groupBy("node", "comp", "set").agg(F.array_sort(F.collect_set(F.struct("n", "key"))).alias("s"))
+    needed = F.size("s") - F.expr(f"(size(s) * {PERCENT} + {PERCENT_OF - 1}) div {PERCENT_OF}").cast("int") + 1
+    return ordered.select("node", "comp", F.explode(F.slice("s", F.lit(1), needed)).alias("s")).filter("s.n > 1").select("s.key", "node", "comp").distinct()
+
+
 def _remaining(bands: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     """Links (a, b) between components that share a bucket, beyond those of first members.
 
@@ -283,10 +303,8 @@ def _remaining(bands: DataFrame, nodes: DataFrame, texts: DataFrame, found: Data
     comp = found.select("node", F.col("component").alias("comp"))
     members = bands.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = written(_mixed(members.select("key", "band", "node", "comp"), True), "mixed")
-    large = mixed.filter(F.col("n_outside") > LARGE_BUCKET).select(F.col("key").alias("first"), "band", "node", "comp")
-    other = bands.select(F.col("node").alias("other"), F.col("key").alias("second"), F.col("band").alias("other_band"))
-    near = F.pmod(F.col("other_band") - F.col("band") - 1, F.lit(BANDS)) < SECOND_BANDS
-    split = large.join(other, (F.col("node") == F.col("other")) & near).select(F.xxhash64("first", "second").alias("key"), "node", "comp")
+    large = mixed.filter(F.col("n_outside") > LARGE_BUCKET).select("node", "comp").distinct()
+    split = written(_rare_shingles(large, texts), "rare")
     whole = mixed.filter(F.col("n_outside") <= LARGE_BUCKET).select("top", "node", "comp")
     groups = (whole.union(_mixed(split, False).select("top", "node", "comp")).distinct()
               .join(nodes.select("node", "n_shingles", "regs"), "node").withColumn("outside", F.col("comp") != F.col("top")))

@@ -121,3 +121,14 @@ def test_two_members_that_were_never_compared(spark):
     members = spark.createDataFrame([(1, 10, 10), (1, 11, 11), (2, 12, 12), (2, 13, 12)], "key long, node long, comp long")
     assert {r.node for r in N._mixed(members, False).collect()} == {10, 11}
     assert N._mixed(members, True).count() == 0
+
+
+def test_large_buckets_of_short_texts(spark, monkeypatch):
+    """Texts of 7 to 10 words that share a frequent phrase, all of whose buckets are split."""
+    monkeypatch.setattr(N, "LARGE_BUCKET", 2)
+    rng = random.Random(9)
+    rows = []
+    for i in range(600):
+        phrase = [f"p{rng.randrange(3)}", "a", "b", "c", "d"]
+        rows.append((i, " ".join(phrase + [f"w{rng.randrange(9)}" for _ in range(rng.randint(2, 5))])))
+    assert rows_of(N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
