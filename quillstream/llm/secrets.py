@@ -48,9 +48,10 @@ CLASSES = (
     EntropyClass("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", r"[A-Za-z0-9+/_=-]{20,}", 20, 3.9),
     EntropyClass("upper_hex", "0123456789ABCDEF", r"(?<![0-9A-Za-z])[0-9A-F]{20,}(?![0-9A-Za-z])", 20, 3.0),
 )
-#: Candidates that match any of these are no secrets.
+#: Candidates that match any of these are no secrets. No pattern repeats a group without
+#: bound: Java matches such a group by recursion, which a long candidate overflows.
 ALLOW = (r"(?i)example|sample|dummy|placeholder|changeme|your[_-]", r"(?i)abcdefgh|01234567|12345678", r"(.)\1{7}",
-         r"^[A-Za-z]+([_/=+-]+[A-Za-z]+)*[=]*$")
+         r"^[A-Za-z]([A-Za-z_/=+-]*[A-Za-z])?=*$")
 
 
 def located(text: Column, pattern: str, matches: Column) -> Column:
@@ -87,11 +88,9 @@ def _plus(count: Column) -> Column:
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def _steps(match: Column, window: int) -> Column:
+def _steps(chars: Column, letters: Column, window: int) -> Column:
     """For each character: its place from one, its number among the candidate's
     distinct characters, and the number of the one that leaves the window (0: none)."""
-    chars = F.split(match, "")
-    letters = F.array_distinct(chars)
     number = F.transform(chars, lambda c: F.array_position(letters, c).cast("int"))
     gone = F.concat(F.array_repeat(F.lit(0), window), number)
     return F.transform(F.arrays_zip(number.alias("into"), F.slice(gone, F.lit(1), F.size(chars)).alias("out")),
@@ -119,8 +118,11 @@ def _slide(state: Column, z: Column, start: Column, cls: EntropyClass) -> Column
 
 def entropy_spans(candidates: Column, cls: EntropyClass) -> Column:
     """Merged (start, end) of the windows of all candidates that reach the threshold."""
-    prepared = F.transform(candidates, lambda c: F.struct(
-        c["start"].alias("start"), F.size(F.array_distinct(F.split(c["match"], ""))).alias("letters"), _steps(c["match"], cls.window).alias("steps")))
+    # one transform after the other: what a lambda only refers to is evaluated once a candidate, not once a character
+    cut = F.transform(candidates, lambda c: F.struct(c["start"].alias("start"), F.split(c["match"], "").alias("chars")))
+    known = F.transform(cut, lambda c: F.struct(c["start"].alias("start"), c["chars"].alias("chars"), F.array_distinct(c["chars"]).alias("letters")))
+    prepared = F.transform(known, lambda c: F.struct(
+        c["start"].alias("start"), F.size(c["letters"]).alias("letters"), _steps(c["chars"], c["letters"], cls.window).alias("steps")))
 
     def one(c: Column) -> Column:
         begin = F.struct(F.array_repeat(F.lit(0), c["letters"]).alias("counts"), F.lit(0.0).alias("sum"), F.array().cast(SPANS).alias("out"))

@@ -79,3 +79,13 @@ def test_sql_finds_the_same_spans(spark):
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy"]
     got = sorted(con.execute(f"SELECT {', '.join(names)} FROM ({SQL['op1_secrets']})").fetchall())
     assert got == sorted((i, *brute(t)) for i, t in rows) and sum(r[-1] for r in got) > 50
+
+
+def test_long_runs_do_not_overflow(spark):
+    """Each class's longest candidates: paths, underscored names, one letter, digits, hex, padding, keys."""
+    units = ("a/", "abc_", "a", "7", "0f", "=", "token=", "AKIA", "A-b+", "secret: x", "0123456789ABCDEF", 'api_key="')
+    rows = [(i, unit * (60_000 // len(unit))) for i, unit in enumerate(units)]
+    got = {r.doc_id: r for r in S.secret_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    assert got[0].spans == got[1].spans == ""
+    assert got[4].n_hex == 1 and got[4].spans.startswith("hex:0:60000")
