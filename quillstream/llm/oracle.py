@@ -172,3 +172,36 @@ FROM d LEFT JOIN base_spans USING (doc_id) LEFT JOIN spans USING (doc_id) LEFT J
 
 
 SQL["op1_secrets"] = _secrets_sql()
+
+#: crc32 by its table, which is built from the polynomial
+SQL["op13_resampling"] = r"""
+WITH tab AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS k FROM (
+    SELECT b, list_reduce([b] || range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(b))
+), texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), grams AS (
+  SELECT kind, id, g, count(*) AS n FROM (
+    SELECT kind, id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                            || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM words) GROUP BY ALL
+), buckets AS (
+  SELECT g, xor(list_reduce([4294967295] || list_transform(range(1, strlen(g) + 1), lambda i: ('0x' || substr(hex(encode(g)), 2 * i - 1, 2))::BIGINT),
+                            lambda c, b: xor(c >> 8, k[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT g FROM grams), tab
+), features AS (SELECT kind, id, bucket, sum(n)::BIGINT AS n FROM grams JOIN buckets USING (g) GROUP BY ALL),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE kind = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE kind = 'b'), 0) AS t FROM features GROUP BY bucket
+), totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain FROM sums, totals
+), weights AS (SELECT id, sum(n * gain)::BIGINT AS weight FROM features JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY id),
+scores AS (
+  SELECT w.id AS doc_id, len(w) AS n, (len(w) + greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0))::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || w.id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words w LEFT JOIN weights x ON x.id = w.id WHERE kind = 'd'
+), ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS eligible FROM scores WHERE n >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= 5 * eligible // 100 THEN rank END AS rank FROM scores s LEFT JOIN ranked r ON r.doc_id = s.doc_id
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bpe, cotrain, decontaminate, host_quality, line_chunks, near_dup, secrets, substring_dedup, token_files, warc
+from quillstream.llm import (bpe, cotrain, decontaminate, host_quality, line_chunks, near_dup, resampling, runs, secrets, sharding, substring_dedup,
+                             token_files, warc)
 from quillstream.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,21 @@ def op10_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that windows repeated anywhere take away."""
     return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document after a uniform shuffle into shards of equal row counts."""
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and its text without their repetitions."""
+    return runs.run_report(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark's n-grams, and the rank of those drawn."""
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
