@@ -4,20 +4,20 @@
   scrape, per series (``rate(x[1m])``), and ``sum_by`` over series. Events are
   first counted per (series, scrape interval); each count then enters the
   scrapes whose range covers it, so every scrape that saw events in its range
-  has a row and nothing is sorted. ``increases`` gives the increments of sampled
-  cumulative counters, with resets.
-* ``ProgressLog`` keeps every progress report of a query (the query's own list
-  is a short ring buffer); ``progress_frame``/``health_summary``/``consumer_lag``
-  turn reports into rows (batches, rows/s, trigger duration, state memory,
+  has a row and nothing is sorted. Sampled counters are in ``operators.rates``.
+* ``ProgressLog`` writes every progress report of a query to the shared folder as it
+  comes (the query's own list is a short ring buffer); ``stored_progress`` and
+  ``health_summary``/``offset_lag``/``consumer_lag`` turn reports into rows (batches, rows/s, trigger duration, state memory,
   uptime, the router's observed counters, lag behind the log's end).
 """
 
 from __future__ import annotations
 
 import json
+import queue
 import threading
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -40,45 +40,106 @@ def sum_by(rates: DataFrame, *by: str) -> DataFrame:
     return rates.groupBy(*by, "scrape_ms").agg(F.sum("rate_per_sec").alias("rate_per_sec"))
 
 
-def increases(samples: DataFrame, series_col: str, time_col: str, value_col: str) -> DataFrame:
-    """Increment since the previous sample of a cumulative counter; a value below
-    the previous one means that the counter started again from zero."""
-    before = F.lag(value_col).over(Window.partitionBy(series_col).orderBy(time_col))
-    grown = F.col(value_col) - before
-    return samples.withColumn("increase", F.when(before.isNotNull(), F.when(grown >= 0, grown).otherwise(F.col(value_col))))
-
-
 class ProgressLog(StreamingQueryListener):
-    """All progress reports of queries with one name, while entered."""
+    """Writes each progress report of queries with one name to ``path`` as it comes, while entered.
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.name = spark, name
-        self.entries: list[str] = []
-        self.ids: set[str] = set()
-        self.ended = threading.Event()
+    Reports wait in a queue of at most ``waiting``; the stream waits when it is full. What is
+    written is there whatever becomes of the job or the driver, in a file per run and batch."""
+
+    def __init__(self, spark: SparkSession, name: str, path: str, waiting: int = 256):
+        self.spark, self.name, self.path = spark, name, path.rstrip("/")
+        self.queue: queue.Queue[tuple[str, int, str] | None] = queue.Queue(waiting)
+        self.writer = threading.Thread(target=self._write, daemon=True)
+        self.failure: Exception | None = None
+        self.started: set[str] = set()
+        self.ended: set[str] = set()
+        self.quiet = threading.Event()
 
     def __enter__(self) -> ProgressLog:
+        self.writer.start()
         self.spark.streams.addListener(self)
         return self
 
     def __exit__(self, *exc) -> None:
-        self.ended.wait(30)  # reports arrive a little after the query ends
+        self.quiet.wait(30)  # reports arrive a little after the query ends
         self.spark.streams.removeListener(self)
+        self.queue.put(None)
+        self.writer.join()
+        if self.failure is not None and exc[0] is None:
+            raise self.failure
+
+    def _write(self) -> None:
+        from ..plans.tables import replace_file
+
+        while (entry := self.queue.get()) is not None:
+            run, batch, report = entry
+            try:
+                replace_file(self.spark, f"{self.path}/{run}-{batch:012d}.json", report + "\n")
+            except Exception as e:  # noqa: BLE001  raised on leaving; the queue must go on emptying
+                self.failure = e
 
     def onQueryStarted(self, event) -> None:
         if event.name == self.name:
-            self.ids.add(str(event.runId))
+            self.started.add(str(event.runId))
+            self.quiet.clear()
 
     def onQueryProgress(self, event) -> None:
         if event.progress.name == self.name:
-            self.entries.append(event.progress.json)
+            self.queue.put((str(event.progress.runId), int(event.progress.batchId), event.progress.json))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        if str(event.runId) in self.ids:
-            self.ended.set()
+        if str(event.runId) in self.started:
+            self.ended.add(str(event.runId))
+            if self.ended == self.started:
+                self.quiet.set()
+
+
+#: The parts of a progress report that the queries use; offsets stay as JSON text.
+REPORT = """name string, batchId long, timestamp string, numInputRows long, processedRowsPerSecond double, durationMs struct<triggerExecution: long>,
+stateOperators array<struct<memoryUsedBytes: long>>,
+observedMetrics struct<quality: struct<records_valid: long, records_parse_failed: long, records_validation_failed: long>>,
+sources array<struct<endOffset: string>>"""
+
+
+def stored_progress(spark: SparkSession, path: str) -> DataFrame:
+    """One row per report that a ``ProgressLog`` wrote; the columns of ``progress_frame``."""
+    r = spark.read.schema(REPORT).json(path)
+    count = lambda c: F.coalesce(F.col(c), F.lit(0))
+    quality = [count(f"observedMetrics.quality.{c}").alias(c) for c in ("records_valid", "records_parse_failed", "records_validation_failed")]
+    state = F.aggregate(F.coalesce("stateOperators", F.array()), F.lit(0).cast("long"), lambda a, s: a + F.coalesce(s["memoryUsedBytes"], F.lit(0)))
+    # positions are whole numbers by log partition; the offsets of other sources are not
+    end = F.when(F.size("sources") == 1, F.col("sources")[0]["endOffset"])
+    position = F.when(end.rlike(r'^\{("\d+":\d+,?)+\}$'), F.from_json(end, "map<string, long>"))
+    return r.select(F.col("name").alias("query"), F.col("batchId").alias("batch_id"), F.to_timestamp("timestamp").alias("ts"),
+                    count("numInputRows").alias("input_rows"), F.coalesce("processedRowsPerSecond", F.lit(0.0)).alias("rows_per_sec"),
+                    count("durationMs.triggerExecution").alias("trigger_ms"), state.alias("state_bytes"), *quality, position.alias("position"))
+
+
+def _position(report: dict) -> dict[str, int] | None:
+    """Next offset per log partition that a report of a single offset source ends at."""
+    ends = [s.get("endOffset") for s in report.get("sources") or []]
+    end = json.loads(ends[0]) if len(ends) == 1 and isinstance(ends[0], str) else ends[0] if len(ends) == 1 else None
+    if not isinstance(end, dict) or not all(isinstance(v, int) for v in end.values()):
+        return None
+    return end
+
+
+def progress_positions(progress: DataFrame) -> DataFrame:
+    """(query, partition, position) from each query's newest stored report that has positions."""
+    newest = progress.filter("position IS NOT NULL").groupBy("query").agg(F.max_by("position", F.struct("batch_id", "ts")).alias("position"))
+    return newest.select("query", F.explode("position").alias("partition", "position")).withColumn("partition", F.col("partition").cast("int"))
+
+
+def offset_lag(positions: DataFrame, ends: DataFrame) -> DataFrame:
+    """Records behind the log's end (MET1): per query and log partition, from (partition,
+    first, end) of the log; a partition without a position is read from its first offset."""
+    known = positions.select("query").distinct()  # a row per query
+    every = ends.select("partition", "first", F.col("end").alias("log_end")).join(F.broadcast(known), F.lit(True))
+    at = F.coalesce("position", "first")
+    return every.join(positions, ["query", "partition"], "left").select("query", "partition", at.alias("position"), "log_end", (F.col("log_end") - at).alias("lag"))
 
 
 def progress_frame(spark: SparkSession, progresses) -> DataFrame:
@@ -93,10 +154,10 @@ def progress_frame(spark: SparkSession, progresses) -> DataFrame:
                      int((d.get("durationMs") or {}).get("triggerExecution", 0)),
                      int(sum(s.get("memoryUsedBytes", 0) for s in state)),
                      int(obs.get("records_valid", 0)), int(obs.get("records_parse_failed", 0)),
-                     int(obs.get("records_validation_failed", 0))))
+                     int(obs.get("records_validation_failed", 0)), _position(d)))
     schema = ("query string, batch_id long, ts string, input_rows long, rows_per_sec double, "
               "trigger_ms long, state_bytes long, records_valid long, records_parse_failed long, "
-              "records_validation_failed long")
+              "records_validation_failed long, position map<string, long>")
     return spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts"))
 
 

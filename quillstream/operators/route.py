@@ -8,6 +8,8 @@ are column expressions and filters, no Python per row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +26,11 @@ def rejected_rows(classified: DataFrame) -> DataFrame:
 
 
 def dead_letters(classified: DataFrame, payload_col: str | None = None,
-                 device_col: str = "device_id") -> DataFrame:
-    """One ``value`` JSON string per rejected row (parse or validation failure)."""
+                 device_col: str = "device_id", keep: Sequence[Column] = ()) -> DataFrame:
+    """One ``value`` JSON string per rejected row (parse or validation failure), beside the columns of ``keep``."""
     payload = F.col(payload_col) if payload_col else F.lit(None).cast("binary")
     rej = rejected_rows(classified)
-    return rej.select(envelope.envelope_for_stage("stage", "reject_reason", device_col, payload).alias("value"))
+    return rej.select(envelope.envelope_for_stage("stage", "reject_reason", device_col, payload).alias("value"), *keep)
 
 
 def late_dead_letters(late: DataFrame, device_col: str = "device_id",

@@ -13,7 +13,7 @@ from ..operators.upsert import latest_by_key, make_corrections
 from ..sources.bridge import bridge_counters, filter_topics, normalise_payload
 from ..sources.events import CORRECTIONS, telemetry_view
 from ..sources.log import decode_and_classify, replay_first, to_log_rows
-from .registry import register
+from .queries import register
 
 # --- Fixed values: which derived records are damaged, and how ----------------
 CORRUPT_RULES = """

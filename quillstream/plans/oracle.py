@@ -369,3 +369,117 @@ SELECT device_id, scrape_ms, sum(n) / 60.0 AS rate_per_sec FROM seen GROUP BY AL
 
 SQL["counter_rate_by_site"] = _RATES + """
 SELECT site_id, scrape_ms, round(sum(n) / 60.0, 9) AS rate_per_sec FROM seen GROUP BY ALL"""
+
+# --- watermark per log partition ---------------------------------------------------------
+
+# one look per micro-batch with rows, and one where a partition falls silent
+_PARTITION_MARKS = BASE + """,
+b AS (SELECT *, arrival_ms // 30000 AS batch_id FROM cls),
+pb AS (SELECT batch_id, "partition" AS p, max(ts_ms) AS event, max(arrival_ms) AS arrival FROM b GROUP BY ALL),
+lim AS (SELECT min(batch_id) AS lo, max(batch_id) AS hi FROM pb),
+looks AS (SELECT x.batch_id, lim.lo FROM (
+            SELECT batch_id FROM pb UNION SELECT (arrival + 60000) // 30000 + 1 FROM pb UNION SELECT (lo * 30000 + 60000) // 30000 + 1 FROM lim) x, lim
+          WHERE x.batch_id <= lim.hi),
+grid AS (SELECT batch_id, lo, p FROM looks, (VALUES (0), (1), (2)) AS v(p)),
+seen AS (SELECT g.batch_id, g.lo, g.p, max(event) OVER w AS event, max(arrival) OVER w AS arrival
+         FROM grid g LEFT JOIN pb ON pb.batch_id = g.batch_id AND pb.p = g.p
+         WINDOW w AS (PARTITION BY g.p ORDER BY g.batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+states AS (SELECT batch_id, p, event - 5000 AS partition_ms, batch_id * 30000 - coalesce(arrival, lo * 30000) <= 60000 AS active FROM seen),
+least_of AS (SELECT batch_id, CASE WHEN count(*) FILTER (WHERE active AND partition_ms IS NULL) = 0 THEN min(partition_ms) FILTER (WHERE active) END AS c
+             FROM states GROUP BY batch_id),
+marks AS (SELECT batch_id, max(c) OVER (ORDER BY batch_id) AS watermark_ms FROM least_of)"""
+
+SQL["partition_watermarks"] = _PARTITION_MARKS + """
+SELECT batch_id, p AS "partition", partition_ms, active, watermark_ms FROM states JOIN marks USING (batch_id)"""
+
+SQL["late_events_by_partition"] = _PARTITION_MARKS + """
+SELECT seq, device_id, ts_ms AS event_ts, batch_id, watermark_ms, (ts_ms // 60000 + 1) * 60000 AS window_end_ms
+FROM b JOIN marks USING (batch_id) WHERE reject_reason IS NULL AND (ts_ms // 60000 + 1) * 60000 <= watermark_ms"""
+
+SQL["stream_window_by_partition"] = _STREAM + """,
+pb AS (SELECT sbatch, "partition" AS p, max(event_ms) AS event, max(arrival_ms) AS arrival FROM sw GROUP BY ALL),
+grid AS (SELECT sbatch, p FROM (SELECT DISTINCT sbatch FROM sw), (VALUES (0), (1), (2)) AS v(p)),
+seen AS (SELECT g.sbatch, g.p, 1704067200000 + g.sbatch * 3600000 AS now, max(event) OVER w AS event,
+                coalesce(max(arrival) OVER w, 1704067200000 + (SELECT min(sbatch) FROM sw) * 3600000) AS since
+         FROM grid g LEFT JOIN pb ON pb.sbatch = g.sbatch AND pb.p = g.p
+         WINDOW w AS (PARTITION BY g.p ORDER BY g.sbatch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+least_of AS (SELECT sbatch, CASE WHEN count(*) FILTER (WHERE now - since <= 60000 AND event IS NULL) = 0
+                                 THEN min(event - 5000) FILTER (WHERE now - since <= 60000) END AS c FROM seen GROUP BY sbatch),
+pm AS (SELECT sbatch, max(c) OVER (ORDER BY sbatch) AS wm FROM least_of),
+ok AS (SELECT sv.* FROM sv JOIN pm USING (sbatch)
+       WHERE NOT coalesce(window_end_ms <= pm.wm, false) AND window_end_ms <= (SELECT max(wm) FROM pm))
+""" + _win_stats("ok")
+
+# --- offsets within each log partition -----------------------------------------------------
+
+_OFFSETS = _STREAM + """,
+ow AS (SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1 AS place FROM sw),
+n AS (SELECT "partition" AS p, count(*) AS n FROM ow GROUP BY 1)"""
+
+SQL["stream_append_offsets"] = SQL["stream_append"]
+
+SQL["consumer_lag"] = _OFFSETS + """
+SELECT 'append_offsets' AS query, p AS "partition", least(n, 200) AS position, n AS log_end, n - least(n, 200) AS lag FROM n"""
+
+SQL["offset_reconciliation"] = _OFFSETS + """,
+twice AS (SELECT place, row_number() OVER (ORDER BY place) AS i FROM ow
+          WHERE "partition" = 2 AND place BETWEEN 10 AND 29 AND damage IS NULL AND reject_reason IS NULL),
+found AS (
+  SELECT p AS "partition", 'log' AS kind, CAST(0 AS BIGINT) AS first, n - 1 AS last FROM n
+  UNION ALL SELECT 1, 'missing', 40, least(59, n - 1) FROM n WHERE p = 1 AND n > 40
+  UNION ALL SELECT 2, 'duplicate', min(place), max(place) FROM twice GROUP BY place - i)
+SELECT "partition", kind, first, last, last - first + 1 AS records FROM found"""
+
+# --- sampled counters ------------------------------------------------------------------------
+
+_SAMPLED = BASE + """,
+per AS (SELECT site_id, device_id, ts_ms // 15000 AS bucket, count(*) AS n FROM tv GROUP BY ALL),
+every AS (SELECT site_id, device_id, unnest(range(min(bucket), max(bucket) + 1)) AS bucket FROM per GROUP BY site_id, device_id),
+samples AS (SELECT site_id, device_id, (bucket + 1) * 15000 AS t,
+                   sum(coalesce(n, 0)) OVER (PARTITION BY site_id, device_id, bucket * 15000 // 3600000 ORDER BY bucket) AS v
+            FROM every LEFT JOIN per USING (site_id, device_id, bucket)),
+kept AS (SELECT *, lag(v) OVER (PARTITION BY site_id, device_id ORDER BY t) AS pv FROM samples WHERE t // 15000 % 7 <> 0),
+incs AS (SELECT *, CASE WHEN pv IS NULL THEN 0 WHEN v >= pv THEN v - pv ELSE v END AS inc FROM kept),
+seen AS (SELECT *, t + 15000 * k AS scrape_ms FROM incs, (VALUES (0), (1), (2), (3)) AS o(k)),
+agg AS (SELECT site_id, device_id, scrape_ms, count(*) AS n, min(t) AS t0, max(t) AS t1, (sum(inc) - min_by(inc, t))::BIGINT AS increase, min_by(v, t) AS v0
+        FROM seen GROUP BY ALL HAVING count(*) > 1),
+spans AS (SELECT *, (t1 - t0) / 1000.0 AS sampled, (t1 - t0) / 1000.0 / (n - 1) AS mean, (t0 - scrape_ms + 60000) / 1000.0 AS g0, (scrape_ms - t1) / 1000.0 AS g1 FROM agg),
+rates AS (SELECT site_id, device_id, scrape_ms, increase,
+                 increase * (sampled + least(CASE WHEN g0 < 1.1 * mean THEN g0 ELSE mean / 2 END, CASE WHEN increase > 0 THEN sampled * v0 / increase END)
+                             + CASE WHEN g1 < 1.1 * mean THEN g1 ELSE mean / 2 END) / sampled / 60.0 AS r FROM spans)"""
+
+SQL["sampled_rate"] = _SAMPLED + "\nSELECT site_id, device_id, scrape_ms, increase, round(r, 9) AS rate_per_sec FROM rates"
+
+SQL["sampled_rate_by_site"] = _SAMPLED + """
+SELECT site_id, scrape_ms, sum(increase)::BIGINT AS increase, round(sum(r), 9) AS rate_per_sec FROM rates GROUP BY ALL"""
+
+# --- SQL text over the catalog -----------------------------------------------------------------
+
+SQL["sql_total_rows"] = SQL["total_rows"]
+
+SQL["sql_latest_10"] = BASE + """
+SELECT device_id, ts_ms, temperature_c, humidity_pct, firmware_version
+FROM v ORDER BY ts_ms DESC, device_id, temperature_c, pressure_hpa, vibration_g LIMIT 10"""
+
+SQL["sql_device_stats"] = SQL["device_stats"]
+
+SQL["sql_latest_snapshots"] = SQL["latest_snapshots"]
+
+SQL["sql_sample_10"] = BASE + """
+SELECT least(10, count(*)) AS sampled, least(10, count(*)) AS known FROM v"""
+
+SQL["sql_rows_per_day"] = BASE + f"""
+SELECT {_DAY} AS day, count(*) AS readings FROM v GROUP BY 1"""
+
+SQL["catalog_tables"] = _UPSERT + """
+SELECT 'telemetry' AS table_name, count(*) AS records, count(DISTINCT device_id) AS devices FROM v
+UNION ALL SELECT 'telemetry_upsert', count(*), count(DISTINCT device_id) FROM u"""
+
+# --- restarts and stored reports ---------------------------------------------------------------
+
+SQL["stream_supervised"] = SQL["stream_append"]
+
+SQL["stream_completed_batches"] = _STREAM + f""",
+{_CORR},
+base AS (SELECT count(DISTINCT sbatch) AS completed_batches, count(*) AS input_rows FROM sw)
+SELECT 'append' AS query, * FROM base UNION ALL SELECT 'upsert', completed_batches + 1, input_rows + (SELECT count(*) FROM corr) FROM base"""

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_millis
 from ..operators import route
-from ..operators.health import ProgressLog, counter_rate, health_summary, progress_frame, sum_by
+from ..operators.health import ProgressLog, counter_rate, health_summary, stored_progress, sum_by
 from ..schema import LOG_ROW
 from ..sources.events import EPOCH_2024_MS, telemetry_view
 from ..sources.log import read_log_stream, to_log_rows
 from ..streaming import jobs
 from .ingest_queries import CORRUPT_RULES, correction_records
-from .registry import DECIMALS, register
+from .queries import DECIMALS, register
 from .tables import _fs, list_dirs, new_root
 
 STREAM_BATCH_MS = 3_600_000  # one file (micro-batch) per hour of arrival
@@ -51,16 +51,14 @@ def _files_source(spark, root: str):
     return read_log_stream(spark, path=f"{root}/log/*", max_files_per_trigger=1)
 
 
-def _run(start, *args, name: str, progress: str | None = None, **options) -> None:
-    """Run a job over all there is; its progress rows go to ``progress``."""
+def _run(start, *args, name: str, progress: str, **options) -> None:
+    """Run a job over all there is; its progress reports go to ``progress``."""
     spark = args[0].sparkSession
-    with ProgressLog(spark, name) as log:
+    with ProgressLog(spark, name, progress):
         query = start(*args, trigger={"availableNow": True}, name=name, **options)
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
-    if progress:
-        progress_frame(spark, log.entries).write.mode("append").parquet(progress)
 
 
 def run_append(spark, sf_dir):
@@ -140,7 +138,7 @@ def q_stream_upsert(spark, sf_dir):
 def q_stream_health(spark, sf_dir):
     """Stream-health panel numbers of the window job from its stored progress (MET2-MET7); timing values vary."""
     table, _ = run_window(spark, sf_dir)
-    return health_summary(spark.read.parquet(f"{table.root}/progress"))
+    return health_summary(stored_progress(spark, f"{table.root}/progress"))
 
 
 @register("stream_progress")
@@ -149,12 +147,23 @@ def q_stream_progress(spark, sf_dir):
     out = None
     for run in (run_append, run_upsert, run_window):
         table, _ = run(spark, sf_dir)
-        own = health_summary(spark.read.parquet(f"{table.root}/progress")).select(
+        own = health_summary(stored_progress(spark, f"{table.root}/progress")).select(
             "query", "input_batches", "input_rows", "records_valid", "records_parse_failed", "records_validation_failed")
         out = own if out is None else out.unionByName(own)
     return out
 
 
+@register("stream_completed_batches")
+def q_stream_completed_batches(spark, sf_dir):
+    """Completed micro-batches and their input rows, from reports written while the jobs ran (MET2, MET4)."""
+    out = None
+    for run in (run_append, run_upsert):
+        table, _ = run(spark, sf_dir)
+        own = health_summary(stored_progress(spark, f"{table.root}/progress")).select("query", "completed_batches", "input_rows")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @register("reconcile")
 def q_reconcile(spark, sf_dir):
     """Losslessness: log records = table rows + dead letters; snapshot total = table rows."""

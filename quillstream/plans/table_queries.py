@@ -17,7 +17,7 @@ from ..schema import TELEMETRY_TABLE, UPSERT_TABLE
 from ..sources.events import COMMIT_MS, EPOCH_2024_MS
 from .ingest_queries import upsert_input
 from .merged import current, merge_batch
-from .registry import register, valid
+from .queries import register, valid
 from .tables import Table, latest_snapshots, list_tables, new_root, previous_snapshot
 
 
@@ -180,13 +180,17 @@ def q_time_range(spark, sf_dir):
     return _rows_ms(ts_between(t.read(), "2024-01-01 02:00:00", "2024-01-01 04:00:00", "ts", t.day_col))
 
 
+def upsert_rows(readings: DataFrame) -> DataFrame:
+    """Rows of the upsert table: table rows with their place in the log."""
+    return to_table_row(readings, ts_col="ts_ms", keep=[F.col("partition").cast("int").alias("_partition"), F.col("offset").cast("long").alias("_offset")])
+
+
 @register("upsert_materialised")
 def q_upsert_materialised(spark, sf_dir):
     """Current state kept by merging touched days: the log, then its corrections (SNK2, T2)."""
     t = Table(spark, "telemetry_upsert", UPSERT_TABLE, "ts", root=new_root(spark, "merged")).create_if_absent()
-    coordinates = [F.col("partition").cast("int").alias("_partition"), F.col("offset").cast("long").alias("_offset")]
     rows = upsert_input(spark, sf_dir)
     for batch_id, part in enumerate((rows.filter("not corrected"), rows.filter("corrected"))):
-        merge_batch(t, to_table_row(part, ts_col="ts_ms", keep=coordinates), batch_id)
+        merge_batch(t, upsert_rows(part), batch_id)
     return current(t).select("device_id", "site_id", ts_to_millis("ts").alias("ts_ms"), "temperature_c", "humidity_pct",
                              "pressure_hpa", "vibration_g", "firmware_version", F.col("_offset").alias("offset"))

@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import json
 import time
+import urllib.parse
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +83,32 @@ def create_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_file(spark: SparkSession, path: str) -> str:
+    """Text of a small file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file or put a new one in its place."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 # ------------------------------------------------------------------- the table
 
 class Table:
@@ -123,10 +151,41 @@ class Table:
         return T.StructType(list(self.schema.fields) + [
             T.StructField(self.day_col, T.DateType()), T.StructField("part_key", T.StringType())])
 
+    # The log is looked up by file name, so that a commit costs the same however long the
+    # log is: a note of a recent place is followed forwards. A note may be lost or stale,
+    # as it only says where to begin.
+
+    def _commit_file(self, first: int) -> str:
+        return f"{self.commits_path}/{first:012d}.json"
+
+    def _note_path(self, name: str) -> str:
+        return f"{self.path}/_notes/{name}"
+
+    def _note(self, name: str) -> dict | None:
+        path = self._note_path(name)
+        try:
+            return json.loads(read_file(self.spark, path)) if path_exists(self.spark, path) else None
+        except ValueError:  # half written
+            return None
+
+    def _followed(self, first: int) -> Iterator[list[dict]]:
+        """Commits of the log's files from the one named ``first`` on."""
+        while path_exists(self.spark, self._commit_file(first)):
+            found = [json.loads(line) for line in read_file(self.spark, self._commit_file(first)).splitlines()]
+            yield found
+            first = found[-1]["commit_id"] + 1
+
     def head(self) -> tuple[int | None, int]:
         """(id, total rows) of the newest commit, from the log as it is now."""
-        row = self.commits().agg(F.max(F.struct("commit_id", "total_records")).alias("h")).first()["h"]
-        return (row["commit_id"], row["total_records"]) if row else (None, 0)
+        note = self._note("head") or {"first": 0}
+        newest = None
+        for found in self._followed(note["first"]):
+            newest = found
+        if newest is None:
+            return None, 0
+        if newest[0]["commit_id"] != note["first"]:
+            replace_file(self.spark, self._note_path("head"), json.dumps({"first": newest[0]["commit_id"]}))
+        return newest[-1]["commit_id"], newest[-1]["total_records"]
 
     def publish(self, after: tuple[int | None, int], new: list[tuple]) -> None:
         """Publish commits (committed_at_ms, writer, batch_id, part_key, added rows)
@@ -139,11 +198,26 @@ class Table:
             lines.append(json.dumps({"commit_id": cid, "parent_id": parent, "committed_at_ms": stamp, "operation": APPEND, "writer": writer,
                                      "batch_id": batch, "part_key": part_key, "added_records": added, "total_records": total}))
             parent = cid
-        create_file(self.spark, f"{self.commits_path}/{first:012d}.json", "\n".join(lines) + "\n")
+        create_file(self.spark, self._commit_file(first), "\n".join(lines) + "\n")
 
     def _committed(self, writer: str) -> DataFrame:
         return self.commits().filter(F.col("writer") == writer).select("batch_id")
 
+    def committed(self, writer: str, batch_id: int) -> bool:
+        """Whether a writer that commits its batches one after the other has committed this one.
+
+        The writer's note says up to which file of the log its commits were looked through."""
+        name = "writer-" + urllib.parse.quote(writer, safe="")
+        note = self._note(name) or {"first": 0, "batch": None}
+        at, last = note["first"], note["batch"]
+        for found in self._followed(note["first"]):
+            at = found[0]["commit_id"]
+            own = [c["batch_id"] for c in found if c["writer"] == writer]
+            last = max([*own, *([] if last is None else [last])], default=None)
+        if (at, last) != (note["first"], note["batch"]):
+            replace_file(self.spark, self._note_path(name), json.dumps({"first": at, "batch": last}))
+        return last is not None and batch_id <= last
+
     def append_batches(self, df: DataFrame, batch_col: str, writer: str = "append", committed_at_col: str | None = None) -> None:
         """Write many batches in one distributed job, one commit per batch (backfill).
 
@@ -162,18 +236,22 @@ class Table:
         if new:
             self.publish(after, new)
 
-    def commit_batch(self, df: DataFrame, writer: str, batch_id: int, committed_at_ms: int | None = None) -> bool:
+    def commit_batch(self, df: DataFrame, writer: str, batch_id: int, committed_at_ms: int | None = None,
+                     after: tuple[int | None, int] | None = None) -> bool:
         """Stream sink step (SNK1): write one micro-batch and commit it; the row
-        count is observed while writing. False when it was committed before."""
+        count is observed while writing. False when it was committed before.
+
+        ``after`` is the head that the rows were made from; ``CommitConflict`` if
+        it is no longer the newest. Without it the rows follow whatever is newest."""
         self.create_if_absent()
-        if self._committed(writer).filter(F.col("batch_id") == batch_id).limit(1).count():
+        if self.committed(writer, batch_id):
             return False
         key = f"{writer}-{batch_id:012d}"
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
         self.write_parts(self.with_day(rows).withColumn("part_key", F.lit(key)))
         stamp = committed_at_ms if committed_at_ms is not None else int(time.time() * 1000)
-        self.publish(self.head(), [(stamp, writer, int(batch_id), key, int(seen.get["n"]))])
+        self.publish(after or self.head(), [(stamp, writer, int(batch_id), key, int(seen.get["n"]))])
         return True
 
     # ------------------------------------------------------------------- reads
@@ -214,7 +292,8 @@ class Table:
         rows = self.read().drop("part_key", self.day_col)
         days = out.with_day(rows).withColumn("part_key", F.lit("rewrite-000000000000"))
         seen = Observation()
-        ranged = days.observe(seen, F.count(F.lit(1)).alias("n")).repartitionByRange(self.day_col, self.time_col)
+        # counted after the shuffle, whose sampling runs what comes before it twice
+        ranged = days.repartitionByRange(self.day_col, self.time_col).observe(seen, F.count(F.lit(1)).alias("n"))
         (ranged.sortWithinPartitions(self.day_col, self.time_col).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
          .option("partitionOverwriteMode", "dynamic").partitionBy(self.day_col, "part_key").parquet(out.data_path))
         out.publish(out.head(), [(int(time.time() * 1000), "rewrite", 0, "rewrite-000000000000", int(seen.get["n"]))])

@@ -42,6 +42,12 @@ def read_dead_letters(spark: SparkSession, dlq_path: str) -> DataFrame:
     return spark.read.schema("value string, writer string, batch_id long").parquet(dlq_path)
 
 
+def dead_letter_places(spark: SparkSession, dlq_path: str) -> DataFrame:
+    """(partition, offset) of the dead letters of jobs that keep the log coordinates."""
+    places = spark.read.schema("_partition int, _offset long, writer string, batch_id long").parquet(dlq_path)
+    return places.select(F.col("_partition").alias("partition"), F.col("_offset").alias("offset")).filter("offset IS NOT NULL")
+
+
 def classified_stream(log: DataFrame) -> DataFrame:
     """Decoded and classified records with the router's counters observed as ``quality``."""
     return decode_and_classify(log).observe("quality", *route.counter_exprs())
@@ -62,8 +68,8 @@ def _start_router(log: DataFrame, table: Table, dlq_path: str, checkpoint: str,
             rows = to_table_row(route.valid_rows(batch), keep=keep)
             table.commit_batch(rows, writer=name, batch_id=batch_id)
             if merged is not None:
-                merge_batch(merged, rows, batch_id)
-            write_dead_letters(route.dead_letters(batch, payload_col="value"), dlq_path, name, batch_id)
+                merge_batch(merged, rows, batch_id, writer=name)
+            write_dead_letters(route.dead_letters(batch, payload_col="value", keep=keep), dlq_path, name, batch_id)
         finally:
             batch.unpersist()
 

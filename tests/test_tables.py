@@ -115,6 +115,37 @@ def test_time_range_prunes_in_the_scan(spark):
     assert df.count() == 5
 
 
+def test_commits_cost_the_same_however_long_the_log(spark, monkeypatch):
+    """A commit opens a few files of the log, not all of them."""
+    from quillstream.plans import tables
+
+    t = _table(spark)
+    for b in range(12):
+        assert t.commit_batch(_rows(spark, 1, b), "w", b)
+    opened = []
+    real = tables.read_file
+    monkeypatch.setattr(tables, "read_file", lambda s, p: opened.append(p) or real(s, p))
+    assert t.commit_batch(_rows(spark, 1, 50), "w", 12) and not t.commit_batch(_rows(spark, 1, 50), "w", 12)
+    assert len(opened) <= 12 and t.history().count() == 13
+
+
+def test_lost_or_broken_notes_change_nothing(spark):
+    t = _table(spark)
+    for b in range(3):
+        t.commit_batch(_rows(spark, 2, b * 9), "a/b w", b)
+    from quillstream.plans.tables import replace_file
+
+    replace_file(spark, f"{t.path}/_notes/head", "{half")
+    replace_file(spark, f"{t.path}/_notes/writer-a%2Fb%20w", "")
+    assert t.head() == (2, 6) and t.committed("a/b w", 2) and not t.committed("a/b w", 3) and not t.committed("other", 0)
+
+
+def test_rewrite_counts_once(spark):
+    t = _table(spark)
+    t.commit_batch(_rows(spark, 40), "w", 0)
+    assert t.rewritten(_root(spark)).head() == (0, 40)
+
+
 def test_list_tables(spark):
     t = _table(spark)
     Table(spark, "telemetry_upsert", TELEMETRY_TABLE, "ts", root=t.root).create_if_absent()
