@@ -29,13 +29,24 @@ def shared(spark: SparkSession, name: str) -> str:
     return f"{warehouse_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, partition_by: str | None = None, release: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again: the lineage ends there,
-    so a lost executor costs a re-read and never a recomputation."""
+    so a lost executor costs a re-read and never a recomputation. ``release``
+    frees the shuffle files of the write when it ends, not when the driver's
+    garbage is collected."""
     spark = df.sparkSession
     path = shared(spark, name)
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    if release:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

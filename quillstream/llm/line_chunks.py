@@ -9,8 +9,9 @@ are compared with those of the first occurrence (smallest id, then place), which
 stays. With ``copies`` a whole text of two or more non-blank lines counts as a
 chunk too (number WHOLE), so a copy loses the lines that lie in smaller chunks.
 
-Shuffled are, first, chunk hashes only; then the texts of documents that hold a
-repeated chunk; then texts to their verdicts. A chunk that a third of all
+Shuffled are, first, chunk hashes only; then texts to the numbers of their repeated
+chunks; then texts to their verdicts. Both go by key at every size of the tables, and
+the first shuffle's files are freed before the second. A chunk that a third of all
 documents share is one row per task in the count, and joins carry it with the
 unique first occurrence on the other side, so that Spark can split it.
 
@@ -169,14 +170,14 @@ def removals(docs: DataFrame, copies: bool = False) -> DataFrame:
     found = written(source.select("uid", F.explode((chunk_and_text_keys if copies else chunk_keys)("text")).alias("c")).select("uid", "c.*"), "chunks")
     again = (found.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "no")).alias("first"))
              .filter("n > 1").drop("n"))
-    hits = written(found.join(again, ["k1", "k2"]), "repeated")
+    hits = written(found.join(again, ["k1", "k2"]), "repeated", release=True)
     # own place and place of the first occurrence are needed with their bytes
     listed = hits.groupBy("uid").agg(F.collect_set(F.struct("no", "k1", "k2", (F.struct("uid", "no") == F.col("first")).alias("keeps"))).alias("at"))
-    with_bytes = (source.join(listed, "uid")
+    with_bytes = (source.join(listed.hint("merge"), "uid")
                   .select("uid", "at", chunk_bytes("text", F.col("at.no")).alias("raw"))
                   .select("uid", F.explode(F.arrays_zip("at", "raw")).alias("z"))
                   .select("uid", "z.at.*", "z.raw"))
-    with_bytes = written(with_bytes, "bytes")
+    with_bytes = written(with_bytes, "bytes", release=True)
     first = with_bytes.filter("keeps").select("k1", "k2", F.col("raw").alias("kept")).groupBy("k1", "k2").agg(F.first("kept").alias("kept"))
     same = with_bytes.filter("not keeps").join(first, ["k1", "k2"]).filter("raw = kept")
     return same.groupBy("uid").agg(F.collect_set("no").alias("numbers"))
@@ -189,7 +190,7 @@ def dedup_lines(docs: DataFrame, copies: bool = False) -> DataFrame:
     session(docs)
     gone = written(removals(docs, copies), "removals")
     uid = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text"))
-    keyed = docs.withColumn("__uid", uid).join(gone.select(F.col("uid").alias("__uid"), F.col("numbers").alias("__numbers")), "__uid", "left")
+    keyed = docs.withColumn("__uid", uid).join(gone.select(F.col("uid").alias("__uid"), F.col("numbers").alias("__numbers")).hint("merge"), "__uid", "left")
     cleaned = keyed.withColumn("__lines", without_chunks("text", "__numbers")).drop("__uid", "__numbers")
     names = [F.col("__lines.text").alias(c) if c == "text" else F.length("__lines.text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
              else F.col(f"`{c}`") for c in docs.columns]
