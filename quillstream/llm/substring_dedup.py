@@ -213,15 +213,15 @@ def repeated_spans(docs: DataFrame, hot: int = HOT, shard_words: int = SHARD_WOR
     source = docs.select(_uid().alias("uid"), "text")
     found = written(source.select("uid", F.explode(segment_keys("text")).alias("s")).select("uid", "s.*"), "segments")
     again = found.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1")
-    listed = (found.join(again, "anchor").groupBy("uid")
-              .agg(F.collect_set(F.struct("anchor", "n", "first", "last")).alias("s")))
+    # written, so that the shuffles of all anchors are gone before texts are shuffled
+    listed = written(found.join(again, "anchor").groupBy("uid").agg(F.collect_set(F.struct("anchor", "n", "first", "last")).alias("s")), "listed", release=True)
     own = (source.join(listed, "uid").select("uid", "s", segment_bytes("text", F.col("s.first"), F.col("s.last")).alias("raw"))
            .select("uid", F.explode(F.arrays_zip("s", "raw")).alias("z")).select("uid", "z.s.*", F.col("z.raw").alias("bytes")))
     parts = F.ceil(F.col("n") / hot).cast("int")
     dealt = (own.select("anchor", F.pmod(F.xxhash64("uid", "first"), parts).cast("int").alias("part"), parts.alias("parts"), "uid.doc_id", "uid.text",
                         "first", (F.col("last") - F.col("first") + WINDOW).alias("words"), "bytes")
              .repartition("anchor", "part").sortWithinPartitions("anchor", "part"))
-    result = written(dealt.mapInArrow(lambda batches: _shards(batches, shard_words), FOUND), "found")
+    result = written(dealt.mapInArrow(lambda batches: _shards(batches, shard_words), FOUND), "found", release=True)
     left = result.filter("n is not null")
     twice = left.groupBy("h1", "h2").agg(F.sum("n").alias("all")).filter("all > 1").select("h1", "h2")
     late = left.filter("n = 1").join(twice, ["h1", "h2"])
