@@ -41,14 +41,13 @@ def _sums(flags: np.ndarray) -> np.ndarray:
 
 def _repeat_words(flat: W.Flat) -> np.ndarray:
     """Words per row inside a 3-word window that the row holds at least twice."""
-    at, key = W.windows(flat, 3)
-    row = flat.row()[at]
-    order = np.lexsort((key, row))
-    same = (key[order][1:] == key[order][:-1]) & (row[order][1:] == row[order][:-1])
-    twice = np.zeros(len(at), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    hit = at[twice]
+    row, number = flat.row(), W.byte_numbers(flat.data, flat.start, flat.end)
+    at = np.flatnonzero(np.arange(2, len(number) + 2) < np.repeat(flat.first[1:], np.diff(flat.first)))
+    # words, pairs and windows by exact numbers
+    pair = np.unique(number[at] * (len(number) + 1) + number[at + 1], return_inverse=True)[1]
+    key = np.unique(pair * (len(number) + 1) + number[at + 2], return_inverse=True)[1]
+    _, inverse, times = np.unique(row[at] * (len(number) + 1) + key, return_inverse=True, return_counts=True)
+    hit = at[times[inverse] > 1]
     return W.per_row(flat, W.covered(len(flat.start), hit, hit + 3))
 
 
@@ -57,7 +56,7 @@ def _dup_lines(flat: W.Flat) -> np.ndarray:
     start, end, first = W.lines(flat.data, flat.offset)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     with_word = np.searchsorted(flat.start, end) > np.searchsorted(flat.start, start)
-    row, key = row[with_word], W.byte_hashes(flat.data, start[with_word], end[with_word])
+    row, key = row[with_word], W.byte_numbers(flat.data, start[with_word], end[with_word])
     order = np.lexsort((key, row))
     same = (key[order][1:] == key[order][:-1]) & (row[order][1:] == row[order][:-1])
     return np.bincount(row[order[1:][same]], minlength=len(first) - 1).astype(np.int64)
@@ -65,7 +64,7 @@ def _dup_lines(flat: W.Flat) -> np.ndarray:
 
 def _measure_column(column: pa.Array) -> pa.Array:
     parts: list[list[np.ndarray]] = [[] for _ in MEASURES.fields]
-    for _, _, flat in W.texts(column):
+    for _, _, flat in W.texts(column, hashed=False):
         points = _sums((flat.data & 0xC0) != 0x80)  # first bytes of code points
         symbols = _sums(SYMBOLS[flat.data])
         for part, values in zip(parts, (

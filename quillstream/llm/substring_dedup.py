@@ -126,7 +126,7 @@ def _shard(rows: pa.Table, split: np.ndarray) -> pa.RecordBatch:
     flat = W.cut(data, offset)
     count = np.diff(flat.first)
     # word numbers from one, and a separator after each segment
-    _, symbol = np.unique(flat.hash, return_inverse=True)
+    symbol = W.byte_numbers(flat.data, flat.start, flat.end)  # equal words by their bytes
     start = flat.first[:-1] + np.arange(len(count))
     sequence = np.zeros(len(symbol) + len(count), np.int64)
     place = np.arange(len(symbol)) + np.repeat(np.arange(len(count)), count)
@@ -151,7 +151,7 @@ def _shard(rows: pa.Table, split: np.ndarray) -> pa.RecordBatch:
     single = np.flatnonzero((times[place] == 1) & of)
     known = np.flatnonzero((times[place] >= 2) & of)
     if len(single) or len(known):
-        other = W.mix(flat.hash + W.U(0x5851F42D4C957F2D))
+        other = W.byte_hashes(flat.data, flat.start, flat.end, other=True)
         h1, h2 = (W.span_hashes(h, np.arange(len(h) - WINDOW + 1), np.arange(WINDOW, len(h) + 1)).view(np.int64) for h in (flat.hash, other))
         seg = np.repeat(np.arange(len(count)), count)[single]
         word = single - flat.first[seg] + rows.column("first").to_numpy()[seg]

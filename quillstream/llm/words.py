@@ -2,9 +2,11 @@
 
 Every operator that works on words shares this: a batch's UTF-8 bytes are cut
 into words with one table lookup per byte, and each word gets a 64-bit hash
-from prefix sums, with no Python loop over words. Hashes only ever select
-candidates or stand for words inside one text; operators compare real bytes
-where the contract asks for it.
+from prefix sums, with no Python loop over words. Bytes are hashed by a sum in
+which every place of a word has a random factor of its own: whatever the texts,
+two different words agree with a probability below 2**-57. (A sum of powers of
+one base would make some pairs agree for certain.) ``byte_numbers`` tells words
+of one batch apart by their bytes.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ _SEED = np.random.default_rng(20240229)
 _BYTE = _SEED.integers(1, 2**63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_FACTORS: dict[int, np.ndarray] = {}
 
 #: byte tables: True where a byte belongs to a word
 NOT_SPACE = np.ones(256, bool)
@@ -59,6 +62,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def _factors(n: int) -> np.ndarray:
+    """Random odd factors of the places in a span, at least n."""
+    have = _FACTORS.get(0)
+    if have is None or len(have) < n:
+        size = max(1 << 16, 1 << (n - 1).bit_length())
+        have = _FACTORS[0] = mix(np.arange(size, dtype=U) * U(0xD1342543DE82EF95) + U(0x2545F4914F6CDD1D)) | U(1)
+    return have
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
     have = _POWERS.get(0)
@@ -71,7 +83,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Position-free polynomial hash of ``symbols[start:end]`` for many spans at once."""
+    """Position-free polynomial hash of ``symbols[start:end]`` for many short spans at
+    once; symbols are hashes themselves, never raw bytes."""
     n = len(symbols)
     up, down = _powers(n + 1)
     sums = np.zeros(n + 1, U)
@@ -118,16 +131,16 @@ def cut(data: np.ndarray, offset: np.ndarray, table: np.ndarray = NOT_SPACE, fol
     start = np.flatnonzero(word & ~before)
     end = np.flatnonzero(word & ~after) + 1
     return Flat(data, start, end, np.searchsorted(start, offset), offset,
-                span_hashes(_BYTE[data], start, end) if hashed else np.zeros(0, U))
+                byte_hashes(data, start, end) if hashed else np.zeros(0, U))
 
 
 def texts(column: pa.Array, table: np.ndarray = NOT_SPACE, fold: bool = False,
-          limit: int = 1 << 20) -> Iterator[tuple[int, int, Flat]]:
+          limit: int = 1 << 20, hashed: bool = True) -> Iterator[tuple[int, int, Flat]]:
     """(low row, high row, words) over a column in pieces of about ``limit`` bytes."""
     data, offset = buffers(column)
     for low, high in slices(offset, limit):
         part = offset[low:high + 1]
-        yield low, high, cut(data[part[0]:part[-1]], part - part[0], table, fold)
+        yield low, high, cut(data[part[0]:part[-1]], part - part[0], table, fold, hashed)
 
 
 def windows(flat: Flat, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,6 +176,26 @@ def lines(data: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, first
 
 
+def _gathered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all spans one after the other, place of each byte in its span, bounds of spans)."""
+    bound = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=bound[1:])
+    place = np.arange(bound[-1]) - np.repeat(bound[:-1], end - start)
+    return data[place + np.repeat(start, end - start)], place, bound
+
+
 def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: bool = False) -> np.ndarray:
     """Hash of bytes of spans; ``other`` gives an independent second one."""
-    return span_hashes((mix(_BYTE) if other else _BYTE)[data], start, end)
+    raw, place, bound = _gathered(data, start, end)
+    factors = _factors(int((end - start).max(initial=0)))
+    sums = np.zeros(len(raw) + 1, U)
+    # the second hash has other factors, not only other values of bytes
+    np.cumsum((mix(_BYTE) if other else _BYTE)[raw] * (mix(factors) | U(1) if other else factors)[place], out=sums[1:])
+    return mix(sums[bound[1:]] - sums[bound[:-1]] + (end - start).astype(U) * U(0x9E3779B97F4A7C15))
+
+
+def byte_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Equal numbers from 0 for equal spans of bytes, by the bytes themselves."""
+    raw, _, bound = _gathered(data, start, end)
+    spans = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bound), pa.py_buffer(np.ascontiguousarray(raw))])
+    return spans.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)

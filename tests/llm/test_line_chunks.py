@@ -16,10 +16,8 @@ def mix(x):
 
 
 def line_hash(line):
-    total, power = 0, 1
-    for c in line:
-        total, power = total + int(W._BYTE[c]) * power & MASK, power * W._BASE & MASK
-    return mix(total + len(line) & MASK)
+    factor = W._factors(len(line))
+    return mix(sum(int(W._BYTE[c]) * int(factor[i]) for i, c in enumerate(line)) + len(line) * 0x9E3779B97F4A7C15 & MASK)
 
 
 def chunks(text):

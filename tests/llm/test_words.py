@@ -42,3 +42,28 @@ def test_slice_of_a_column():
     column = pa.array(["skip", "a b", None, "c"]).slice(1, 3)
     (low, high, flat), = W.texts(column)
     assert (low, high) == (0, 3) and flat.first.tolist() == [0, 2, 2, 3]
+
+
+def thue_morse(n, a, b):
+    """Two words of 2**n letters that agree under any sum of powers modulo 2**64."""
+    x = [bin(i).count("1") % 2 for i in range(2**n)]
+    return bytes((a, b)[i] for i in x), bytes((b, a)[i] for i in x)
+
+
+def test_thue_morse_words_differ():
+    for n in (10, 12, 13):
+        for a, b in (b"ab", b"a!", b"\x80z"):
+            x, y = thue_morse(n, a, b)
+            data, bound = np.frombuffer(x + y + x, np.uint8), np.arange(4) * 2**n
+            for other in (False, True):
+                h = W.byte_hashes(data, bound[:-1], bound[1:], other)
+                assert h[0] == h[2] != h[1]
+            assert W.byte_numbers(data, bound[:-1], bound[1:]).tolist() == [0, 1, 0]
+
+
+def test_byte_numbers_of_any_spans():
+    data = np.frombuffer(b"abcabxabc", np.uint8)
+    start, end = np.array([0, 3, 6, 2, 2, 0, 6]), np.array([3, 6, 9, 2, 2, 2, 8])
+    assert W.byte_numbers(data, start, end).tolist() == [0, 1, 0, 2, 2, 3, 3]
+    assert W.byte_hashes(data, start, end)[[0, 3, 5]].tolist() == W.byte_hashes(data, start, end)[[2, 4, 6]].tolist()
+    assert len(W.byte_numbers(data, start[:0], end[:0])) == len(W.byte_hashes(data, start[:0], end[:0])) == 0
