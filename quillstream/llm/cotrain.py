@@ -10,16 +10,20 @@ other view's training rows. Then each view is calibrated on labelled documents
 held out from training, and the calibrated log-odds are added (less the prior
 counted twice) to score all documents. Targets are ``quality`` and ``toxic``.
 
-Fitted on bounded samples: at most MAX_LABELLED labelled and MAX_POOL unlabelled
-documents, those of the smallest hash of their id. Their features, not their
-texts, come to the driver. Everything else covers all documents: one pass with
-the models (a weight per hashed word, of fixed size) broadcast, no shuffle.
+Fitted to at most MAX_LABELLED labelled documents, those of the smallest hash of
+their id. The pool is every document without a label, whatever the corpus: in
+each round all of them are scored in Spark, and for each target, view and sign
+the PER_ROUND surest become training rows of the other view. Only features of
+documents that are fitted come to the driver, never texts. All documents are
+scored with the final models (a weight per hashed word, of fixed size) broadcast;
+what is shuffled are ids and probabilities.
 
 Defined cases: a null or empty text has no words; null language or source is a
 value of its own; conflicting labels of one id are averaged and count by their
 majority, ties as negative; a null label is no label; a target with rows of
 one kind only, or none, gets that kind's smoothed share (0.5 without rows) as
-every document's score; rows are scored one by one, whatever their ids.
+every document's score; rows are scored one by one, whatever their ids. Of rows
+of one id with different texts, that of the smallest hash is the one fitted.
 """
 
 from __future__ import annotations
@@ -33,14 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstream.llm import words as W
-from quillstream.llm.common import session
+from quillstream.llm.common import session, written
 
 TARGETS = ("quality", "toxic")
-MAX_LABELLED, MAX_POOL = 6000, 3000
+MAX_LABELLED = 6000
 BUCKET_BITS = 18
 ROUNDS = 2
-#: Share of the pool that a view may label in a round, and how sure it has to be.
-SHARE, SURE = 0.05, (0.005, 0.98)
+#: Documents of each sign that a view labels in a round, and how sure it has to be.
+PER_ROUND, SURE = 150, (0.005, 0.98)
 #: Words in fewer training documents, or whose shares on the two sides differ by
 #: fewer standard errors, get no weight.
 MIN_DOCS, MIN_SURPRISE = 3, 2.0
@@ -100,7 +104,7 @@ def view_features(text: pa.Array, lang: pa.Array, source: pa.Array):
         rows = np.arange(high - low)
         meta[rows, len(_SHAPE) + source_at[low:high]] = 1
         meta[rows, len(_SHAPE) + SOURCE_BUCKETS + lang_at[low:high]] = 1
-        yield low, high, key >> BUCKET_BITS, key & ((1 << BUCKET_BITS) - 1), np.minimum(times, 255).astype(np.uint8), meta
+        yield low, high, key >> BUCKET_BITS, key & ((1 << BUCKET_BITS) - 1), times.astype(np.int32), meta
 
 
 class Rows(NamedTuple):
@@ -203,79 +207,148 @@ class Model(NamedTuple):
         return _sigmoid(odds)
 
 
-def cotrain(rows: Rows, label: np.ndarray, fold: np.ndarray) -> Model:
-    """``label``: 1, 0 or NaN (pool) of each row; rows of ``fold`` 0 are held out for calibration."""
+def _prior(label: np.ndarray) -> float:
+    known = label[~np.isnan(label)]
+    return float((known.sum() + 1) / (len(known) + 2))
+
+
+def _parts(label: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Rows to fit and rows to calibrate on (``fold`` 0); None if one of them has too few of a kind."""
     known = ~np.isnan(label)
-    positive = label[known].sum()
-    prior = float((positive + 1) / (known.sum() + 2))
     train, held = np.flatnonzero(known & (fold != 0)), np.flatnonzero(known & (fold == 0))
     if min(label[train].sum(), (1 - label[train]).sum(), label[held].sum(), (1 - label[held]).sum()) < 2:
-        return Model(prior)
-    pool = np.flatnonzero(~known)
-    extra = [{}, {}]  # pool rows with the label that the other view gave them
-    fits = (_fit_words, _fit_meta)
-    for round_ in range(ROUNDS + 1):
-        views = []
-        for fit, own in zip(fits, extra):
-            use = np.concatenate([train, np.array(sorted(own), np.int64)])
-            y = np.concatenate([label[train], [own[i] for i in sorted(own)]])
-            views.append(fit(rows, use, y, np.concatenate([np.ones(len(train)), np.full(len(own), 0.5)])))
-        scores = [_words_score(views[0], rows.row, rows.bucket, rows.times, len(rows.meta)), rows.meta @ views[1].weight + views[1].bias]
-        if round_ == ROUNDS or not len(pool):
-            break
-        most = max(1, int(SHARE * len(pool)))
-        for view, other in ((0, 1), (1, 0)):
-            p = _sigmoid(scores[view][pool])
-            for sign, sure in ((1, p >= SURE[1]), (0, p <= SURE[0])):
-                own = [(-p[i] if sign else p[i], i) for i in np.flatnonzero(sure) if pool[i] not in extra[other]]
-                extra[other].update({pool[i]: float(sign) for _, i in sorted(own)[:most]})
-    words, meta = (_calibrated(v, s[held], label[held]) for v, s in zip(views, scores))
-    return Model(prior, words, meta)
+        return None
+    return train, held
+
+
+def _views(rows: Rows, label: np.ndarray, train: np.ndarray, extra: list[dict[int, float]]) -> list[View]:
+    """Both views, fitted to the training rows and the rows ``extra`` that the other view labelled."""
+    views = []
+    for fit, own in zip((_fit_words, _fit_meta), extra):
+        more = np.array(sorted(own), np.int64)
+        y = np.concatenate([label[train], [own[i] for i in more]])
+        views.append(fit(rows, np.concatenate([train, more]), y, np.concatenate([np.ones(len(train)), np.full(len(own), 0.5)])))
+    return views
+
+
+def _view_scores(views: list[View], row: np.ndarray, bucket: np.ndarray, times: np.ndarray, meta: np.ndarray) -> list[np.ndarray]:
+    return [_words_score(views[0], row, bucket, times, len(meta)), meta @ views[1].weight + views[1].bias]
+
+
+def _model(rows: Rows, label: np.ndarray, held: np.ndarray, views: list[View]) -> Model:
+    """Both views calibrated on the held-out rows."""
+    found = _view_scores(views, rows.row, rows.bucket, rows.times, rows.meta)
+    return Model(_prior(label), *(_calibrated(v, x[held], label[held]) for v, x in zip(views, found)))
 
 
 def _binary(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
 
-def _training_rows(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], max_labelled: int, max_pool: int) -> tuple[Rows, dict[str, np.ndarray], np.ndarray]:
-    feature = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("times", T.BinaryType()), T.StructField("meta", T.BinaryType())])
+def _concatenated(a: Rows, b: Rows) -> Rows:
+    return Rows(np.concatenate([a.row, b.row + len(a.meta)]), *(np.concatenate([x, y]) for x, y in zip(a[1:], b[1:])))
 
-    @F.arrow_udf(returnType=feature)
-    def features(text: pa.Array, lang: pa.Array, source: pa.Array) -> pa.Array:
-        words, counts, metas = [], [], []
-        for low, high, row, bucket, times, meta in view_features(text, lang, source):
-            cut = np.searchsorted(row, np.arange(high - low + 1))
-            words += [_binary(bucket[a:b].astype(np.int32)) for a, b in zip(cut[:-1], cut[1:])]
-            counts += [_binary(times[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-            metas += [_binary(m) for m in meta]
-        return pa.StructArray.from_arrays([pa.array(x, pa.binary()) for x in (words, counts, metas)], names=["words", "times", "meta"])
 
-    order = F.xxhash64("doc_id", F.lit(20240229))
-    by_id = labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.avg(F.col(t).cast("double")).alias(t) for t in targets])
-    ids = docs.select("doc_id").filter("doc_id is not null")
-    labelled = by_id.join(ids, "doc_id", "left_semi").orderBy(order, "doc_id").limit(max_labelled)  # the documented bound
-    pool = (ids.join(by_id, "doc_id", "left_anti").distinct().orderBy(order, "doc_id").limit(max_pool)
-            .select("doc_id", *[F.lit(None).cast("double").alias(t) for t in targets]))
-    sample = F.broadcast(labelled.select("doc_id", *targets).unionByName(pool))  # at most max_labelled + max_pool rows of numbers
-    own = docs.select("doc_id", "text", "lang", "source").join(sample, "doc_id")
-    got = (own.withColumn("f", features("text", "lang", "source")).select("doc_id", "f.*", *targets).dropDuplicates(["doc_id"])
-           .limit(max_labelled + max_pool).toArrow())
-    got = got.sort_by("doc_id")
+FEATURE = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("times", T.BinaryType()), T.StructField("meta", T.BinaryType())])
+
+
+@F.arrow_udf(returnType=FEATURE)
+def features(text: pa.Array, lang: pa.Array, source: pa.Array) -> pa.Array:
+    words, counts, metas = [], [], []
+    for low, high, row, bucket, times, meta in view_features(text, lang, source):
+        cut = np.searchsorted(row, np.arange(high - low + 1))
+        words += [_binary(bucket[a:b].astype(np.int32)) for a, b in zip(cut[:-1], cut[1:])]
+        counts += [_binary(times[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+        metas += [_binary(m) for m in meta]
+    return pa.StructArray.from_arrays([pa.array(x, pa.binary()) for x in (words, counts, metas)], names=["words", "times", "meta"])
+
+
+def _version() -> Column:
+    """Tells rows of one id apart."""
+    return F.xxhash64("text", "lang", "source")
+
+
+def _collected(docs: DataFrame, wanted: DataFrame, most: int) -> tuple[Rows, pa.Table]:
+    """Features of the wanted documents (doc_id and other columns), at most ``most``, by id."""
+    own = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(wanted), "doc_id")  # at most ``most`` rows of numbers
+    names = wanted.columns
+    one = own.groupBy(*names).agg(F.min(F.struct(_version().alias("v"), "text", "lang", "source")).alias("d"))
+    got = one.select(*names, features("d.text", "d.lang", "d.source").alias("f")).select(*names, "f.*").limit(most).toArrow().sort_by("doc_id")
     words = [np.frombuffer(x, np.int32) for x in got.column("words").to_pylist()]
     rows = Rows(np.repeat(np.arange(len(words)), [len(x) for x in words]), np.concatenate([*words, np.zeros(0, np.int32)]).astype(np.int64),
-                np.frombuffer(b"".join(got.column("times").to_pylist()), np.uint8),
+                np.frombuffer(b"".join(got.column("times").to_pylist()), np.int32),
                 np.frombuffer(b"".join(got.column("meta").to_pylist()), np.float32).reshape(-1, META))
+    return rows, got
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], max_labelled: int) -> tuple[Rows, dict[str, np.ndarray], np.ndarray, list[int]]:
+    """Features, labels, folds and ids of the bounded sample of labelled documents."""
+    by_id = labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.avg(F.col(t).cast("double")).alias(t) for t in targets])
+    ids = docs.select("doc_id").filter("doc_id is not null")
+    order = F.xxhash64("doc_id", F.lit(20240229))
+    sample = by_id.join(ids, "doc_id", "left_semi").orderBy(order, "doc_id").limit(max_labelled).select("doc_id", *targets)  # the documented bound
+    rows, got = _collected(docs, sample, max_labelled)
     label = {t: np.array([np.nan if v is None else float(v > 0.5) for v in got.column(t).to_pylist()]) for t in targets}
-    fold = W.mix(np.array(got.column("doc_id").to_pylist(), np.int64).view(W.U)) % W.U(5)
-    return rows, label, fold
+    doc = got.column("doc_id").to_pylist()
+    return rows, label, W.mix(np.array(doc, np.int64).view(W.U)) % W.U(5), doc
+
+
+def _surest(docs: DataFrame, labels: DataFrame, views: dict[str, list[View]], taken: dict[tuple[str, int], set[int]], per_round: int) -> DataFrame:
+    """(target, view, sign, doc_id) of the unlabelled documents that each view is surest of, over all documents.
+
+    ``taken``: ids that already are training rows of a target's view."""
+    shared = docs.sparkSession.sparkContext.broadcast(views)  # a float per hashed word, target and view
+    kind = T.StructType([T.StructField(f"{t}_{v}", T.DoubleType(), False) for t in views for v in (0, 1)])
+
+    @F.arrow_udf(returnType=kind)
+    def sure(text: pa.Array, lang: pa.Array, source: pa.Array) -> pa.Array:
+        out: list[list[np.ndarray]] = [[] for _ in kind.fields]
+        for _, _, row, bucket, times, meta in view_features(text, lang, source):
+            found = [x for own in shared.value.values() for x in _view_scores(own, row, bucket, times, meta)]
+            for part, x in zip(out, found):
+                part.append(_sigmoid(x))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate([*part, np.zeros(0)])) for part in out], names=kind.fieldNames())
+
+    scored = docs.filter("doc_id is not null").select("doc_id", sure("text", "lang", "source").alias("p"), _version().alias("v")).select("doc_id", "v", "p.*")
+    scored = scored.filter(" or ".join(f"{c} >= {SURE[1]} or {c} <= {SURE[0]}" for c in kind.fieldNames()))
+    own = scored.groupBy("doc_id").agg(F.min(F.struct("v", *kind.fieldNames())).alias("p")).select("doc_id", "p.*")
+    known = labels.select("doc_id").filter("doc_id is not null").distinct()
+    pool = written(own.join(known, "doc_id", "left_anti"), "pool")
+    out = None
+    for t in views:
+        for view in (0, 1):
+            p = F.col(f"{t}_{view}")
+            free = pool.filter(~F.col("doc_id").isin(sorted(taken[t, 1 - view]))) if taken[t, 1 - view] else pool
+            for sign, rows, order in ((1.0, free.filter(p >= SURE[1]), p.desc()), (0.0, free.filter(p <= SURE[0]), p.asc())):
+                top = rows.orderBy(order, "doc_id").limit(per_round).select(F.lit(t).alias("target"), F.lit(view).alias("view"), F.lit(sign).alias("sign"), "doc_id")
+                out = top if out is None else out.unionByName(top)
+    return out
 
 
 def fitted(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...] = TARGETS, max_labelled: int = MAX_LABELLED,
-           max_pool: int = MAX_POOL) -> list[Model]:
-    """A model for each target, from the bounded samples."""
-    session(docs)
-    rows, label, fold = _training_rows(docs, labels, targets, max_labelled, max_pool)
-    return [cotrain(rows, label[t], fold) for t in targets]
+           per_round: int = PER_ROUND, rounds: int = ROUNDS) -> list[Model]:
+    """A model for each target, co-trained over all documents."""
+    spark = session(docs)
+    rows, label, fold, doc = _labelled(docs, labels, targets, max_labelled)
+    place = {d: i for i, d in enumerate(doc)}
+    parts = {t: _parts(label[t], fold) for t in targets}
+    able = [t for t in targets if parts[t] is not None]
+    extra: dict[str, list[dict[int, float]]] = {t: [{}, {}] for t in able}
+    views = {t: _views(rows, label[t], parts[t][0], extra[t]) for t in able}
+    for _ in range(rounds if able else 0):
+        taken = {(t, v): {doc[i] for i in extra[t][v]} for t in able for v in (0, 1)}
+        found = _surest(docs, labels, views, taken, per_round).collect()  # per_round rows a target, view and sign
+        new = sorted({r["doc_id"] for r in found} - place.keys())
+        if new:
+            more, got = _collected(docs, spark.createDataFrame([(d,) for d in new], "doc_id long"), len(new))
+            for d in got.column("doc_id").to_pylist():
+                place[d] = len(doc)
+                doc.append(d)
+            rows = _concatenated(rows, more)
+        for r in found:
+            extra[r["target"]][1 - r["view"]].setdefault(place[r["doc_id"]], r["sign"])
+        views = {t: _views(rows, label[t], parts[t][0], extra[t]) for t in able}
+    return [_model(rows, label[t], parts[t][1], views[t]) if t in able else Model(_prior(label[t])) for t in targets]
 
 
 def scores(docs: DataFrame, models: list[Model], targets: tuple[str, ...] = TARGETS) -> Column:

@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quillstream.llm import cotrain as C
+from quillstream.llm import words as W
 
 
 def planted(n, seed, labelled=True):
@@ -35,20 +37,65 @@ def test_held_out_accuracy(spark):
     assert np.mean([not got[i].kept for i, _, t in test_labels if t]) > 0.9
 
 
-def test_views_label_for_each_other():
-    """With few labels, pool rows that one view is sure of help the other."""
-    rng = np.random.default_rng(3)
-    n = 600
-    y = rng.integers(0, 2, n).astype(float)
-    row = np.repeat(np.arange(n), 3)
-    bucket = rng.integers(0, 50, 3 * n) + 50 * np.repeat(y, 3).astype(int)
-    meta = np.zeros((n, C.META), np.float32)
-    meta[:, 0] = y * 2 - 1 + rng.normal(0, 0.2, n)
-    rows = C.Rows(row, bucket, np.ones(3 * n, np.uint8), meta)
-    label = np.where(np.arange(n) < 60, y, np.nan)
-    model = C.cotrain(rows, label, (np.arange(n) % 5).astype(np.uint64))
-    p = model.score(row, bucket, rows.times, meta)
-    assert ((p > 0.5) == (y > 0.5))[60:].mean() > 0.97
+def brute_models(rows, labels, per_round, rounds=C.ROUNDS):
+    """Co-training in memory: every document's features at once, every unlabelled one in the pool."""
+    text, lang, source = (pa.array([r[i] for r in rows]) for i in (1, 2, 3))
+    parts = []
+    for a, b, row, bucket, times, meta in C.view_features(text, lang, source):
+        parts.append(C.Rows(row, bucket, times, meta))
+    every = parts[0]
+    for part in parts[1:]:
+        every = C._concatenated(every, part)
+    doc = [r[0] for r in rows]
+    known = {d: (q, t) for d, q, t in labels}
+    fold = W.mix(np.array(doc, np.int64).view(np.uint64)) % np.uint64(5)
+    models = []
+    for n in (0, 1):
+        label = np.array([np.nan if d not in known else float(known[d][n]) for d in doc])
+        train, held = C._parts(label, fold)
+        extra = [{}, {}]
+        for round_ in range(rounds + 1):
+            views = C._views(every, label, train, extra)
+            if round_ == rounds:
+                break
+            scores, before = C._view_scores(views, *every), [dict(e) for e in extra]
+            for view in (0, 1):
+                p = C._sigmoid(scores[view])
+                for sign in (1.0, 0.0):
+                    sure = [i for i in range(len(doc)) if doc[i] not in known and (p[i] >= C.SURE[1] if sign else p[i] <= C.SURE[0]) and i not in before[1 - view]]
+                    for i in sorted(sure, key=lambda i: (-p[i] if sign else p[i], doc[i]))[:per_round]:
+                        extra[1 - view].setdefault(i, sign)
+        models.append((C._model(every, label, held, views), extra))
+    return models
+
+
+def test_models_equal_brute_force(spark):
+    """The co-trained models are those of an in-memory co-training over all rows, pool documents far apart included."""
+    rows, labels = planted(500, 5)
+    more, _ = planted(900, 6)
+    docs = spark.createDataFrame(rows + more, "doc_id long, text string, lang string, source string").repartition(7)
+    known = spark.createDataFrame(labels[:300], "doc_id long, quality int, toxic int")
+    got = C.fitted(docs, known, per_round=25)
+    for model, (want, extra) in zip(got, brute_models(rows + more, labels[:300], 25)):
+        assert sum(map(len, extra)) > 60      # the exchange took place, over the whole pool
+        assert max(i for e in extra for i in e) > 700
+        assert np.allclose(model.words.weight, want.words.weight, atol=1e-6) and np.allclose(model.meta.weight, want.meta.weight, atol=1e-6)
+        assert np.allclose([*model.words[1:], *model.meta[1:]], [*want.words[1:], *want.meta[1:]], atol=1e-6)
+
+
+def test_counts_are_not_clipped():
+    for _, _, row, bucket, times, _ in C.view_features(pa.array(["spam " * 5000]), pa.array(["en"]), pa.array(["s"])):
+        assert times.tolist() == [5000]
+
+
+def test_repeated_ids_have_one_text(spark):
+    """Of several texts of one id the same one is fitted in any order of the rows."""
+    rows, labels = planted(260, 7)
+    twice = rows + [(d, "other text of it " * 30, "de", "src9") for d, *_ in rows[:80]]
+    known = spark.createDataFrame(labels[:150], "doc_id long, quality int, toxic int")
+    frame = lambda r, n: spark.createDataFrame(r, "doc_id long, text string, lang string, source string").repartition(n)
+    a, b = (C.fitted(d, known) for d in (frame(twice, 3), frame(twice[::-1], 5)))
+    assert all(np.array_equal(x.words.weight, y.words.weight) and np.array_equal(x.meta.weight, y.meta.weight) for x, y in zip(a, b))
 
 
 def test_edge_rows_and_missing_labels(spark, docs, no_docs):
@@ -66,5 +113,5 @@ def test_sample_is_bounded(spark):
     rows, labels = planted(300, 4)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     known = spark.createDataFrame(labels[:200], "doc_id long, quality int, toxic int")
-    _, label, _ = C._training_rows(docs, known, C.TARGETS, 50, 30)
-    assert (~np.isnan(label["toxic"])).sum() == 50 and len(label["toxic"]) == 80
+    own, label, _, doc = C._labelled(docs, known, C.TARGETS, 50)
+    assert len(doc) == len(label["toxic"]) == len(own.meta) == 50 and not np.isnan(label["toxic"]).any()
