@@ -179,7 +179,7 @@ def _search_with(tables):
 def hit_udfs(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list:
     """UDFs from text to HITS, one for each block of the benchmark."""
     spark = session(benchmark)
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").distinct()  # copies of an item are one pattern
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, math.ceil(2 * total / block_bytes))
     block_of = F.pmod(F.xxhash64("item", "text"), F.lit(count))

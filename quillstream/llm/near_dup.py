@@ -14,7 +14,8 @@ then on full sets. Only links that join components leave a task. Large buckets
 of unlinked documents (a shared passage) are first split by rare shingles: with
 shingles in one order, the rarest first, two linked sets share one of those that
 a set can miss and one more, whatever their length. A pair of similarity
-0.75 shares no band with probability below 1e-7.
+0.75 shares no band with probability below 1e-7 if the texts are long, and about
+1.5e-5 for sets of three or four shingles, which fill few registers.
 
 Defined cases: null or empty texts have an empty set, no links and stay; rows
 with equal ids are one document and stay together; a row without id has no
