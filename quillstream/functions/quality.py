@@ -1,7 +1,8 @@
 """Plausibility gate (P2, P3) and stage classification (P4) as column expressions.
 
 The gate is one chained ``CASE WHEN``: first failing rule wins. It runs inside
-whole-stage codegen and is shared by batch queries and streams.
+whole-stage codegen and is shared by batch queries and streams. A NULL device is
+an empty one, a NULL ``ts`` no positive one and a NULL measure not finite.
 """
 
 from __future__ import annotations
@@ -40,12 +41,12 @@ def _fmt(x: float) -> str:
 
 
 def not_finite(c: Column) -> Column:
-    """NaN or +/-infinity (F3). Checked before the range test: NaN > x is true in Spark."""
-    return F.isnan(c) | c.isin(_INF, -_INF)
+    """NaN, +/-infinity or NULL (F3). Checked before the range test: NaN > x is true in Spark."""
+    return c.isNull() | F.isnan(c) | c.isin(_INF, -_INF)
 
 
 def _range_reason(field: str, lo: float, hi: float, c: Column) -> tuple[Column, Column]:
-    text = c.cast("string")
+    text = F.coalesce(c.cast("string"), F.lit("null"))
     nf = not_finite(c)
     oor = (c < F.lit(lo)) | (c > F.lit(hi))
     reason = (F.when(nf, F.concat(F.lit(field + REASON_NOT_FINITE), text))
@@ -61,7 +62,7 @@ def reject_reason(prefix: str = "", ts_col: str = "ts") -> Column:
     col = lambda n: F.col(prefix + n)
     ts = col(ts_col)
     expr = F.when(F.coalesce(col("device_id"), F.lit("")) == F.lit(""), F.lit(REASON_EMPTY_DEVICE))
-    expr = expr.when(ts <= 0, F.concat(F.lit(REASON_NON_POSITIVE_TS), ts.cast("string")))
+    expr = expr.when(ts.isNull() | (ts <= 0), F.concat(F.lit(REASON_NON_POSITIVE_TS), F.coalesce(ts.cast("string"), F.lit("null"))))
     for field, lo, hi in RANGE_RULES:
         bad, reason = _range_reason(field, lo, hi, col(field))
         expr = expr.when(bad, reason)
@@ -75,7 +76,7 @@ def reject_field(prefix: str = "", ts_col: str = "ts") -> Column:
     """Name of the field that failed the gate (``device_id``, ``ts`` or a measure)."""
     col = lambda n: F.col(prefix + n)
     expr = F.when(F.coalesce(col("device_id"), F.lit("")) == F.lit(""), F.lit("device_id"))
-    expr = expr.when(col(ts_col) <= 0, F.lit("ts"))
+    expr = expr.when(col(ts_col).isNull() | (col(ts_col) <= 0), F.lit("ts"))
     for field, lo, hi in RANGE_RULES:
         c = col(field)
         expr = expr.when(not_finite(c) | (c < F.lit(lo)) | (c > F.lit(hi)), F.lit(field))

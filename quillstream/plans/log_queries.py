@@ -17,9 +17,11 @@ from ..operators.rates import SCRAPE_MS, sampled_rate
 from ..operators.reconcile import reconcile_offsets
 from ..operators.running import numbered
 from ..operators.watermarks import classify_late_by_partition, combined_watermarks, partition_states
+from ..sources.epoch_log import read_epochs, write_keyed_stream
 from ..sources.events import LOG_PARTITIONS, batch_of, telemetry_view
 from ..sources.offset_log import log_ends, read_offset_stream, read_segments, write_segments
 from ..streaming import jobs
+from ..streaming.native_windows import start_native_window_job
 from ..streaming.partition_windows import start_partition_window_job
 from ..streaming.supervise import run_supervised
 from .queries import DECIMALS, register
@@ -67,6 +69,12 @@ def _hour_clock(batch: DataFrame) -> int:
     return first // STREAM_BATCH_MS * STREAM_BATCH_MS
 
 
+def _agg_rows(table: Table) -> DataFrame:
+    return table.read().select("device_id", ts_to_millis("window_start").alias("window_start_ms"), ts_to_millis("window_end").alias("window_end_ms"),
+                               "reading_count", *[F.round(c, DECIMALS).alias(c) if c.startswith("avg") else c for c in (
+                                   "avg_temperature_c", "min_temperature_c", "max_temperature_c", "avg_humidity_pct", "avg_pressure_hpa")])
+
+
 def run_partition_windows(spark, sf_dir):
     root = new_root(spark, "stream-window-by-partition")
     write_log_files(_stream_log(spark, sf_dir), "_batch", f"{root}/log")
@@ -79,10 +87,17 @@ def run_partition_windows(spark, sf_dir):
 @register("stream_window_by_partition")
 def q_stream_window_by_partition(spark, sf_dir):
     """Window job under the watermark of active log partitions: windows that have fired."""
-    table, _ = run_partition_windows(spark, sf_dir)
-    return table.read().select("device_id", ts_to_millis("window_start").alias("window_start_ms"), ts_to_millis("window_end").alias("window_end_ms"),
-                               "reading_count", *[F.round(c, DECIMALS).alias(c) if c.startswith("avg") else c for c in (
-                                   "avg_temperature_c", "min_temperature_c", "max_temperature_c", "avg_humidity_pct", "avg_pressure_hpa")])
+    return _agg_rows(run_partition_windows(spark, sf_dir)[0])
+
+
+@register("stream_window_native")
+def q_stream_window_native(spark, sf_dir):
+    """Window job on Spark's own windowed aggregation, lenient by one micro-batch."""
+    root = new_root(spark, "stream-window-native")
+    write_log_files(_stream_log(spark, sf_dir), "_batch", f"{root}/log")
+    table = jobs.agg_table(spark, root)
+    _run(start_native_window_job, _files_source(spark, root), table, f"{root}/ckpt", name="window_native", progress=f"{root}/progress")
+    return _agg_rows(table)
 
 
 # --------------------------------------------------------------------- offsets
@@ -138,6 +153,18 @@ def q_offset_reconciliation(spark, sf_dir):
     return reconcile_offsets(read_segments(spark, f"{root}/log"), delivered, OFFSET_CHUNK)
 
 
+@register("stream_keyed_log")
+def q_stream_keyed_log(spark, sf_dir):
+    """Readings produced to a log by key, in epochs, and read back: each key's records in order (SNK4)."""
+    root = new_root(spark, "stream-keyed")
+    write_log_files(_stream_log(spark, sf_dir), "_batch", f"{root}/log")
+    rows = _files_source(spark, root).select("key", F.coalesce("value", F.lit(b"")).alias("value"), F.col("offset").alias("order"))
+    write_keyed_stream(rows, f"{root}/keyed", f"{root}/ckpt", LOG_PARTITIONS, "keyed", {"availableNow": True}).awaitTermination()
+    back = read_epochs(spark, f"{root}/keyed")
+    placed = numbered(back.withColumn("device_id", F.col("key").cast("string")), ["device_id"], "offset", "place", OFFSET_CHUNK)
+    return placed.select("device_id", "place", F.col("order").alias("seq"))
+
+
 # ------------------------------------------------------------- supervised runs
 
 class _CrashingTable(Table):

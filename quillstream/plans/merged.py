@@ -11,7 +11,7 @@ largest offset wins.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,14 +23,14 @@ from .tables import CommitConflict, Table
 ATTEMPTS = 20
 
 
-def current(table: Table, as_of: int | None = None) -> DataFrame:
-    """Rows of each day's newest part, as of a commit (default the newest)."""
+def current(table: Table, as_of: int | None = None, days: Collection[str] | None = None) -> DataFrame:
+    """Rows of each day's newest part, as of a commit (default the newest), of some days or all."""
     commits = table.commits().select("part_key", "commit_id")
     if as_of is not None:
         commits = commits.filter(F.col("commit_id") <= as_of)
-    parts = table.files().select(table.day_col, "part_key").distinct().join(commits, "part_key")
+    parts = table.files(days).select(table.day_col, "part_key").distinct().join(commits, "part_key")
     newest = parts.groupBy(table.day_col).agg(F.max_by("part_key", "commit_id").alias("part_key"))
-    return table.files().join(newest, [table.day_col, "part_key"], "left_semi")
+    return table.files(days).join(newest, [table.day_col, "part_key"], "left_semi")
 
 
 def merge_batch(table: Table, rows: DataFrame, batch_id: int, writer: str = "merge",
@@ -38,12 +38,12 @@ def merge_batch(table: Table, rows: DataFrame, batch_id: int, writer: str = "mer
     """Merge one batch; False when the writer merged it before. A writer that counts
     its batches from zero again (a new checkpoint) needs a new name."""
     table.create_if_absent()
-    days = [r[0] for r in table.with_day(rows).select(table.day_col).distinct().collect()]  # days of one batch
+    days = [str(r[0]) for r in table.with_day(rows).select(table.day_col).distinct().collect()]  # days of one batch
     for attempt in range(ATTEMPTS):
         if table.committed(writer, batch_id):
             return False
         head = table.head()
-        old = current(table, -1 if head[0] is None else head[0]).filter(F.col(table.day_col).isin(days)).select(*table.schema.fieldNames())
+        old = current(table, -1 if head[0] is None else head[0], days).select(*table.schema.fieldNames())
         merged = latest_by_key(old.unionByName(rows), key=key, order_col=order_col)
         try:
             return table.commit_batch(merged, writer=writer, batch_id=batch_id, after=head)

@@ -483,3 +483,16 @@ SQL["stream_completed_batches"] = _STREAM + f""",
 {_CORR},
 base AS (SELECT count(DISTINCT sbatch) AS completed_batches, count(*) AS input_rows FROM sw)
 SELECT 'append' AS query, * FROM base UNION ALL SELECT 'upsert', completed_batches + 1, input_rows + (SELECT count(*) FROM corr) FROM base"""
+
+# rows are dropped under the watermark of the micro-batch before theirs
+SQL["stream_window_native"] = _STREAM + """,
+lwm AS (SELECT sbatch, max(bmax) OVER (ORDER BY sbatch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 5000 AS wm FROM sm),
+ok AS (SELECT sv.* FROM sv JOIN lwm USING (sbatch)
+       WHERE NOT coalesce(window_end_ms <= lwm.wm, false) AND window_end_ms <= (SELECT wm FROM final_wm))
+""" + _win_stats("ok")
+
+SQL["footer_counts"] = _COMMITS + f"""
+SELECT commit_id, {_DAY} AS day, count(*) AS records FROM vb GROUP BY ALL"""
+
+SQL["stream_keyed_log"] = _STREAM + """
+SELECT device_id, row_number() OVER (PARTITION BY device_id ORDER BY sbatch, seq) - 1 AS place, seq FROM sw"""

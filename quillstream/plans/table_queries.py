@@ -18,7 +18,7 @@ from ..sources.events import COMMIT_MS, EPOCH_2024_MS
 from .ingest_queries import upsert_input
 from .merged import current, merge_batch
 from .queries import register, valid
-from .tables import Table, latest_snapshots, list_tables, new_root, previous_snapshot
+from .tables import Table, days_between, latest_snapshots, list_tables, new_root, previous_snapshot
 
 
 def _batched_rows(spark, sf_dir) -> DataFrame:
@@ -142,6 +142,14 @@ def q_compaction_check(spark, sf_dir):
     return stats(t, "before").join(stats(t.rewritten(new_root(spark, "rewritten")), "after"), "day")
 
 
+@register("footer_counts")
+def q_footer_counts(spark, sf_dir):
+    """Rows per day of every commit, from file footers alone (SRC8, M4)."""
+    t = build_table(spark, sf_dir, "footers")
+    counts = t.part_counts().join(t.commits().select("part_key", "commit_id"), "part_key")
+    return counts.select("commit_id", F.col("day").cast("string").alias("day"), "records")
+
+
 @register("orphan_files")
 def q_orphan_files(spark, sf_dir):
     """A write that never committed leaves orphan files; they are found (M3)."""
@@ -177,7 +185,8 @@ def q_schema_evolution_read(spark, sf_dir):
 def q_time_range(spark, sf_dir):
     """Rows in [02:00, 04:00) on 2024-01-01 with day-partition pruning (P10)."""
     t = build_table(spark, sf_dir, "range")
-    return _rows_ms(ts_between(t.read(), "2024-01-01 02:00:00", "2024-01-01 04:00:00", "ts", t.day_col))
+    span = ("2024-01-01 02:00:00", "2024-01-01 04:00:00")
+    return _rows_ms(ts_between(t.read(days=days_between(*span)), *span, "ts", t.day_col))
 
 
 def upsert_rows(readings: DataFrame) -> DataFrame:

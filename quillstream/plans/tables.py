@@ -17,11 +17,12 @@ parts in the scan.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import time
 import urllib.parse
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -256,13 +257,21 @@ class Table:
 
     # ------------------------------------------------------------------- reads
 
-    def files(self) -> DataFrame:
-        """All stored rows, committed or not, with day and part key."""
-        return self.spark.read.schema(self._stored_schema()).parquet(self.data_path)
-
-    def read(self, as_of: int | None = None) -> DataFrame:
-        """Table as of a commit (T3; default the newest); ``<day_col>`` and ``part_key`` are kept."""
-        return self._live(self.files(), as_of)
+    def files(self, days: Iterable[str] | None = None) -> DataFrame:
+        """Stored rows, committed or not, with day and part key; of ``days`` (ISO dates)
+        only, if given, and then no other day's folders are listed."""
+        reader = self.spark.read.schema(self._stored_schema())
+        if days is None:
+            return reader.parquet(self.data_path)
+        wanted = [f"{self.data_path}/{self.day_col}={d}" for d in sorted({str(d) for d in days})]
+        found = [path for path in wanted if path_exists(self.spark, path)]
+        if not found:
+            return self.spark.createDataFrame([], self._stored_schema())
+        return reader.option("basePath", self.data_path).parquet(*found)
+
+    def read(self, as_of: int | None = None, days: Iterable[str] | None = None) -> DataFrame:
+        """Table as of a commit (T3; default the newest), of some days or all; ``<day_col>`` and ``part_key`` are kept."""
+        return self._live(self.files(days), as_of)
 
     def _live(self, stored: DataFrame, as_of: int | None) -> DataFrame:
         commits = self.commits()
@@ -280,6 +289,21 @@ class Table:
         stored = self.files().select("part_key", F.col(self.day_col).alias("day"), F.col("_metadata.file_path").alias("file"))
         return self._live(stored, as_of).groupBy("day", "file").agg(F.count(F.lit(1)).alias("records"))
 
+    def part_counts(self, as_of: int | None = None) -> DataFrame:
+        """(day, part_key, records) of a snapshot from the footers of its files (SRC8, M4):
+        the count is pushed into the scan, which opens no column."""
+        conf, v1 = self.spark.conf, "spark.sql.sources.useV1SourceList"
+        before = conf.get(v1)
+        conf.set(v1, ",".join(x for x in before.split(",") if x != "parquet"))
+        try:
+            stored = self.files()
+        finally:
+            conf.set(v1, before)
+        counts = stored.groupBy(F.col(self.day_col).alias("day"), "part_key").agg(F.count(F.lit(1)).alias("records"))
+        commits = self.commits() if as_of is None else self.commits().filter(F.col("commit_id") <= as_of)
+        # an inner join: a semi join would be moved between the count and the scan
+        return counts.join(commits.select("part_key").distinct(), "part_key").select("day", "part_key", "records")
+
     def orphans(self) -> DataFrame:
         """(day, part_key) of stored parts that no commit names (M3)."""
         stored = self.files().select(F.col(self.day_col).alias("day"), "part_key").distinct()
@@ -300,6 +324,12 @@ class Table:
         return out
 
 
+def days_between(start: str, end: str) -> list[str]:
+    """ISO dates of the days that a range of timestamps (ISO text, UTC) touches."""
+    low, high = (dt.date.fromisoformat(x[:10]) for x in (start, end))
+    return [str(low + dt.timedelta(days=i)) for i in range((high - low).days + 1)]
+
+
 def previous_snapshot(commits: DataFrame) -> DataFrame:
     """Second newest commit by time (L3), ties by id; an error when there is none."""
     newest = commits.orderBy(F.col("committed_at_ms").desc(), F.col("commit_id").desc())

@@ -83,3 +83,17 @@ def test_null_reason_kept(spark):
     df = spark.createDataFrame([(None,)], "p binary")
     v = json.loads(df.select(envelope.parse_failure(F.lit(None).cast("string"), F.octet_length("p"))).first()[0])
     assert v["reason"] is None and "reason" in v
+
+
+def test_gate_and_reason_agree_on_any_values(spark):
+    """``plausible`` is true exactly where there is no reason, a missing value in any field included."""
+    from quillstream.functions.quality import plausible, reason_field
+
+    odd = {"device_id": [None, ""], "ts": [None, 0, -1, 2**63 - 1]}
+    odd |= {m: [None, math.nan, math.inf, -math.inf, 1e9, -1e9] for m in ("temperature_c", "humidity_pct", "pressure_hpa", "vibration_g")}
+    rows = [tuple({**BASE, f: v}[x.name] for x in READING.fields) for f, values in odd.items() for v in values] + [tuple(BASE[x.name] for x in READING.fields)]
+    r, f = reject_reason(), reject_field()
+    got = spark.createDataFrame(rows, READING).select(plausible().alias("ok"), r.alias("r"), f.alias("f"), reason_field(r).alias("again")).collect()
+    assert all(x.ok == (x.r is None) == (x.f is None) and x.again == x.f for x in got)
+    assert [x.ok for x in got].count(True) == 1 and _reason(spark, pressure_hpa=None).r == "pressure_hpa not finite: null"
+    assert _reason(spark, ts=None).r == "non-positive ts: null"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstream.functions.timefn import ts_between
-from quillstream.plans.tables import CommitConflict, Table, list_tables, previous_snapshot
+from quillstream.plans.tables import CommitConflict, Table, days_between, list_tables, previous_snapshot
 from quillstream.schema import TELEMETRY_TABLE
 from quillstream.session import warehouse_root
 
@@ -146,6 +146,32 @@ def test_rewrite_counts_once(spark):
     assert t.rewritten(_root(spark)).head() == (0, 40)
 
 
+def test_days_that_are_read_are_the_only_ones_listed(spark):
+    t = _table(spark)
+    t.commit_batch(_rows(spark, 20), "w", 0)                 # five days
+    days = days_between("2024-01-02 22:00:00", "2024-01-03 04:00:00")
+    assert days == ["2024-01-02", "2024-01-03"]
+    some = t.read(days=days)
+    places = [x for x in some._jdf.queryExecution().executedPlan().toString().splitlines() if "InMemoryFileIndex" in x and "ts_day" in x]
+    assert places and "2 paths" in places[0] and "2024-01-01" not in places[0]
+    assert sorted({str(r.ts_day) for r in some.collect()}) == days
+    assert some.schema == t.read().schema and t.read(days=["2030-01-01"]).count() == 0
+    assert t.read(days=days).count() == t.read().filter(F.col("ts_day").isin(days)).count()
+
+
+def test_counts_come_from_footers(spark):
+    t = _table(spark)
+    for b in range(3):
+        t.commit_batch(_rows(spark, 7, b * 11).repartition(2), "w", b)
+    t.write_parts(t.with_day(_rows(spark, 2, 40)).withColumn("part_key", F.lit("crashed-1")))
+    counts = t.part_counts()
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "temperature_c" not in plan
+    want = t.read().groupBy(t.day_col, "part_key").count()
+    assert sorted(map(tuple, counts.select("day", "part_key", "records").collect())) == sorted(map(tuple, want.collect()))
+    assert t.part_counts(as_of=0).agg(F.sum("records")).first()[0] == 7
+
+
 def test_list_tables(spark):
     t = _table(spark)
     Table(spark, "telemetry_upsert", TELEMETRY_TABLE, "ts", root=t.root).create_if_absent()
