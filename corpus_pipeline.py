@@ -4,6 +4,13 @@ Each stage works on all that its predecessor kept and returns the columns of
 ``documents``; the last returns the encoded documents. ``run`` writes every
 stage's result as Parquet to the shared folder and reads it again, so that a
 lost executor never costs more than the stage at hand.
+
+Defined cases: null, empty and blank texts have too few words for the quality
+rules and go there, as does any text that a later stage leaves without words;
+very long texts are taken whole; rows equal in id and text are one document to
+line and near dedup and stay together; rows with a null id pass near dedup
+unlinked; an empty table gives an empty result; further columns pass unchanged,
+whatever their names, up to the last stage, which returns its own.
 """
 
 from __future__ import annotations

@@ -35,7 +35,25 @@ def test_each_stage_on_its_own_input(spark):
     assert rows_of(corpus_pipeline.run(spark, SF001)) == sorted((tuple(r) for r in after), key=repr)
 
 
+def test_every_stage_takes_odd_rows(spark, docs, no_docs):
+    """Null, blank, very long, periodic and repeated texts, null and repeated ids, and columns
+    with the stages' own names, alone and one stage after the other."""
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    chained = docs
+    for name, stage in corpus_pipeline.STAGES:
+        alone = stage(spark, docs, SF001)
+        chained = corpus_pipeline.written(stage(spark, chained, SF001), name)
+        nothing = stage(spark, no_docs, SF001)
+        if name != "bpe":
+            assert alone.columns == chained.columns == nothing.columns == docs.columns
+        assert nothing.count() == 0
+        assert {r.doc_id for r in alone.select("doc_id").collect()} <= ids
+    left = [r.doc_id for r in chained.collect()]
+    # the 120-word text and its near copies are one document; texts without 50 words are gone
+    assert len({10_006, 10_007, 10_008, 10_009} & set(left)) == 1 and not {10_000, 10_001, 10_002, 10_003} & set(left)
+
+
 def test_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert decontaminate.WINDOW == 10
