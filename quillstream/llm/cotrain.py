@@ -32,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,7 @@ BUCKET_BITS = 18
 ROUNDS = 2
 #: Documents of each sign that a view labels in a round, and how sure it has to be.
 PER_ROUND, SURE = 150, (0.005, 0.98)
+CHUNK = 1 << 19
 #: Words in fewer training documents, or whose shares on the two sides differ by
 #: fewer standard errors, get no weight.
 MIN_DOCS, MIN_SURPRISE = 3, 2.0
@@ -72,20 +74,17 @@ def _name_bucket(column: pa.Array, buckets: int, salt: int) -> np.ndarray:
 
 def _stems(flat: W.Flat) -> np.ndarray:
     """(row, bucket) keys of the words and of the stems of longer words."""
-    row = flat.row()
-    keys = [row << BUCKET_BITS | (flat.hash >> W.U(64 - BUCKET_BITS)).astype(np.int64)]
-    for size in STEMS:
-        long = flat.end - flat.start > size
-        stem = W.byte_hashes(flat.data, flat.start[long], flat.start[long] + size, other=True)
-        keys.append(row[long] << BUCKET_BITS | (stem >> W.U(64 - BUCKET_BITS)).astype(np.int64))
-    return np.concatenate(keys)
+    rows = len(flat.first) - 1
+    row = flat.row().astype(np.int32 if rows < 1 << 31 - BUCKET_BITS else np.int64)
+    return np.concatenate([row[own] << BUCKET_BITS | (found >> W.U(64 - BUCKET_BITS)).astype(row.dtype)
+                           for own, found in W.prefix_hashes(flat.data, flat.start, flat.end, STEMS)])
 
 
 def view_features(text: pa.Array, lang: pa.Array, source: pa.Array):
     """(low, high, row, bucket, times, meta) over pieces of a batch: the distinct
     hashed words and stems of each row with their counts, and its metadata."""
     lang_at, source_at = _name_bucket(lang, LANG_BUCKETS, 1), _name_bucket(source, SOURCE_BUCKETS, 2)
-    for (low, high, flat), (_, _, raw) in zip(W.texts(text, W.ALNUM, fold=True), W.texts(text)):
+    for (low, high, flat), (_, _, raw) in zip(W.texts(text, W.ALNUM, fold=True, hashed=False), W.texts(text, hashed=False)):
         key, times = np.unique(_stems(flat), return_counts=True)
         size = np.diff(raw.offset)
 
@@ -146,23 +145,31 @@ def _fit(forward, backward, size: int, y: np.ndarray, sample: np.ndarray, penalt
 
 def _fit_words(rows: Rows, use: np.ndarray, y: np.ndarray, sample: np.ndarray) -> View:
     """``use``: numbers of the training rows, with their targets and weights."""
-    place = np.full(len(rows.meta), -1)
+    place = np.full(len(rows.meta), -1, np.int32)
     place[use] = np.arange(len(use))
-    keep = place[rows.row] >= 0
-    row, bucket, value = place[rows.row[keep]], rows.bucket[keep], _value(rows.times[keep])
+    parts = [slice(low, low + CHUNK) for low in range(0, len(rows.row), CHUNK)]  # bounds what is held beside the rows
     # documents with the word on either side, smoothed: log of the ratio of their shares
-    with_, against = (np.bincount(bucket, side[row], 1 << BUCKET_BITS) for side in (y * sample, (1 - y) * sample))
+    with_, against = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
+    for part in parts:
+        row = place[rows.row[part]]
+        for sums, side in ((with_, y * sample), (against, (1 - y) * sample)):
+            sums += np.bincount(rows.bucket[part], np.where(row >= 0, side[row], 0.0), 1 << BUCKET_BITS)
     positive, negative = sample @ y, sample @ (1 - y)
     share = (with_ + against) / (positive + negative)
     spread = np.sqrt(share * (1 - share) * (1 / max(positive, 1) + 1 / max(negative, 1))) + 1e-12
     surprise = np.abs(with_ / max(positive, 1) - against / max(negative, 1)) / spread
     known = np.flatnonzero((with_ + against >= MIN_DOCS) & (surprise >= MIN_SURPRISE))
     ratio = np.log((with_[known] + 1) / (positive + 2)) - np.log((against[known] + 1) / (negative + 2))
-    column = np.full(1 << BUCKET_BITS, -1)
-    column[known] = np.arange(len(known))
-    column = column[bucket]
-    row, value, column = row[column >= 0], value[column >= 0], column[column >= 0]
-    value = value * ratio[column]
+    of = np.full(1 << BUCKET_BITS, -1, np.int32)
+    of[known] = np.arange(len(known))
+    told = [[np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0)]]
+    for part in parts:
+        row, column = place[rows.row[part]], of[rows.bucket[part]]
+        own = (row >= 0) & (column >= 0)
+        for out, values in zip(told, (row[own], column[own], _value(rows.times[part][own]) * ratio[column[own]])):
+            out.append(values)
+    row, column, value = (np.concatenate(x) for x in told)
+    del told
     w, b = _fit(lambda w: np.bincount(row, w[column] * value, len(use)), lambda e: np.bincount(column, e[row] * value, len(known)),
                 len(known), y, sample, PENALTY)
     weight = np.zeros(1 << BUCKET_BITS, np.float32)
@@ -246,7 +253,7 @@ def _binary(values: np.ndarray) -> bytes:
 
 
 def _concatenated(a: Rows, b: Rows) -> Rows:
-    return Rows(np.concatenate([a.row, b.row + len(a.meta)]), *(np.concatenate([x, y]) for x, y in zip(a[1:], b[1:])))
+    return Rows(np.concatenate([a.row, b.row + np.int32(len(a.meta))]), *(np.concatenate([x, y]) for x, y in zip(a[1:], b[1:])))
 
 
 FEATURE = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("times", T.BinaryType()), T.StructField("meta", T.BinaryType())])
@@ -273,11 +280,15 @@ def _collected(docs: DataFrame, wanted: DataFrame, most: int) -> tuple[Rows, pa.
     own = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(wanted), "doc_id")  # at most ``most`` rows of numbers
     names = wanted.columns
     one = own.groupBy(*names).agg(F.min(F.struct(_version().alias("v"), "text", "lang", "source")).alias("d"))
-    got = one.select(*names, features("d.text", "d.lang", "d.source").alias("f")).select(*names, "f.*").limit(most).toArrow().sort_by("doc_id")
-    words = [np.frombuffer(x, np.int32) for x in got.column("words").to_pylist()]
-    rows = Rows(np.repeat(np.arange(len(words)), [len(x) for x in words]), np.concatenate([*words, np.zeros(0, np.int32)]).astype(np.int64),
-                np.frombuffer(b"".join(got.column("times").to_pylist()), np.int32),
-                np.frombuffer(b"".join(got.column("meta").to_pylist()), np.float32).reshape(-1, META))
+    got = one.select(*names, features("d.text", "d.lang", "d.source").alias("f")).select(*names, "f.*").limit(most).orderBy("doc_id").toArrow()
+    def joined(name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(W.buffers(got.column(name))[0].tobytes(), kind)
+
+    lengths = pc.binary_length(got.column("words")).to_numpy() // 4
+    rows = Rows(np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), joined("words", np.int32), joined("times", np.int32),
+                joined("meta", np.float32).reshape(-1, META))
+    got = got.drop_columns(["words", "times", "meta"])
+    pa.default_memory_pool().release_unused()
     return rows, got
 
 

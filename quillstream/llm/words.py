@@ -184,16 +184,39 @@ def _gathered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.
     return data[place + np.repeat(start, end - start)], place, bound
 
 
+def _other_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes' and places' values of the second hash: both differ from those of the first."""
+    have = _FACTORS.get(1)
+    if have is None or len(have) < n:
+        have = _FACTORS[1] = mix(_factors(n)) | U(1)
+    return mix(_BYTE), have
+
+
 def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: bool = False) -> np.ndarray:
     """Hash of bytes of spans; ``other`` gives an independent second one."""
     raw, place, bound = _gathered(data, start, end)
-    factors = _factors(int((end - start).max(initial=0)))
+    longest = int((end - start).max(initial=0))
+    of_byte, of_place = _other_tables(longest) if other else (_BYTE, _factors(longest))
     sums = np.zeros(len(raw) + 1, U)
-    # the second hash has other factors, not only other values of bytes
-    np.cumsum((mix(_BYTE) if other else _BYTE)[raw] * (mix(factors) | U(1) if other else factors)[place], out=sums[1:])
+    np.cumsum(of_byte[raw] * of_place[place], out=sums[1:])
     return mix(sums[bound[1:]] - sums[bound[:-1]] + (end - start).astype(U) * U(0x9E3779B97F4A7C15))
 
 
+def prefix_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, sizes: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(span numbers, hash) of all spans, and of the first ``size`` bytes of the
+    longer ones for each size, from one pass over the bytes. A prefix never has
+    the hash of an equal whole span."""
+    raw, place, bound = _gathered(data, start, end)
+    sums = np.zeros(len(raw) + 1, U)
+    np.cumsum(_BYTE[raw] * _factors(int((end - start).max(initial=0)))[place], out=sums[1:])
+    out = [(np.arange(len(start)), mix(sums[bound[1:]] - sums[bound[:-1]] + (end - start).astype(U) * U(0x9E3779B97F4A7C15)))]
+    for size in sizes:
+        longer = np.flatnonzero(end - start > size)
+        first = bound[longer]
+        out.append((longer, mix(sums[first + size] - sums[first] + U(0xC2B2AE3D27D4EB4F * size & 2**64 - 1))))
+    return out
+
+
 def byte_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Equal numbers from 0 for equal spans of bytes, by the bytes themselves."""
     raw, _, bound = _gathered(data, start, end)

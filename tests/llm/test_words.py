@@ -67,3 +67,11 @@ def test_byte_numbers_of_any_spans():
     assert W.byte_numbers(data, start, end).tolist() == [0, 1, 0, 2, 2, 3, 3]
     assert W.byte_hashes(data, start, end)[[0, 3, 5]].tolist() == W.byte_hashes(data, start, end)[[2, 4, 6]].tolist()
     assert len(W.byte_numbers(data, start[:0], end[:0])) == len(W.byte_hashes(data, start[:0], end[:0])) == 0
+
+
+def test_prefix_hashes():
+    data = np.frombuffer(b"abcdefg abcdexx abcde abc", np.uint8)
+    flat = W.cut(data, np.array([0, len(data)]))
+    (every, whole), (longer, stem) = W.prefix_hashes(flat.data, flat.start, flat.end, (5,))
+    assert every.tolist() == [0, 1, 2, 3] and longer.tolist() == [0, 1]
+    assert whole.tolist() == flat.hash.tolist() and stem[0] == stem[1] and not set(stem.tolist()) & set(whole.tolist())
