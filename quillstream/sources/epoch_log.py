@@ -1,7 +1,8 @@
 """Transactional keyed log writer for streams (SNK3, SNK4).
 
 Every task writes the rows of each log partition that it holds, in their order,
-to a file of its own and reports it. When all tasks of a micro-batch are done the
+to a file of its own and reports it; it sorts them in runs on its disk, so its
+memory does not grow with the micro-batch. When all tasks of a micro-batch are done the
 driver publishes the epoch: one small file that names the batch's files and the
 first offset of each. Readers take only files that an epoch names, so an epoch
 that failed or was given up leaves nothing to be seen, and a batch that is
@@ -19,11 +20,14 @@ Files are reached through pyarrow's file systems; a log has one writer at a time
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +39,8 @@ from pyspark.sql.types import StructType
 from ..session import ship_package
 from .offset_log import _resolve
 
+RUN_BYTES = 1 << 25     # rows that a task holds at once
+BLOCK_BYTES = 1 << 18   # of a run, read at once when runs are merged
 DATA = "key binary, value binary, `order` long"
 EPOCHS = "epoch long, writer string, batch long, file string, partition int, base long, records long, next string"
 
@@ -46,23 +52,95 @@ class Written(WriterCommitMessage):
     files: list[tuple[int, str, int]]
 
 
+def _sorted(batches: list[pa.RecordBatch]) -> pa.Table:
+    return pa.Table.from_batches(batches).sort_by("order")
+
+
+def _places(batch: pa.RecordBatch) -> np.ndarray:
+    """Sort keys of rows in order; rows without one come last."""
+    return batch.column("order").fill_null(np.iinfo(np.int64).max).to_numpy()
+
+
+class Runs:
+    """A task's rows of one log partition: what came last in memory, earlier rows in
+    sorted runs on the task's own disk, which are merged block by block."""
+
+    def __init__(self, name: str):
+        self.name, self.schema = name, None
+        self.pending: list[pa.RecordBatch] = []
+        self.paths: list[str] = []
+        self.size = self.rows = 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.schema = self.schema or batch.schema
+        self.pending.append(batch)
+        self.size += batch.nbytes
+        self.rows += batch.num_rows
+
+    def spill(self) -> None:
+        rows = _sorted(self.pending)
+        block = max(1, rows.num_rows * BLOCK_BYTES // max(1, self.size))
+        self.paths.append(f"{self.name}-{len(self.paths)}.arrow")
+        with pa.OSFile(self.paths[-1], "wb") as sink, pa.ipc.new_file(sink, self.schema) as file:
+            file.write_table(rows, max_chunksize=block)
+        self.pending, self.size = [], 0
+
+    def _blocks(self, path: str) -> Iterator[pa.RecordBatch]:
+        with pa.OSFile(path) as source, pa.ipc.open_file(source) as file:
+            for i in range(file.num_record_batches):
+                yield file.get_batch(i)
+
+    def merged(self) -> Iterator[pa.Table]:
+        """All rows in order, in pieces of about RUN_BYTES at most."""
+        if not self.paths:
+            yield _sorted(self.pending)
+            return
+        if self.pending:
+            self.spill()
+        runs = [self._blocks(path) for path in self.paths]
+        heads = [next(run, None) for run in runs]
+        ready, size = [], 0
+        while any(h is not None for h in heads):
+            # no run has a later block with rows in front of this place
+            bound = min(_places(h)[-1] for h in heads if h is not None)
+            taken = []
+            for i, head in enumerate(heads):
+                if head is None:
+                    continue
+                n = int(np.searchsorted(_places(head), bound, "right"))
+                taken.append(head.slice(0, n))
+                heads[i] = head.slice(n) if n < head.num_rows else next(runs[i], None)
+            ready.append(_sorted(taken))
+            size += ready[-1].nbytes
+            if size >= RUN_BYTES:
+                yield pa.concat_tables(ready)
+                ready, size = [], 0
+        if ready:
+            yield pa.concat_tables(ready)
+
+
 class EpochWriter(DataSourceStreamArrowWriter):
     def __init__(self, path: str, writer: str):
         self.path, self.writer = path.rstrip("/"), writer
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        batches = [b for b in iterator if b.num_rows]
-        if not batches:
-            return Written([])
-        rows = pa.Table.from_batches(batches)  # one task's share of a micro-batch
+        held: dict[int, Runs] = {}
         files, at = _resolve(f"{self.path}/data")
         files.create_dir(at, recursive=True)
         out = []
-        for p in sorted(set(rows.column("partition").to_pylist())):
-            own = rows.filter(pa.compute.equal(rows.column("partition"), p)).sort_by("order").select(["key", "value", "order"])
-            name = f"{uuid.uuid4().hex}.parquet"
-            pq.write_table(own, f"{at}/{name}", filesystem=files, compression="zstd")
-            out.append((p, name, own.num_rows))
+        with tempfile.TemporaryDirectory(prefix="epoch-runs-") as folder:
+            for batch in iterator:
+                for p in batch.column("partition").unique().to_pylist():
+                    own = batch.filter(pc.equal(batch.column("partition"), p)).select(["key", "value", "order"])
+                    held.setdefault(p, Runs(f"{folder}/{p}")).add(own)
+                if sum(r.size for r in held.values()) >= RUN_BYTES:
+                    max(held.values(), key=lambda r: r.size).spill()
+            for p in sorted(held):
+                name = f"{uuid.uuid4().hex}.parquet"
+                with pq.ParquetWriter(f"{at}/{name}", held[p].schema, filesystem=files, compression="zstd") as file:
+                    for rows in held[p].merged():
+                        file.write_table(rows)
+                out.append((p, name, held[p].rows))
         return Written(out)
 
     def _newest(self, files: pafs.FileSystem, at: str) -> tuple[int, list[dict]]:
