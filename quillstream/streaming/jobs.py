@@ -14,6 +14,9 @@ RocksDB state store (W11).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,10 +56,26 @@ def classified_stream(log: DataFrame) -> DataFrame:
     return decode_and_classify(log).observe("quality", *route.counter_exprs())
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Streams that start in here shuffle, and keep their state, in as many partitions as the
+    cluster has cores, or in fewer if the session has fewer: streams do not merge small
+    partitions, and each one costs every micro-batch a task and a state commit. A stream
+    takes the session's settings when it starts; one that is restarted keeps its number."""
+    conf, key = spark.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(min(int(before), max(2, spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str):
     w = df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(fn)
     trigger = trigger or {"processingTime": TRIGGER}
-    return w.trigger(**trigger).start()
+    with state_partitions(df.sparkSession):
+        return w.trigger(**trigger).start()
 
 
 def _start_router(log: DataFrame, table: Table, dlq_path: str, checkpoint: str, trigger: dict | None, name: str, keep: list,
