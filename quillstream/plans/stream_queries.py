@@ -25,13 +25,15 @@ from .queries import DECIMALS, register
 from .tables import _fs, list_dirs, new_root
 
 STREAM_BATCH_MS = 3_600_000  # one file (micro-batch) per hour of arrival
+ROW_GROUP_BYTES = 1 << 21    # of these files; a file is read in tasks of whole row groups
 
 
 def write_log_files(log: DataFrame, batch_col: str, path: str) -> int:
     """Write log rows as one file per batch, in one job; a batch's file time
-    follows from its number, as file streams replay by file time. Returns the count."""
+    follows from its number, as file streams replay by file time. Files have small
+    row groups, so that a large batch is not one task. Returns the count."""
     spark = log.sparkSession
-    log.repartition(batch_col).write.partitionBy(batch_col).parquet(path)
+    log.repartition(batch_col).write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(batch_col).parquet(path)
     names = [n for n in list_dirs(spark, path) if n.startswith(f"{batch_col}=")]
     for name in names:  # one per batch
         fs, p = _fs(spark, f"{path}/{name}")

@@ -26,12 +26,13 @@ from ..operators import route
 from ..operators.upsert import latest_by_key
 from ..plans.merged import merge_batch
 from ..plans.tables import Table
-from ..schema import AGG_TABLE, TELEMETRY_TABLE, UPSERT_TABLE
+from ..schema import AGG_TABLE, READING_FIELDS, TELEMETRY_TABLE, UPSERT_TABLE
 from ..sources.log import decode_and_classify
 from .late_windows import OUTPUT, LateAwareWindows
 
 WATERMARK_DELAY = "5 seconds"
 TRIGGER = "30 seconds"
+READING_NAMES = [n for n, _ in READING_FIELDS]
 
 
 def write_dead_letters(dlq: DataFrame, dlq_path: str, writer: str, batch_id: int) -> None:
@@ -80,9 +81,11 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str):
 
 def _start_router(log: DataFrame, table: Table, dlq_path: str, checkpoint: str, trigger: dict | None, name: str, keep: list,
                   merged: Table | None = None):
-    """Log -> decode -> gate -> table + dead letters, each written from the batch once cached."""
+    """Log -> decode -> gate -> table + dead letters, each written from the batch once cached,
+    with the columns that either needs; bytes of decoded records are not kept."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        payload = F.when(F.col("stage").isNotNull(), F.col("value")).alias("value")
+        batch = batch.select(*READING_NAMES, "stage", "reject_reason", "partition", "offset", payload).persist()
         try:
             rows = to_table_row(route.valid_rows(batch), keep=keep)
             table.commit_batch(rows, writer=name, batch_id=batch_id)

@@ -2,10 +2,12 @@
 import glob
 import uuid
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from quillstream.functions.codec import encode_one
 from quillstream.plans.stream_queries import write_log_files
+from quillstream.schema import LOG_ROW
 from quillstream.session import warehouse_root
 from quillstream.sources.log import read_log_stream
 from quillstream.streaming import jobs
@@ -18,6 +20,17 @@ def _rows(spark, n, value):
         F.timestamp_seconds(F.lit(1_700_000_000)).alias("timestamp"), F.lit(3).cast("long").alias("_batch"))
 
 
+def test_large_batch_is_one_file_of_many_row_groups(spark):
+    root = f"{warehouse_root(spark)}/test-groups-{uuid.uuid4().hex[:8]}"
+    log = _rows(spark, 200_000, F.unhex(F.sha2(F.col("id").cast("string"), 512)))
+    assert write_log_files(log, "_batch", root) == 1
+    files = glob.glob(f"{root.removeprefix('file://')}/_batch=3/*.parquet")
+    assert len(files) == 1
+    meta = pq.read_metadata(files[0])
+    assert meta.num_rows == 200_000 and meta.num_row_groups >= 4
+    assert spark.read.schema(LOG_ROW).parquet(f"{root}/*").distinct().count() == 200_000
+
+
 def test_state_has_no_more_partitions_than_the_cluster_has_cores(spark):
     root = f"{warehouse_root(spark)}/test-state-{uuid.uuid4().hex[:8]}"
     base = dict(device_id="d", site_id="s", ts=1_700_000_000_000, temperature_c=20.0, humidity_pct=50.0, pressure_hpa=1000.0, vibration_g=0.0, firmware_version=None)
