@@ -31,6 +31,9 @@ from quillstream.llm.common import session
 
 #: Chunks remembered per Python worker, about 200 bytes each; then the memory is emptied.
 CACHE_CHUNKS = 1_000_000
+#: The same where the encoder is one step of several: a worker that waits for its next
+#: task keeps its memory beside that of the other steps.
+STEP_CHUNKS = 200_000
 #: Control characters that Python calls white space and the tokenizer does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WHITE = regex.compile(r"[^\t-\r \x85\xa0  -     　]+")
@@ -160,9 +163,9 @@ class Encoder:
     def chunks(self, text: str) -> list[str]:
         return _WHITE.findall(text) if _SEPARATORS.search(text) else text.split()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None], remembered: int | None = None) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if len(self.cache) > CACHE_CHUNKS:
+        if len(self.cache) > (CACHE_CHUNKS if remembered is None else remembered):
             self.cache.clear()
             self.word_ids = dict(self.special_ids)
         split = [self.chunks(t) if t else [] for t in texts]
@@ -245,7 +248,7 @@ def encoded_digests(docs: DataFrame, path: str | None = None, text: str = "text"
         enc = encoder(file.value)
         count, ids_sha, text_sha = [], [], []
         for run in pieces(column.to_pylist()):
-            for ids in enc.encode(run):
+            for ids in enc.encode(run, STEP_CHUNKS):
                 count.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(enc.decode(ids)).hexdigest())

@@ -81,3 +81,13 @@ def test_digests_and_round_trip(spark, docs, texts, library):
 
 def test_empty(no_docs):
     assert bpe.encoded_digests(no_docs).count() == 0
+
+
+def test_digests_leave_a_small_cache(monkeypatch):
+    """A step of a job bounds what its worker remembers; the results are those of a large cache."""
+    monkeypatch.setattr(bpe, "STEP_CHUNKS", 50)
+    enc = bpe.Encoder(open(PATH, "rb").read())
+    texts = [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(20)]
+    want = [bpe.Encoder(open(PATH, "rb").read()).encode([t])[0] for t in texts[-2:]]
+    got = [enc.encode([t], bpe.STEP_CHUNKS)[0] for t in texts]
+    assert got[-2:] == want and len(enc.cache) <= 50 + 40
